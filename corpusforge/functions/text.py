@@ -129,7 +129,7 @@ def scrub_tokens(col: Column | str, tokens: Sequence[str] = (EOS, PAD),
         out = F.replace(out, F.lit(tok), F.lit(""))
     out = strip(out)
     if lstrip_chars:
-        out = F.ltrim(out, lstrip_chars)
+        out = F.ltrim(out, F.lit(lstrip_chars))
     return out
 
 

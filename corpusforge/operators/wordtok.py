@@ -90,6 +90,34 @@ def encode_words(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[
     return grouped.select(*keys, *carry, F.transform("_toks", lambda s: s["_id"]).alias(out_col))
 
 
+def encode_columns(df: DataFrame, cols: Sequence[str], vocab: DataFrame, keys: Sequence[str],
+                   vocab_size_bound: int | None = None, suffix: str = "_ids") -> DataFrame:
+    """Encode several text columns in one explode/join/group pass.
+
+    Returns ``keys`` + one ``<col><suffix>`` array per column (text is not
+    carried through the explode).  ``keys`` must be unique per row; rows whose
+    columns hold no word at all come back with empty arrays.
+    """
+    lookup = vocab.select(F.col("token").alias("_w"), F.col("token_id").alias("_id"))
+    if vocab_size_bound is not None and vocab_size_bound <= MAX_BROADCAST_VOCAB:
+        lookup = F.broadcast(lookup)
+    tagged = F.array(*[F.struct(F.lit(i).alias("c"), words(c).alias("ws")) for i, c in enumerate(cols)])
+    ex = (df.select(*keys, F.explode(tagged).alias("_t"))
+          .select(*keys, F.col("_t.c").alias("_c"), F.posexplode_outer("_t.ws").alias("_p", "_w")))
+    joined = ex.join(lookup, on="_w", how="left")
+    tok = F.when(F.col("_w").isNotNull(),
+                 F.struct("_c", "_p", F.coalesce(F.col("_id"), F.lit(UNK_ID)).alias("_id")))
+    grouped = joined.groupBy(*keys).agg(F.array_sort(F.collect_list(tok)).alias("_toks"))
+
+    def of_column(i: int):
+        # a one-argument lambda: Spark reads a second parameter as the index
+        return lambda s: s["_c"] == F.lit(i)
+
+    return grouped.select(*keys, *[
+        F.transform(F.filter("_toks", of_column(i)), lambda s: s["_id"]).alias(c + suffix)
+        for i, c in enumerate(cols)])
+
+
 def frame(ids: Column | str, bos: int = BOS_ID, eos: int = EOS_ID, double: bool = False) -> Column:
     """``[bos] + ids + [eos]``; ``double=True`` reproduces the reference's
     pre-training path, which frames twice (``bos bos ... eos eos``)."""

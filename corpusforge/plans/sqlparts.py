@@ -108,3 +108,39 @@ def packed_cte(length: int, stride: int | None = None) -> str:
              string_agg(CAST(tok AS VARCHAR), ' ' ORDER BY t) FILTER (WHERE t < seq_id * {S} + {L}) AS input_ids,
              string_agg(CAST(tok AS VARCHAR), ' ' ORDER BY t) FILTER (WHERE t > seq_id * {S}) AS target_ids
       FROM tok_seq GROUP BY split, seq_id)"""
+
+
+def encode_cols_cte(name: str, src: str, key: str, cols) -> str:
+    """CTE ``name(key, <col>_ids...)``: word-tokenizer ids per column (needs vocab)."""
+    parts = " UNION ALL ".join(
+        f"SELECT {key} AS k, {i} AS c, unnest({words_sql(c)}) AS w, "
+        f"unnest(generate_series(1, len({words_sql(c)}))) AS p FROM {src}"
+        for i, c in enumerate(cols))
+    aggs = ", ".join(
+        f"coalesce(list(t.tok ORDER BY t.p) FILTER (WHERE t.c = {i}), []::INTEGER[]) AS {c}_ids"
+        for i, c in enumerate(cols))
+    return f"""
+    {name}_w AS ({parts}),
+    {name}_t AS (SELECT x.k, x.c, x.p, coalesce(v.token_id, 1) AS tok
+                 FROM {name}_w x LEFT JOIN vocab v ON v.token = x.w),
+    {name} AS (SELECT s.{key} AS {key}, {aggs}
+               FROM {src} s LEFT JOIN {name}_t t ON t.k = s.{key} GROUP BY s.{key})"""
+
+
+def chat_pairs_cte() -> str:
+    return """
+    pairs AS (
+      SELECT u.conv_id * 1000 + u.turn AS index, u.conv_id, u.turn, u.text AS instruction, a.text AS response
+      FROM conversations u JOIN conversations a
+        ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+      WHERE u.role = 'user')"""
+
+
+def hash_mod_sql(n: int, seed, expr: str, salt: str = "") -> str:
+    parts = [q(str(seed))] + ([q(salt)] if salt else []) + [f"CAST({expr} AS VARCHAR)"]
+    h = f"md5(concat_ws(':', {', '.join(parts)}))"
+    return f"(CAST('0x' || substr({h}, 1, 15) AS BIGINT) % {n})"
+
+
+def ids_sql(expr: str) -> str:
+    return f"array_to_string({expr}, ' ')"
