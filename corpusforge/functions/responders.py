@@ -74,3 +74,22 @@ class StubStyleResponder:
             words = p.split()
             out.append(f"[{self.style}] " + " ".join(words[: 5 + _h(p) % 20]))
         return out
+
+
+class FlakyEchoResponder:
+    """Echoes prompts upper-cased; fails a prompt's first ``fails[prompt]``
+    calls in this process (``-1``: always).  For retry/error tests."""
+
+    def __init__(self, fails: dict[str, int]):
+        self.fails, self.calls = dict(fails), {}
+
+    def __call__(self, prompts: list[str]) -> list[str]:
+        out = []
+        for p in prompts:
+            n = self.calls.get(p, 0)
+            self.calls[p] = n + 1
+            f = self.fails.get(p, 0)
+            if f == -1 or n < f:
+                raise TransientError(f"fail {p}")
+            out.append(p.upper())
+        return out

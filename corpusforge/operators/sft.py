@@ -63,14 +63,15 @@ def sft_rows(df: DataFrame, instr_ids: str, resp_ids: str, max_length: int = 512
 
 def sft_stats(rows: DataFrame, max_length: int) -> DataFrame:
     """mean/max length; ``at_or_over_max`` is the reference's "truncated"
-    count (len >= M, so rows of exactly M count too); ``exact_max`` and
-    ``truncated`` are reported apart.  Averages are NULL on empty input."""
+    count (len >= M after truncation, so rows of exactly M count too);
+    ``exact_max`` (exactly M without cutting) and ``truncated`` (cut) are
+    reported apart.  Averages are NULL on empty input."""
     return rows.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.round(F.avg("n_tokens"), 6).alias("avg_len"),
         F.max("n_tokens").alias("max_len"),
         F.count(F.when(F.col("n_tokens") >= max_length, 1)).alias("at_or_over_max"),
-        F.count(F.when(F.col("n_tokens") == max_length, 1)).alias("exact_max"),
+        F.count(F.when((F.col("n_tokens") == max_length) & ~F.col("truncated"), 1)).alias("exact_max"),
         F.count(F.when(F.col("truncated"), 1)).alias("truncated"),
     )
 

@@ -172,7 +172,7 @@ def q_f15(spark, d):
 @register("f6_sft_stats", _SFT_SQL + f"""
 SELECT count(*) AS n_rows, round(avg(n_tokens), 6) AS avg_len, max(n_tokens) AS max_len,
        count(CASE WHEN n_tokens >= {M_SFT} THEN 1 END) AS at_or_over_max,
-       count(CASE WHEN n_tokens = {M_SFT} THEN 1 END) AS exact_max,
+       count(CASE WHEN n_tokens = {M_SFT} AND NOT truncated THEN 1 END) AS exact_max,
        count(CASE WHEN truncated THEN 1 END) AS truncated
 FROM padded""")
 def q_f6(spark, d):
