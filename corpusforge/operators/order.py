@@ -180,9 +180,14 @@ def label_split(pos: Column, n_total: Column, val_ratio: float, val_at: str = "t
     raise ValueError(val_at)
 
 
-def tail_split(df: DataFrame, id_col: str, val_ratio: float = 0.01, seed: int = 42) -> DataFrame:
-    """D5 (and D7): shuffle, then the last ``floor(n*r)`` rows are validation."""
-    d = shuffle_positions(df, id_col, seed)
+def tail_split(df: DataFrame, id_col: str, val_ratio: float = 0.01, seed: int = 42,
+               digits: int | None = None) -> DataFrame:
+    """D5 (and D7): shuffle, then the last ``floor(n*r)`` rows are validation.
+
+    ``digits`` (bucket granularity) may come from an upper bound of the row
+    count, e.g. the unfiltered source's count, which Parquet answers from
+    metadata."""
+    d = shuffle_positions(df, id_col, seed, digits=digits)
     return d.withColumn("split", label_split(F.col("pos"), F.col("n_total"), val_ratio, "tail"))
 
 

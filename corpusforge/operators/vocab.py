@@ -29,13 +29,23 @@ def append_specials(vocab: DataFrame, tokens: Sequence[str]) -> DataFrame:
 
 def first_lines(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """T8 input: the first ``n`` lines of the corpus in (document, line) order,
-    stripped; blank lines count towards ``n`` but are dropped."""
-    lines = docs.select(id_col, F.posexplode(F.split(F.col(text_col), "\n")).alias("ln", "raw"))
+    stripped; blank lines count towards ``n`` but are dropped.
+
+    Only line *counts* go through X1 (a prefix sum over documents); the text
+    of the few documents that hold the first ``n`` lines is then picked by a
+    semi-join against at most ``n`` ids, so the corpus is never exploded.
+    """
+    counts = docs.select(id_col, F.size(F.split(F.col(text_col), "\n")).alias("_nl"))
     n_docs = docs.count()
     nb = max(1, -(-n_docs // TARGET_ROWS_PER_BUCKET))
-    pos = global_position(lines, [id_col, "ln"], numeric_bucket(docs, id_col, nb), pos_col="line_pos",
+    off = global_position(counts, [id_col], numeric_bucket(docs, id_col, nb), sums={"l": F.col("_nl")},
                           bucket_bound=nb + 1)
-    return (pos.where(F.col("line_pos") < n).withColumn("line", strip("raw"))
+    head = off.where(F.col("l_offset") < n).select(id_col, "l_offset")
+    head = F.broadcast(head) if n <= 5_000_000 else head
+    lines = (docs.join(head, on=id_col, how="inner")
+             .select(id_col, "l_offset", F.posexplode(F.split(F.col(text_col), "\n")).alias("ln", "raw")))
+    return (lines.withColumn("line_pos", F.col("l_offset") + F.col("ln"))
+            .where(F.col("line_pos") < n).withColumn("line", strip("raw"))
             .where(non_blank("line")).select("line_pos", id_col, "ln", "line"))
 
 

@@ -31,7 +31,7 @@ class CorpusParams:
 def split_documents(docs: DataFrame, p: CorpusParams, id_col: str = "doc_id") -> DataFrame:
     """P2 blank filter (unstripped text kept) + D1/D5 shuffle and tail split."""
     kept = docs.where(non_blank("text"))
-    return order.tail_split(kept, id_col, p.val_ratio, p.seed)
+    return order.tail_split(kept, id_col, p.val_ratio, p.seed, digits=order.hex_digits_for(docs.count()))
 
 
 #: sample id sets up to this size are broadcast into a semi-join
@@ -46,8 +46,9 @@ def tokenizer_sample(docs: DataFrame, p: CorpusParams, id_col: str = "doc_id") -
     ids, so the text is not shuffled a second time.
     """
     kept = docs.where(non_blank("text"))
-    ids = order.capped_train_sample(order.tail_split(kept.select(id_col), id_col, p.val_ratio, p.seed),
-                                    p.tokenizer_sample_cap).select(id_col)
+    split = order.tail_split(kept.select(id_col), id_col, p.val_ratio, p.seed,
+                             digits=order.hex_digits_for(docs.count()))
+    ids = order.capped_train_sample(split, p.tokenizer_sample_cap).select(id_col)
     if p.tokenizer_sample_cap <= MAX_BROADCAST_IDS:
         ids = F.broadcast(ids)
     return kept.join(ids, on=id_col, how="left_semi")

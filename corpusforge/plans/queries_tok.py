@@ -58,9 +58,10 @@ def q_t7(spark, d):
 @register("t9_example_report")
 def q_t9(spark, d):
     model = bpe_model(spark, d)
-    rep = bpe.example_report(table(spark, d, "benchmark").select("text"), bpe.encode_column(spark, model),
-                             model.vocab_df(spark))
-    return rep.select("text", ids_str("ids").alias("ids"), F.array_join("tokens", " ").alias("tokens"), "n_tokens")
+    rep = bpe.example_report(table(spark, d, "benchmark").select("item_id", "text"), bpe.encode_column(spark, model),
+                             model.vocab_df(spark), "item_id")
+    return rep.select("item_id", "text", ids_str("ids").alias("ids"), F.array_join("tokens", " ").alias("tokens"),
+                      "n_tokens")
 
 
 @register("t4_special_append", f"""
