@@ -148,3 +148,32 @@ SELECT count(*) AS vocab_size FROM vocab""")
 def q_f8(spark, d):
     v = V.append_specials(corpus.train_word_vocab(table(spark, d, "documents"), CORPUS), list(CHAT_SPECIALS))
     return v.agg(F.count(F.lit(1)).alias("vocab_size"))
+
+
+X2_BOUND = 2000
+
+
+@register("x2_greedy_chunks", f"""
+WITH RECURSIVE lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+           unnest(range(0, len(string_split(text, chr(10))))) AS ln FROM documents),
+  walk(doc_id, ln, cur, chunk) AS (
+    SELECT doc_id, ln, length(line), 0 FROM lines WHERE ln = 0
+    UNION ALL
+    SELECT l.doc_id, l.ln,
+           CASE WHEN w.cur >= {X2_BOUND} THEN length(l.line) ELSE w.cur + length(l.line) END,
+           CASE WHEN w.cur >= {X2_BOUND} THEN w.chunk + 1 ELSE w.chunk END
+    FROM walk w JOIN lines l ON l.doc_id = w.doc_id AND l.ln = w.ln + 1)
+SELECT w.doc_id, CAST(w.chunk AS BIGINT) AS chunk_id, count(*) AS n_lines,
+       CAST(sum(length(l.line)) AS BIGINT) AS n_chars
+FROM walk w JOIN lines l ON l.doc_id = w.doc_id AND l.ln = w.ln
+GROUP BY w.doc_id, w.chunk""")
+def q_x2(spark, d):
+    from corpusforge.operators import chunking
+
+    docs = table(spark, d, "documents")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("ln", "line")).withColumn(
+        "size", F.length("line"))
+    lab = chunking.greedy_chunks(lines, "doc_id", "ln", "size", X2_BOUND)
+    return lab.groupBy("doc_id", "chunk_id").agg(F.count(F.lit(1)).alias("n_lines"),
+                                                 F.sum("size").cast("long").alias("n_chars"))
