@@ -163,12 +163,35 @@ def choose_batch(top: list[tuple[str, str, int]], symbols: set[str], mode: str =
 
 
 def apply_batch(syms: Column, batch: Sequence[tuple[str, str]]) -> Column:
-    """Rewrite a symbol array with a batch of symbol-disjoint merges in one
-    left-to-right pass; a symbol produced in this pass is not merged again."""
+    """Rewrite a symbol array with a batch of symbol-disjoint merges.
+
+    Pairs of a batch share no symbol, so two matches can never overlap and
+    each position is decided by itself and its left neighbour (one
+    ``transform`` + ``filter``).  A self-pair ``(a, a)`` is always alone in
+    its batch; runs like ``aaa`` need left-to-right pairing, done by an
+    ``aggregate`` that carries whether the last symbol was just produced.
+    """
     kv = []
     for l, r in batch:
         kv += [F.lit(l + SEP + r), F.lit(l + r)]
     table = F.create_map(*kv)
+    if any(l == r for l, r in batch):
+        return _apply_sequential(syms, table)
+    n = F.size(syms)
+
+    def hit(i):  # 1-based position i starts a merge
+        return (i >= 1) & (i < n) & F.map_contains_key(
+            table, F.concat(F.element_at(syms, i), F.lit(SEP), F.element_at(syms, i + 1)))
+
+    def out(i):
+        return (F.when(hit(i - 1), F.lit(None).cast("string"))
+                .when(hit(i), F.concat(F.element_at(syms, i), F.element_at(syms, i + 1)))
+                .otherwise(F.element_at(syms, i)))
+
+    return F.filter(F.transform(F.sequence(F.lit(1), n), out), lambda x: x.isNotNull())
+
+
+def _apply_sequential(syms: Column, table: Column) -> Column:
     init = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("m"))
 
     def step(acc, s):
@@ -185,8 +208,8 @@ def apply_batch(syms: Column, batch: Sequence[tuple[str, str]]) -> Column:
 def pair_counts(state: DataFrame) -> DataFrame:
     """Adjacent symbol pairs weighted by word frequency (partial + final agg)."""
     s = F.col("syms")
-    pairs = F.transform(F.sequence(F.lit(1), F.size(s) - 1),
-                        lambda i: F.struct(F.element_at(s, i).alias("l"), F.element_at(s, i + 1).alias("r")))
+    n = F.size(s) - 1
+    pairs = F.arrays_zip(F.slice(s, 1, n).alias("l"), F.slice(s, 2, n).alias("r"))
     return (state.select(F.explode(pairs).alias("p"), "freq")
             .groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(F.sum("freq").alias("c")))
 
@@ -213,29 +236,37 @@ def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2,
     state = words.where(F.size("syms") > 1).select("syms", "freq")
     budget = vocab_size - len(set(specials) | set(alphabet))
     rounds = 0
+    # Every round's state is cached; every ``checkpoint_every`` rounds it is
+    # reliably checkpointed and the cached chain is released newest-first
+    # (releasing an older cache first would make Spark re-plan the newer ones
+    # without it, inlining the whole chain of rewrites).
     state = state.persist(StorageLevel.MEMORY_AND_DISK)
-    stale = None
+    live = [state]
     while len(merges) < budget and (max_rounds is None or rounds < max_rounds):
         top = (pair_counts(state).where(F.col("c") >= min_frequency)
                .orderBy(F.col("c").desc(), F.col("l").asc(), F.col("r").asc()).limit(top_k).collect())
-        if stale is not None:  # the current state is materialised now
-            stale.unpersist()
-            stale = None
         batch = choose_batch([(r["l"], r["r"], r["c"]) for r in top], symbols, mode, fast_k)
         batch = batch[: budget - len(merges)]
         if not batch:
             break
         merges.extend(batch)
         symbols.update(l + r for l, r in batch)
-        stale = state
-        state = state.withColumn("syms", apply_batch(F.col("syms"), batch)).where(F.size("syms") > 1)
+        # only words holding a left symbol of the batch can change
+        lefts = F.array(*[F.lit(l) for l in sorted({l for l, _ in batch})])
+        rewritten = F.when(F.arrays_overlap(F.col("syms"), lefts), apply_batch(F.col("syms"), batch)).otherwise(
+            F.col("syms"))
+        state = (state.withColumn("syms", rewritten).where(F.size("syms") > 1)
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+        live.append(state)
         rounds += 1
         if rounds % checkpoint_every == 0:
-            state = cut_lineage(state)  # reliable: survives executor loss, bounds lineage
-        state = state.persist(StorageLevel.MEMORY_AND_DISK)
-    if stale is not None:
-        stale.unpersist()
-    state.unpersist()
+            cut = cut_lineage(state)  # reliable: survives executor loss, bounds lineage
+            for s in reversed(live):
+                s.unpersist()
+            state = cut.persist(StorageLevel.MEMORY_AND_DISK)
+            live = [state]
+    for s in reversed(live):
+        s.unpersist()
     return BpeModel(list(specials), alphabet, merges, rounds)
 
 
