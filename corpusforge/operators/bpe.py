@@ -283,32 +283,60 @@ def _broadcast_model(spark: SparkSession, model: BpeModel):
                                          {s: model.token_to_id[s] for s in model.specials}))
 
 
+def _encode_lists(toks, t2i: dict, ranks: dict, specials: dict, cache: dict):
+    """Encode one Arrow batch of ``list<string>`` pre-tokens.
+
+    Words are dictionary-encoded in Arrow, each *distinct* word is segmented
+    once (and cached), and every row's ids are produced by one vectorised
+    gather; the result is built from offsets, with no per-row Python."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    if isinstance(toks, pa.ChunkedArray):
+        toks = toks.combine_chunks()
+    lens = pc.list_value_length(toks).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = pc.list_flatten(toks)
+    if len(flat) == 0:
+        offsets = np.zeros(len(lens) + 1, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array([], pa.int32()), mask=pc.is_null(toks))
+    enc = pc.dictionary_encode(flat)
+    codes = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    segs = []
+    for w in enc.dictionary.to_pylist():
+        seg = cache.get(w)
+        if seg is None:
+            if w in specials:
+                seg = [specials[w]]
+            else:
+                seg = [t2i[p] for p in bpe_segment(to_symbols(w), ranks) if p in t2i]
+            cache[w] = seg
+        segs.append(seg)
+    seg_len = np.fromiter((len(x) for x in segs), dtype=np.int64, count=len(segs))
+    seg_flat = np.fromiter((i for x in segs for i in x), dtype=np.int32, count=int(seg_len.sum()))
+    seg_start = np.concatenate([[0], np.cumsum(seg_len)[:-1]])
+    occ_len = seg_len[codes]
+    occ_end = np.cumsum(occ_len)
+    within = np.arange(int(occ_end[-1])) - np.repeat(occ_end - occ_len, occ_len)
+    ids = seg_flat[np.repeat(seg_start[codes], occ_len) + within]
+    row_end = np.concatenate([[0], occ_end])[np.cumsum(lens)]
+    offsets = np.concatenate([[0], row_end]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()), mask=pc.is_null(toks))
+
+
 def encode_column(spark: SparkSession, model: BpeModel, specials_mode: str = "match"):
     """T5: a Column function ``text -> array<int>`` (no framing)."""
     bc = _broadcast_model(spark, model)
     key = id(model)
     specials = list(model.specials) if specials_mode == "match" else []
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _ids(tok_lists: pd.Series) -> pd.Series:
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def _ids(toks):
         t2i, ranks, sp = bc.value
         cache = _CACHES.setdefault(key, {})  # lives as long as the worker keeps this function
         if len(cache) > _CACHE_LIMIT:
             cache.clear()
-        out = []
-        for toks in tok_lists:
-            ids: list[int] = []
-            for w in toks:
-                if w in sp and specials:
-                    ids.append(sp[w])
-                    continue
-                seg = cache.get(w)
-                if seg is None:
-                    seg = [t2i[p] for p in bpe_segment(to_symbols(w), ranks) if p in t2i]
-                    cache[w] = seg
-                ids.extend(seg)
-            out.append(ids)
-        return pd.Series(out)
+        return _encode_lists(toks, t2i, ranks, sp if specials else {}, cache)
 
     def encode(text: Column | str) -> Column:
         return _ids(pretokens(text, specials, "match" if specials else "escape"))
@@ -318,22 +346,27 @@ def encode_column(spark: SparkSession, model: BpeModel, specials_mode: str = "ma
 
 def decode_column(spark: SparkSession, model: BpeModel, skip_special: bool = True):
     """A Column function ``array<int> -> string`` (specials skipped)."""
-    id_to_tok = {i: t for t, i in model.token_to_id.items()}
-    bc = spark.sparkContext.broadcast((id_to_tok, set(model.specials)))
-
-    @F.pandas_udf(T.StringType())
-    def _text(id_lists: pd.Series) -> pd.Series:
-        i2t, sp = bc.value
-        out = []
-        for ids in id_lists:
-            parts = []
-            for i in ids:
-                t = i2t.get(int(i))
-                if t is None or (skip_special and t in sp):
-                    continue
-                parts.append(t if t not in sp else "")
-            out.append(from_symbols("".join(parts)).decode("utf-8", errors="replace"))
-        return pd.Series(out)
+    size = max(model.token_to_id.values()) + 1
+    table: list[bytes] = [b""] * size
+    sp = set(model.specials)
+    for t, i in model.token_to_id.items():
+        table[i] = b"" if (t in sp and skip_special) else (t.encode("utf-8") if t in sp else from_symbols(t))
+    bc = spark.sparkContext.broadcast(table)
+
+    @F.arrow_udf(T.StringType())
+    def _text(id_lists):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if isinstance(id_lists, pa.ChunkedArray):
+            id_lists = id_lists.combine_chunks()
+        pieces = pa.array(bc.value, pa.binary())
+        flat = pc.list_flatten(id_lists)
+        off = pc.subtract(id_lists.offsets, id_lists.offsets[0])
+        parts = pa.ListArray.from_arrays(off, pc.take(pieces, flat), mask=pc.is_null(id_lists))
+        joined = pc.binary_join(parts, b"")
+        out = [None if b is None else b.decode("utf-8", errors="replace") for b in joined.to_pylist()]
+        return pa.array(out, pa.string())
 
     return _text
 
