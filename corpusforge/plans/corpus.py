@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions.text import non_blank
 from corpusforge.operators import order, pack, wordtok
+from corpusforge.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -61,11 +62,18 @@ def train_word_vocab(docs: DataFrame, p: CorpusParams, id_col: str = "doc_id") -
 
 
 def tokenize_documents(split_docs: DataFrame, vocab: DataFrame, p: CorpusParams,
-                       id_col: str = "doc_id") -> DataFrame:
-    """T5 + T6 per document; keeps X1's bucket so the stream sum needs no shuffle."""
+                       id_col: str = "doc_id", materialize: bool = True) -> DataFrame:
+    """T5 + T6 per document; keeps X1's bucket so the stream sum needs no shuffle.
+
+    The tokenized table is a cut point: the stream prefix sum reads it twice
+    (per-bucket totals and the windowed rows), so it is checkpointed once into
+    the shared folder instead of being tokenized twice.  A checkpoint keeps
+    the range partitioning by bucket.
+    """
     enc = wordtok.encode_words(split_docs, "text", vocab, keys=[order.BUCKET, id_col],
                                carry=["split", "pos", "order_key"], vocab_size_bound=p.vocab_size)
-    return enc.withColumn("ids", wordtok.frame("ids", double=p.double_framing))
+    enc = enc.withColumn("ids", wordtok.frame("ids", double=p.double_framing))
+    return cut_lineage(enc) if materialize else enc
 
 
 def streamed_documents(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:

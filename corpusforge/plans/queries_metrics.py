@@ -11,6 +11,7 @@ from corpusforge.functions.text import IGNORE_INDEX, parse_object, fenced_payloa
 from corpusforge.operators import annotate, candidates as N, metrics as Mx, order, prefs, prompts, wordtok
 from corpusforge.plans import sqlparts as S
 from corpusforge.plans.queries import ids_str, register, table
+from corpusforge.session import cut_lineage
 
 R6 = 9  # digits kept by rounded float outputs (sums of 2-decimal inputs never sit on a half at 9)
 
@@ -235,8 +236,10 @@ def _bigram_sql() -> str:
 
 
 def bigrams(spark, d):
+    """Corpus bigram candidates, written once to the shared checkpoint folder
+    (the ranking operators read their input several times)."""
     docs = table(spark, d, "documents").select(wordtok.words("text").alias("words"))
-    return N.bigram_candidates(docs, "words")
+    return cut_lineage(N.bigram_candidates(docs, "words"))
 
 
 @register("n2_top_k_with_ties", f"""WITH {_bigram_sql().strip()},
