@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions.text import non_blank
 from corpusforge.operators import order, pack, wordtok
-from corpusforge.session import cut_lineage
+from pyspark import StorageLevel
 
 
 @dataclass(frozen=True)
@@ -65,15 +65,18 @@ def tokenize_documents(split_docs: DataFrame, vocab: DataFrame, p: CorpusParams,
                        id_col: str = "doc_id", materialize: bool = True) -> DataFrame:
     """T5 + T6 per document; keeps X1's bucket so the stream sum needs no shuffle.
 
-    The tokenized table is a cut point: the stream prefix sum reads it twice
-    (per-bucket totals and the windowed rows), so it is checkpointed once into
-    the shared folder instead of being tokenized twice.  A checkpoint keeps
-    the range partitioning by bucket.
+    The tokenized table is read twice by the stream prefix sum (per-bucket
+    totals and the windowed rows), so it is persisted (memory and disk)
+    rather than tokenized twice.  A cached plan keeps its range partitioning
+    by bucket, so the windowed read needs no shuffle; a reliable checkpoint
+    would drop that partitioning and cost a shuffle of all tokens.  A lost
+    cache block is recomputed from the (deterministic) lineage.  Callers
+    ``unpersist()`` when done.
     """
     enc = wordtok.encode_words(split_docs, "text", vocab, keys=[order.BUCKET, id_col],
                                carry=["split", "pos", "order_key"], vocab_size_bound=p.vocab_size)
     enc = enc.withColumn("ids", wordtok.frame("ids", double=p.double_framing))
-    return cut_lineage(enc) if materialize else enc
+    return enc.persist(StorageLevel.MEMORY_AND_DISK) if materialize else enc
 
 
 def streamed_documents(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
