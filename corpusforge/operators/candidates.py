@@ -75,10 +75,11 @@ def nucleus(df: DataFrame, k: int = 100, top_p: float = 0.9, temperature: float
 
 def weighted_draw(df: DataFrame, seed: int = 0, prob: str = "prob") -> DataFrame:
     """One categorical draw per context with the Gumbel-max trick:
-    ``argmax(log p - log(-log u))``, ``u`` from a hash of (seed, context,
-    item).  ``max_by`` aggregates map-side."""
-    h = F.xxhash64(F.lit(seed), F.col(CTX), F.col(ITEM))
-    u = (F.pmod(h, F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
+    ``argmax(log p - log(-log u))``.  ``u`` is uniform in (0, 1) from the
+    first 13 hex digits of ``md5('<seed>:<context>:<item>')`` (portable to
+    other engines); ``max_by`` aggregates map-side."""
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(CTX).cast("string"), F.col(ITEM).cast("string")))
+    u = (F.conv(F.substring(h, 1, 13), 16, 10).cast("double") + 0.5) / float(16 ** 13)
     key = F.log(F.col(prob)) - F.log(-F.log(u))
     return (df.where(F.col(prob) > 0).withColumn("_g", key)
             .groupBy(CTX).agg(F.max_by(ITEM, "_g").alias("drawn_item")))

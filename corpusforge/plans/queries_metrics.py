@@ -277,7 +277,12 @@ def q_n4(spark, d):
                     F.round("prob", 9).alias("prob"))
 
 
-@register("n5_weighted_draw")
+@register("n5_weighted_draw", f"""WITH {_EMB_CANDS_SQL.strip()},
+    g AS (SELECT context_id, item_id,
+                 ln(prob) - ln(-ln((CAST(CAST('0x' || substr(md5(concat_ws(':', '3', CAST(context_id AS VARCHAR),
+                     CAST(item_id AS VARCHAR))), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / {16 ** 13}.0)) AS gk
+          FROM probs WHERE prob > 0)
+SELECT context_id, arg_max(item_id, gk) AS drawn_item FROM g GROUP BY context_id""")
 def q_n5(spark, d):
     return N.weighted_draw(N.softmax(emb_candidates(spark, d), temperature=0.7), seed=3)
 
