@@ -79,6 +79,28 @@ def tokenize_documents(split_docs: DataFrame, vocab: DataFrame, p: CorpusParams,
     return enc.persist(StorageLevel.MEMORY_AND_DISK) if materialize else enc
 
 
+def train_bpe_model(docs: DataFrame, p: CorpusParams, merges: int, id_col: str = "doc_id",
+                    mode: str = "exact", min_frequency: int = 2):
+    """D9 sample -> T2 pre-token counts -> T3 byte-level BPE."""
+    from corpusforge.functions.text import CHAT_SPECIALS
+    from corpusforge.operators import bpe
+
+    words = bpe.pretoken_counts(tokenizer_sample(docs, p, id_col), "text")
+    return bpe.train_bpe(words, vocab_size=len(CHAT_SPECIALS) + 256 + merges, min_frequency=min_frequency,
+                         mode=mode)
+
+
+def tokenize_documents_bpe(split_docs: DataFrame, model, p: CorpusParams, materialize: bool = True) -> DataFrame:
+    """T5 + T6 with a BPE model.  The Arrow UDF is a row-wise projection, so
+    the documents keep X1's bucket partitioning and no shuffle happens."""
+    from corpusforge.operators import bpe
+
+    enc = bpe.encode_column(split_docs.sparkSession, model)
+    out = split_docs.select(order.BUCKET, "doc_id", "split", "pos", "order_key",
+                            bpe.frame(enc("text"), double=p.double_framing).alias("ids"))
+    return out.persist(StorageLevel.MEMORY_AND_DISK) if materialize else out
+
+
 def streamed_documents(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """C1 + C2: tokens per document and offsets in the split's stream."""
     return pack.stream_offsets(tokens, ["order_key", id_col], "ids", stream_cols=("split",))

@@ -177,3 +177,29 @@ def q_x2(spark, d):
     lab = chunking.greedy_chunks(lines, "doc_id", "ln", "size", X2_BOUND)
     return lab.groupBy("doc_id", "chunk_id").agg(F.count(F.lit(1)).alias("n_lines"),
                                                  F.sum("size").cast("long").alias("n_chars"))
+
+
+@register("c4_bpe_packed_sequences")
+def q_c4_bpe(spark, d):
+    """The reference's pre-training path end to end with byte-level BPE:
+    split -> BPE on the capped train sample -> encode -> stream -> pack."""
+    docs = table(spark, d, "documents")
+    model = bpe_model(spark, d)
+    toks = corpus.tokenize_documents_bpe(corpus.split_documents(docs, CORPUS), model, CORPUS)
+    seqs = corpus.packed(corpus.streamed_documents(toks), CORPUS)
+    return seqs.select("split", "seq_id", ids_str("input_ids").alias("input_ids"),
+                       ids_str("target_ids").alias("target_ids"))
+
+
+@register("f1_f5_sft_rows_bpe")
+def q_f_bpe(spark, d):
+    """Instruction rows with the BPE model; both columns are encoded by the
+    row-wise Arrow UDF (no explode/regroup shuffle)."""
+    from corpusforge.operators import sft
+
+    model = bpe_model(spark, d)
+    enc = bpe.encode_column(spark, model)
+    pairs = sft.chat_pairs(table(spark, d, "conversations"))
+    ids = pairs.select("index", enc("instruction").alias("i_ids"), enc("response").alias("r_ids"))
+    rows = sft.sft_rows(ids, "i_ids", "r_ids", 256)
+    return rows.select("index", "n_tokens", "instr_len", "truncated", ids_str("input_ids").alias("input_ids"))

@@ -88,3 +88,30 @@ def test_encode_decode_roundtrip_and_specials(spark):
 def F_join(col):
     from pyspark.sql import functions as F
     return F.array_join(bpe.pretokens(col), "") == F.col(col)
+
+
+def test_bpe_corpus_plan_equals_flat_brute_force(spark):
+    import regex
+
+    from corpusforge.functions.bytelevel import bpe_segment
+    from corpusforge.plans import corpus
+    from conftest import docs as load_docs
+
+    p = corpus.CorpusParams(context_length=64)
+    d = load_docs(spark)
+    model = corpus.train_bpe_model(d, p, merges=20)
+    toks = corpus.tokenize_documents_bpe(corpus.split_documents(d, p), model, p)
+    seqs = corpus.packed(corpus.streamed_documents(toks), p).collect()
+    pat = regex.compile(r"<\|(?:pad|unk|bos|eos|user|assistant)\|>|'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
+                        r"| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+    ranks = model.ranks()
+    rows = corpus.split_documents(d, p).select("doc_id", "text", "split", "pos").collect()
+    streams = {"train": [], "validation": []}
+    for r in sorted(rows, key=lambda r: r.pos):
+        ids = [model.token_to_id[t] for w in pat.findall(r.text) for t in bpe_segment(to_symbols(w), ranks)]
+        streams[r.split] += [2] + ids + [3]
+    got = {(r.split, r.seq_id): list(r.input_ids) + [r.target_ids[-1]] for r in seqs}
+    for split, flat in streams.items():
+        n = max(0, (len(flat) - 65) // 64 + 1)
+        assert [got[(split, i)] for i in range(n)] == [flat[i * 64:i * 64 + 65] for i in range(n)]
+        assert len([k for k in got if k[0] == split]) == n
