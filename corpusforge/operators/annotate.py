@@ -63,16 +63,29 @@ def _call_rows(responder: Responder, prompts: list[str], max_retries: int,
     return [("error", max_retries, None, last)]
 
 
+def concurrency_plan(max_in_flight: int, max_tasks: int) -> tuple[int, int]:
+    """L2: (tasks, requests per task) with ``tasks * per_task <= max_in_flight``."""
+    tasks = max(1, min(max_tasks, max_in_flight))
+    return tasks, max(1, max_in_flight // tasks)
+
+
 def annotate(df: DataFrame, prompt_col: str, responder: Responder, keys: Sequence[str],
              max_retries: int = 3, backoff: float = 0.0, batch_size: int = 32,
-             in_flight_per_task: int = 1, carry: Sequence[str] = ()) -> DataFrame:
+             in_flight_per_task: int = 1, carry: Sequence[str] = (),
+             max_in_flight: int | None = None) -> DataFrame:
     """L1 (+L2, L6): ``keys, carry, prompt_col, status, attempts, reply, error``.
 
     ``in_flight_per_task`` threads call the responder concurrently inside a
-    task; with ``p`` tasks running the global bound is ``p * in_flight``.
+    task.  With ``max_in_flight`` (the reference's 50 / 200) the rows are
+    spread over ``p`` tasks and each runs ``max_in_flight // p`` requests, so
+    at most ``max_in_flight`` are in flight even when all tasks run at once.
     """
     cols = list(keys) + list(carry) + [prompt_col]
     base = df.select(*cols)
+    if max_in_flight is not None:
+        tasks, in_flight_per_task = concurrency_plan(max_in_flight,
+                                                     df.sparkSession.sparkContext.defaultParallelism)
+        base = base.repartition(tasks)
     schema = T.StructType([base.schema[c] for c in cols] + RESULT_FIELDS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -312,7 +312,7 @@ def _sft_annotation(spark, d):
     items = table(spark, d, "benchmark").withColumnRenamed("item_id", "doc_id")
     sp = prompts.story_prompts(items, "doc_id", "text", 2000)
     return annotate.annotate(sp, "prompt", responders.StubPairResponder(), ["index"], max_retries=3,
-                             batch_size=8, in_flight_per_task=2)
+                             batch_size=8, max_in_flight=50)
 
 
 @register("l1_annotate_pairs")

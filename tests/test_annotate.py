@@ -62,3 +62,11 @@ def test_stream_equals_batch(spark, tmp_dir):
     errs = {r["index"] for r in spark.read.schema("index long").json(err).collect()} if os.path.exists(err) else set()
     assert {k: ok[k] for k in streamed} == streamed
     assert set(ok) == set(streamed) and not (errs & set(streamed))
+
+
+def test_concurrency_bound(spark):
+    assert annotate.concurrency_plan(50, 8) == (8, 6)
+    assert annotate.concurrency_plan(200, 1000) == (200, 1)
+    df = spark.createDataFrame([(i, f"p{i}") for i in range(20)], "index long, prompt string")
+    got = annotate.annotate(df, "prompt", FlakyEcho({}), ["index"], max_in_flight=4).collect()
+    assert sorted(r["index"] for r in got) == list(range(20)) and all(r.status == "ok" for r in got)
