@@ -48,8 +48,8 @@ FROM conversations""")
 def q_p1(spark, d):
     c = table(spark, d, "conversations")
     s = X.strip("text")
-    return c.select("conv_id", "turn", F.length(s).alias("stripped_chars"),
-                    (F.length("text") - F.length(s)).alias("removed_chars"))
+    return c.select("conv_id", "turn", F.length(s).cast("long").alias("stripped_chars"),
+                    (F.length("text") - F.length(s)).cast("long").alias("removed_chars"))
 
 
 @register("p2_blank_filter", f"""
@@ -150,7 +150,8 @@ SELECT epoch, doc_id, batch_id FROM (
          CAST(floor((row_number() OVER (PARTITION BY epoch ORDER BY
                md5(concat_ws(':', CAST(epoch AS VARCHAR), CAST(doc_id AS VARCHAR))), doc_id) - 1) / {batch}) AS BIGINT)
            AS batch_id
-  FROM (SELECT doc_id, count(*) OVER () AS n FROM labels), range(0, {epochs}) e(epoch)) {keep}"""
+  FROM (SELECT doc_id, count(*) OVER () AS n FROM labels),
+       (SELECT CAST(range AS INTEGER) AS epoch FROM range(0, {epochs}))) {keep}"""
 
 
 @register("d10_batch_plan", _plan_sql(3, 16, True))

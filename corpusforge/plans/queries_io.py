@@ -94,7 +94,8 @@ SELECT p.index, CASE WHEN o.pos < o.n - floor(o.n * 0.1) THEN 'train' ELSE 'vali
 FROM padded p JOIN sft_order o USING (index)""")
 def q_f7(spark, d):
     rows = _sft_rows(spark, d)
-    return order.random_split(rows, "index", 0.1, seed=42).select("index", "split", "n_tokens")
+    return order.random_split(rows, "index", 0.1, seed=42).select(
+        "index", "split", F.col("n_tokens").cast("long").alias("n_tokens"))
 
 
 @register("p10_verdict_parse", f"""

@@ -64,7 +64,7 @@ _DPO_SQL = f"""WITH {_SCORED_SQL.strip()},
            FROM seq GROUP BY example_id),
     zt AS (SELECT *, 0.1 * ((pi_c - pi_r) - (ref_c - ref_r)) AS z FROM ex),
     per AS (SELECT example_id, z, greatest(-z, 0.0) + ln(1 + exp(-abs(z))) AS loss,
-                   CASE WHEN z > 0 THEN 1.0 ELSE 0.0 END AS correct,
+                   CASE WHEN z > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS correct,
                    0.1 * (pi_c - ref_c) AS chosen_reward, 0.1 * (pi_r - ref_r) AS rejected_reward FROM zt)"""
 
 
@@ -105,7 +105,7 @@ def _ce_tokens(spark, d):
 SELECT CAST(floor(example_id / 8) AS BIGINT) AS batch_id,
        round(sum(-logp * CASE WHEN label <> -100 THEN 1.0 ELSE 0.0 END)
              / (sum(CASE WHEN label <> -100 THEN 1.0 ELSE 0.0 END) + 1e-8), {R6}) AS masked_ce,
-       sum(CASE WHEN label <> -100 THEN 1.0 ELSE 0.0 END) AS n_scored
+       CAST(sum(CASE WHEN label <> -100 THEN 1.0 ELSE 0.0 END) AS DOUBLE) AS n_scored
 FROM scored WHERE model = 'policy' GROUP BY 1""")
 def q_m3(spark, d):
     m = Mx.masked_mean_ce(_ce_tokens(spark, d), ["batch_id"])

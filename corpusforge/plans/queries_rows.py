@@ -82,7 +82,7 @@ SELECT doc_id AS index, {S.q(prompts.STORY_TEMPLATE.split('{story}')[0])} || lef
 FROM documents""")
 def q_p4(spark, d):
     sp = prompts.story_prompts(table(spark, d, "documents"))
-    return sp.select("index", "prompt", F.length("response").alias("response_chars"))
+    return sp.select("index", "prompt", F.length("response").cast("long").alias("response_chars"))
 
 
 def _cats_values() -> str:
@@ -164,13 +164,15 @@ SELECT p.index, p.n_tokens, p.instr_len, p.truncated, {S.ids_sql('p.p[1:' + str(
 FROM padded p JOIN masks m USING (index)""")
 def q_f15(spark, d):
     r = _sft_rows(spark, d)
-    return r.select("index", "n_tokens", "instr_len", "truncated", ids_str("input_ids").alias("input_ids"),
+    return r.select("index", F.col("n_tokens").cast("long").alias("n_tokens"),
+                    F.col("instr_len").cast("long").alias("instr_len"), "truncated",
+                    ids_str("input_ids").alias("input_ids"),
                     ids_str("target_ids").alias("target_ids"),
                     ids_str(F.transform("loss_mask", lambda x: x.cast("int"))).alias("loss_mask"))
 
 
 @register("f6_sft_stats", _SFT_SQL + f"""
-SELECT count(*) AS n_rows, round(avg(n_tokens), 6) AS avg_len, max(n_tokens) AS max_len,
+SELECT count(*) AS n_rows, round(avg(n_tokens), 6) AS avg_len, CAST(max(n_tokens) AS INTEGER) AS max_len,
        count(CASE WHEN n_tokens >= {M_SFT} THEN 1 END) AS at_or_over_max,
        count(CASE WHEN n_tokens = {M_SFT} AND NOT truncated THEN 1 END) AS exact_max,
        count(CASE WHEN truncated THEN 1 END) AS truncated

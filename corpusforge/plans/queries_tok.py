@@ -131,7 +131,7 @@ def q_t6(spark, d):
     p = corpus.CorpusParams(vocab_size=4096, double_framing=True)
     docs = table(spark, d, "documents")
     tok = corpus.tokenize_documents(corpus.split_documents(docs, p), corpus.train_word_vocab(docs, p), p)
-    return tok.select("doc_id", F.size("ids").alias("n_tokens"), "split")
+    return tok.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "split")
 
 
 @register("k5_vocab_dump", f"""WITH {S.split_docs_cte().strip()}, {S.word_vocab_cte(4096).strip()}

@@ -84,9 +84,9 @@ def doc_tokens_cte(double=False) -> str:
       UNION ALL SELECT doc_id, split, pos, n_tokens - 1 - b, 3 FROM doc_len, range(0, {n}) t(b)),
     streamed AS (
       SELECT doc_id, split, pos, n_tokens,
-             sum(n_tokens) OVER (PARTITION BY split ORDER BY order_key, doc_id
-                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n_tokens AS tok_offset,
-             sum(n_tokens) OVER (PARTITION BY split) AS tok_total
+             CAST(sum(n_tokens) OVER (PARTITION BY split ORDER BY order_key, doc_id
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n_tokens AS BIGINT) AS tok_offset,
+             CAST(sum(n_tokens) OVER (PARTITION BY split) AS BIGINT) AS tok_total
       FROM doc_len),
     stream_tokens AS (
       SELECT f.split, s.tok_offset + f.j AS t, f.tok, s.tok_total
