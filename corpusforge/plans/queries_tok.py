@@ -203,3 +203,33 @@ def q_f_bpe(spark, d):
     ids = pairs.select("index", enc("instruction").alias("i_ids"), enc("response").alias("r_ids"))
     rows = sft.sft_rows(ids, "i_ids", "r_ids", 256)
     return rows.select("index", "n_tokens", "instr_len", "truncated", ids_str("input_ids").alias("input_ids"))
+
+
+@register("plan_sft_from_seeds")
+def q_plan_sft(spark, d):
+    """SURVEY 3.2 end to end: one task per document id (P14), a stub
+    responder, parsing with an error table, BPE encoding, SFT rows, split."""
+    from corpusforge.functions.responders import StubPairResponder
+    from corpusforge.plans import instruct
+
+    pairs, _errors = instruct.generate_pairs(table(spark, d, "documents").select("doc_id"), "doc_id",
+                                             StubPairResponder(), max_in_flight=50)
+    enc = bpe.encode_column(spark, bpe_model(spark, d))
+    rows = instruct.sft_dataset(pairs, enc, max_length=256)
+    return rows.select("index", "split", "n_tokens", "instr_len", "truncated")
+
+
+@register("plan_preferences_from_prompts")
+def q_plan_dpo(spark, d):
+    """SURVEY 3.3 end to end over the benchmark prompts: D3 sample, two stub
+    candidates each, a stub judge, parsed verdicts, preference rows."""
+    from corpusforge.functions.responders import StubStyleResponder, StubVerdictResponder
+    from corpusforge.plans import instruct
+
+    pairs = instruct.response_pairs(table(spark, d, "benchmark"), "item_id", "text", StubStyleResponder("gen"),
+                                    n=1000)
+    prefs_df, _unparsed = instruct.judge_preferences(pairs, StubVerdictResponder())
+    enc = bpe.encode_column(spark, bpe_model(spark, d))
+    rows = instruct.preference_dataset(prefs_df, enc, max_length=256)
+    return rows.select("index", "split", "prompt_overflow",
+                       F.size(F.filter("chosen_labels", lambda x: x != -100)).alias("chosen_scored"))
