@@ -163,11 +163,33 @@ def prefix_n(df: DataFrame, id_col: str, n: int) -> DataFrame:
     return d.where(F.col("pos") < F.lit(int(n)))
 
 
+def quantile_buckets(df: DataFrame, col: str, n_buckets: int, out_col: str = "_qbucket") -> DataFrame:
+    """Adds a bucket index monotone in ``col`` with about equal row counts
+    per bucket, whatever the key distribution: approximate quantiles (one
+    aggregate) give the boundaries, and ML's ``Bucketizer`` assigns buckets
+    by binary search on the JVM.  At most ``n_buckets`` distinct values."""
+    from pyspark.ml.feature import Bucketizer
+
+    if n_buckets <= 1:
+        return df.withColumn(out_col, F.lit(0).cast("long"))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = df.select(F.percentile_approx(F.col(col).cast("double"), probs, 10_000).alias("q")).first()["q"]
+    splits = [float("-inf")] + sorted({float(b) for b in (bounds or [])}) + [float("inf")]
+    tmp = "_qb_in"
+    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out_col, handleInvalid="keep")
+    return (b.transform(df.withColumn(tmp, F.col(col).cast("double")))
+            .withColumn(out_col, F.col(out_col).cast("long")).drop(tmp))
+
+
 def input_positions(df: DataFrame, id_col: str, partition_cols: Sequence[str] = ()) -> DataFrame:
-    """X1 over the input order (a numeric id), for head splits and prefixes."""
+    """X1 over the input order (a numeric id), for head splits and prefixes.
+
+    Buckets come from approximate quantiles of the id, so gaps or clusters in
+    the ids do not make a hot bucket."""
     n_buckets = max(1, math.ceil(df.count() / TARGET_ROWS_PER_BUCKET))
-    return global_position(df, [id_col], numeric_bucket(df, id_col, n_buckets),
-                           partition_cols=partition_cols, bucket_bound=n_buckets + 1)
+    d = quantile_buckets(df, id_col, n_buckets)
+    return global_position(d, [id_col], F.col("_qbucket"), partition_cols=partition_cols,
+                           bucket_bound=n_buckets + 1).drop("_qbucket")
 
 
 def label_split(pos: Column, n_total: Column, val_ratio: float, val_at: str = "tail") -> Column:
@@ -222,8 +244,11 @@ def batch_plan(df: DataFrame, id_col: str, epochs: int, batch_size: int,
     Returns ``epoch, <id_col>, pos, batch_id`` (+ input columns).  Epochs are
     generated with ``explode`` (no join); positions restart per epoch.
     """
-    d = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     n = df.count()
+    nb = max(1, math.ceil(n / TARGET_ROWS_PER_BUCKET))
+    if not shuffle:
+        df = quantile_buckets(df, id_col, nb)
+    d = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     if shuffle:
         d = d.withColumn("order_key", order_key_expr_epoch(seed_offset, id_col))
         digits = hex_digits_for(n)
@@ -231,9 +256,8 @@ def batch_plan(df: DataFrame, id_col: str, epochs: int, batch_size: int,
                             partition_cols=["epoch"], bucket_bound=16 ** digits,
                             partition_fanout=epochs)
     else:
-        nb = max(1, math.ceil(n / TARGET_ROWS_PER_BUCKET))
-        d = global_position(d, [id_col], numeric_bucket(df, id_col, nb), partition_cols=["epoch"],
-                            bucket_bound=nb + 1, partition_fanout=epochs)
+        d = global_position(d, [id_col], F.col("_qbucket"), partition_cols=["epoch"],
+                            bucket_bound=nb + 1, partition_fanout=epochs).drop("_qbucket")
     d = d.withColumn("batch_id", F.floor(F.col("pos") / F.lit(batch_size)).cast("long"))
     if drop_last:
         d = d.where(F.col("batch_id") < F.floor(F.col("n_total") / F.lit(batch_size)))

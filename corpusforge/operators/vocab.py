@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import non_blank, strip
-from corpusforge.operators.order import TARGET_ROWS_PER_BUCKET, global_position, numeric_bucket
+from corpusforge.operators.order import TARGET_ROWS_PER_BUCKET, global_position, quantile_buckets
 
 
 def append_specials(vocab: DataFrame, tokens: Sequence[str]) -> DataFrame:
@@ -38,8 +38,8 @@ def first_lines(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFram
     counts = docs.select(id_col, F.size(F.split(F.col(text_col), "\n")).alias("_nl"))
     n_docs = docs.count()
     nb = max(1, -(-n_docs // TARGET_ROWS_PER_BUCKET))
-    off = global_position(counts, [id_col], numeric_bucket(docs, id_col, nb), sums={"l": F.col("_nl")},
-                          bucket_bound=nb + 1)
+    counts = quantile_buckets(counts, id_col, nb)
+    off = global_position(counts, [id_col], F.col("_qbucket"), sums={"l": F.col("_nl")}, bucket_bound=nb + 1)
     head = off.where(F.col("l_offset") < n).select(id_col, "l_offset")
     head = F.broadcast(head) if n <= 5_000_000 else head
     lines = (docs.join(head, on=id_col, how="inner")

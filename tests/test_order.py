@@ -84,3 +84,14 @@ def test_batch_plan_reshuffles_and_drops_last(spark):
 def test_pool_keeps_duplicates(spark):
     a = spark.createDataFrame([("x",), ("y",)], "text string")
     assert order.pool(a, a).count() == 4
+
+
+def test_quantile_buckets_balance_clustered_ids(spark):
+    # ids clustered in a narrow range plus a long sparse tail
+    ids = list(range(1000)) + [10 ** 9 + i * 10 ** 6 for i in range(50)]
+    d = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    b = order.quantile_buckets(d, "doc_id", 4)
+    sizes = sorted(r["count"] for r in b.groupBy("_qbucket").count().collect())
+    assert len(sizes) == 4 and max(sizes) <= 2 * min(sizes)
+    got = order.input_positions(d, "doc_id").collect()
+    assert sorted((r.doc_id, r.pos) for r in got) == [(v, i) for i, v in enumerate(sorted(ids))]
