@@ -49,22 +49,6 @@ def hex_bucket(key: Column | str, digits: int) -> Column:
     return F.substring(_c(key), 1, digits)
 
 
-def numeric_bucket(df: DataFrame, col: str, n_buckets: int | None = None) -> Column:
-    """Equal-width bucket of a numeric key, monotone in the key; at most
-    ``n_buckets + 1`` distinct values.  Even sizes assume dense ids.
-
-    Runs one small aggregate (min, max, count) to size the buckets.
-    """
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    lo, hi, n = row["lo"], row["hi"], row["n"]
-    if lo is None:
-        return F.lit(0).cast("long")
-    if n_buckets is None:
-        n_buckets = max(1, math.ceil(n / TARGET_ROWS_PER_BUCKET))
-    width = max(1, math.ceil((hi - lo + 1) / n_buckets))
-    return F.floor((F.col(col) - F.lit(lo)) / F.lit(width)).cast("long")
-
-
 def global_position(
     df: DataFrame,
     order_cols: Sequence[Column | str],

@@ -95,3 +95,12 @@ def test_quantile_buckets_balance_clustered_ids(spark):
     assert len(sizes) == 4 and max(sizes) <= 2 * min(sizes)
     got = order.input_positions(d, "doc_id").collect()
     assert sorted((r.doc_id, r.pos) for r in got) == [(v, i) for i, v in enumerate(sorted(ids))]
+
+
+def test_batch_plan_in_order_for_validation(spark):
+    d = spark.createDataFrame([(i * 3,) for i in range(20)], "doc_id long")
+    plan = order.batch_plan(d, "doc_id", epochs=2, batch_size=6, shuffle=False).collect()
+    for e in (0, 1):
+        rows = sorted((r for r in plan if r.epoch == e), key=lambda r: r.doc_id)
+        assert [r.pos for r in rows] == list(range(20))
+        assert [r.batch_id for r in rows] == [i // 6 for i in range(20)]
