@@ -24,7 +24,23 @@ def bpe_model(spark, d, merges: int = BPE_MERGES) -> bpe.BpeModel:
     return _MODELS[key]
 
 
-@register("t1_pretokenize")
+# Java's Unicode \s (White_Space), written out for RE2.
+_WSU = r"\t\n\x{0B}\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+# The pre-tokenisation pattern without its look-ahead: a whitespace run is one
+# token.  The look-ahead version splits the last character off a run of two
+# or more that precedes a non-space; when that character is a space it joins
+# the next token (same count), otherwise it is a token of its own (+1).
+_RE2_PRETOK = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + _WSU + r"\p{L}\p{N}]+|[" + _WSU + "]+")
+_RE2_RUNS = "([" + _WSU + "]+)[^" + _WSU + "]"
+
+
+@register("t1_pretokenize", f"""
+SELECT doc_id,
+       CAST(len(regexp_extract_all(text, {S.q(_RE2_PRETOK)}))
+            + len(list_filter(regexp_extract_all(text, {S.q(_RE2_RUNS)}, 1),
+                              lambda r: length(r) >= 2 AND right(r, 1) <> ' ')) AS INTEGER) AS n_pretokens,
+       array_to_string(regexp_extract_all(text, {S.q(_RE2_PRETOK)}), '') = text AS lossless
+FROM documents""")
 def q_t1(spark, d):
     docs = table(spark, d, "documents")
     toks = bpe.pretokens("text")
