@@ -115,3 +115,30 @@ def test_bpe_corpus_plan_equals_flat_brute_force(spark):
         n = max(0, (len(flat) - 65) // 64 + 1)
         assert [got[(split, i)] for i in range(n)] == [flat[i * 64:i * 64 + 65] for i in range(n)]
         assert len([k for k in got if k[0] == split]) == n
+
+
+def test_pretoken_count_formula_matches_lookahead_pattern(spark):
+    """The DuckDB oracle for T1 counts look-ahead-free matches plus a
+    correction; check both against the JVM pattern on whitespace edge rows."""
+    import duckdb
+    import regex
+
+    import corpusforge.plans.queries_tok  # noqa: F401 (registers t1)
+    from corpusforge.plans.queries import ORACLES
+
+    texts = ["a  b", "a\n\nb", "a \nb", "a\n b", "  x", "x  ", "x\t\t\ty", "p  q", "it's  'quoted'  ",
+             "1 2  3\n\n\n4", "   ", "\n", "a　　b", "end.\n\n"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    spark_n = {r.doc_id: r.n for r in df.select("doc_id", F_size(bpe.pretokens("text")).alias("n")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id INTEGER, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    duck_n = {r[0]: r[1] for r in con.execute(ORACLES["t1_pretokenize"]).fetchall()}
+    pat = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+    py_n = {i: len(pat.findall(t)) for i, t in enumerate(texts)}
+    assert spark_n == duck_n == py_n
+
+
+def F_size(c):
+    from pyspark.sql import functions as F
+    return F.size(c)
