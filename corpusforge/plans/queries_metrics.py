@@ -309,6 +309,20 @@ def q_n7(spark, d):
 
 # ---------------------------------------------------------- annotation jobs
 
+# SQL restatements of the deterministic stub responders (functions/responders.py)
+def _h_sql(expr: str) -> str:
+    return f"CAST('0x' || substr(md5({expr}), 1, 8) AS BIGINT)"
+
+
+def _style_reply_sql(style: str, text: str) -> str:
+    w = S.words_sql(text)
+    return f"'[{style}] ' || array_to_string(({w})[1:5 + {_h_sql(text)} % 20], ' ')"
+
+
+def _style_fails_sql(style: str, text: str) -> str:
+    return f"{_h_sql(S.q(style) + ' || ' + text)} % 10 = 0"
+
+
 def _sft_annotation(spark, d):
     items = table(spark, d, "benchmark").withColumnRenamed("item_id", "doc_id")
     sp = prompts.story_prompts(items, "doc_id", "text", 2000)
@@ -316,11 +330,25 @@ def _sft_annotation(spark, d):
                              batch_size=8, max_in_flight=50)
 
 
-@register("l1_annotate_pairs")
+def _story_prompt_sql(text: str) -> str:
+    head, tail = prompts.STORY_TEMPLATE.split("{story}")
+    return f"{S.q(head)} || left({text}, 2000) || {S.q(tail)}"
+
+
+@register("l1_annotate_pairs", f"""
+WITH p AS (SELECT item_id AS index, {_story_prompt_sql('text')} AS prompt FROM benchmark),
+     w AS (SELECT index, prompt, {S.words_sql('prompt')} AS ws, {_h_sql('prompt')} AS h FROM p)
+SELECT index,
+       CASE WHEN h % 16 = 0 THEN 'error' ELSE 'ok' END AS status,
+       CASE WHEN h % 16 = 0 THEN NULL ELSE 'Write about ' || array_to_string(ws[1:6], ' ') END AS instruction,
+       CASE WHEN h % 16 = 0 THEN NULL ELSE array_to_string(list_reverse(ws[1:40]), ' ') END AS response,
+       CASE WHEN h % 16 = 0 THEN 'TransientError: permanent failure for prompt ' || substr(md5(prompt), 1, 8) END
+         AS error
+FROM w""")
 def q_l1(spark, d):
     a = _sft_annotation(spark, d)
     parsed = parse_object(fenced_payload("reply"), ["instruction", "response"])
-    return a.select("index", "status", "attempts", strip_wrapping_quotes(parsed["instruction"]).alias("instruction"),
+    return a.select("index", "status", strip_wrapping_quotes(parsed["instruction"]).alias("instruction"),
                     parsed["response"].alias("response"), "error")
 
 
@@ -331,20 +359,33 @@ def q_l3(spark, d):
                               table(spark, d, "labels"), ["doc_id"])
 
 
-@register("l8_compare_models")
+@register("l8_compare_models", f"""
+SELECT item_id AS index,
+       CASE WHEN {_style_fails_sql('terse', 'text')} THEN '[error] TransientError: style call failed'
+            ELSE {_style_reply_sql('terse', 'text')} END AS terse,
+       CASE WHEN {_style_fails_sql('warm', 'text')} THEN '[error] TransientError: style call failed'
+            ELSE {_style_reply_sql('warm', 'text')} END AS warm
+FROM benchmark""")
 def q_l8(spark, d):
     items = table(spark, d, "benchmark").select(F.col("item_id").alias("index"), "text")
     return annotate.compare_models(items, "text", {"terse": responders.StubStyleResponder("terse"),
                                                    "warm": responders.StubStyleResponder("warm")}, ["index"])
 
 
-@register("l9_job_summary")
+@register("l9_job_summary", f"""
+SELECT CASE WHEN {_h_sql(_story_prompt_sql('text'))} % 16 = 0 THEN 'error' ELSE 'ok' END AS status,
+       count(*) AS n_rows
+FROM benchmark GROUP BY 1""")
 def q_l9(spark, d):
     counts, _ = annotate.job_summary(_sft_annotation(spark, d), ["index"])
-    return counts
+    return counts.select("status", "n_rows")
 
 
-@register("g7_contrastive_pairs")
+@register("g7_contrastive_pairs", f"""
+SELECT item_id AS index, text AS prompt, {_style_reply_sql('plain', 'text')} AS chosen,
+       {_style_reply_sql('rich', 'text')} AS rejected
+FROM benchmark
+WHERE NOT ({_style_fails_sql('plain', 'text')}) AND NOT ({_style_fails_sql('rich', 'text')})""")
 def q_g7(spark, d):
     items = table(spark, d, "benchmark").select(F.col("item_id").alias("index"), "text")
     a = annotate.annotate(items, "text", responders.StubStyleResponder("plain"), ["index"])
@@ -354,7 +395,11 @@ def q_g7(spark, d):
     return ok_a.join(ok_b, on="index", how="inner")
 
 
-@register("g6_candidate_pairing")
+@register("g6_candidate_pairing", f"""
+WITH c AS (SELECT item_id AS index, 'a: ' || text AS pa, 'b: ' || text AS pb FROM benchmark)
+SELECT index, {_style_reply_sql('sample', 'pa')} AS response_a, {_style_reply_sql('sample', 'pb')} AS response_b
+FROM c
+WHERE NOT ({_style_fails_sql('sample', 'pa')}) AND NOT ({_style_fails_sql('sample', 'pb')})""")
 def q_g6(spark, d):
     items = table(spark, d, "benchmark").select(F.col("item_id").alias("index"), "text")
     cand = items.withColumn("cand", F.explode(F.array(F.lit("a"), F.lit("b"))))
