@@ -80,3 +80,18 @@ def test_manifest_cache_and_report(spark, tmp_dir):
     assert io.cache_key(spark, [src], "tok-v1") != k1
     rep = {r.name: (r.exists, r.n_rows) for r in io.input_report(spark, {"src": src, "nope": src + ".x"}).collect()}
     assert rep == {"src": (True, 4), "nope": (False, 0)}
+
+
+def test_vocab_tables_roundtrip_and_missing(spark, tmp_dir):
+    from corpusforge.operators import bpe
+    from corpusforge.functions.bytelevel import to_symbols
+
+    words = spark.createDataFrame([(w, f, list(to_symbols(w))) for w, f in {"abab": 5, "abc": 3}.items()],
+                                  "word string, freq long, syms array<string>")
+    model = bpe.train_bpe(words, 6 + 256 + 3)
+    path = os.path.join(tmp_dir, "tok")
+    io.write_vocab(model.vocab_df(spark), model.merges_df(spark), path)
+    back = bpe.BpeModel.from_frames(*io.read_vocab(spark, path))
+    assert back.token_to_id == model.token_to_id and back.merges == model.merges
+    with pytest.raises(FileNotFoundError):
+        io.read_vocab(spark, os.path.join(tmp_dir, "absent"))
