@@ -16,7 +16,7 @@ def spark():
     from corpusforge.session import CHECKPOINT_CONF
 
     ckpt = tempfile.mkdtemp(prefix="cf-test-ckpt-")
-    s = (SparkSession.builder.master("local[4]").appName("corpusforge-tests")
+    s = (SparkSession.builder.master("local[4,4]").appName("corpusforge-tests")  # task retries on
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
