@@ -70,3 +70,18 @@ def test_concurrency_bound(spark):
     df = spark.createDataFrame([(i, f"p{i}") for i in range(20)], "index long, prompt string")
     got = annotate.annotate(df, "prompt", FlakyEcho({}), ["index"], max_in_flight=4).collect()
     assert sorted(r["index"] for r in got) == list(range(20)) and all(r.status == "ok" for r in got)
+
+
+def test_rerun_with_all_some_none_done(spark, tmp_dir):
+    out, err = os.path.join(tmp_dir, "o"), os.path.join(tmp_dir, "e")
+    todo = spark.createDataFrame([(i, f"p{i}") for i in range(12)], "index long, prompt string")
+    # a crashed run left part of its output behind (written, nothing else recorded)
+    spark.createDataFrame([(i, f"P{i}") for i in range(5)], "index long, reply string").write.json(out)
+    s1 = annotate.run_resumable(todo, "prompt", FlakyEcho({"p7": -1}), ["index"], out, err)
+    assert s1 == {"ok": 6, "error": 1}  # 5 already done, 7 tried, p7 fails
+    s2 = annotate.run_resumable(todo, "prompt", FlakyEcho({}), ["index"], out, err)
+    assert s2 == {"ok": 1}  # only the failure is retried
+    s3 = annotate.run_resumable(todo, "prompt", FlakyEcho({}), ["index"], out, err)
+    assert s3 == {}  # all done: nothing to call
+    done = spark.read.json(out)
+    assert done.count() == 12 and done.select("index").distinct().count() == 12
