@@ -107,3 +107,42 @@ def q_p10(spark, d):
     c = table(spark, d, "conversations")
     raw = F.concat(F.lit(" "), F.lower(F.left("text", F.lit(1))), F.lit("\n"))
     return c.select("conv_id", "turn", X.parse_verdict(raw).alias("verdict"))
+
+
+@register("s3_line_source", f"""
+SELECT count(*) AS n_lines, CAST(sum(length({S.strip_sql('line')})) AS BIGINT) AS n_chars,
+       count(CASE WHEN length({S.strip_sql('line')}) = 0 THEN 1 END) AS n_empty
+FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)""")
+def q_s3(spark, d):
+    """Documents written as plain text (one record per document, ended by a
+    newline) and read back as stripped lines; empty lines are kept."""
+    path = scratch_path(spark, "lines")
+    table(spark, d, "documents").select("text").write.text(path)
+    lines = io.read_lines(spark, path)
+    return lines.agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("text")).cast("long").alias("n_chars"),
+                     F.count(F.when(F.length("text") == 0, 1)).alias("n_empty"))
+
+
+_REPORT_TABLES = ["documents", "conversations", "labels", "benchmark", "pages", "events", "embeddings"]
+
+
+@register("s10_input_report", " UNION ALL ".join(
+    f"SELECT '{t}' AS name, true AS exists, count(*) AS n_rows FROM {t}" for t in _REPORT_TABLES)
+    + " UNION ALL SELECT 'missing' AS name, false AS exists, CAST(0 AS BIGINT) AS n_rows")
+def q_s10(spark, d):
+    inputs = {t: f"{d.rstrip('/')}/{t}.parquet" for t in _REPORT_TABLES}
+    inputs["missing"] = f"{d.rstrip('/')}/missing.parquet"
+    return io.input_report(spark, inputs, fmt="parquet").select("name", "exists", "n_rows")
+
+
+@register("l7_trim_generated", f"""WITH {S.split_docs_cte().strip()}, {S.word_vocab_cte(4096).strip()},
+    {S.doc_tokens_cte().strip()}
+SELECT doc_id, CAST(greatest(n_tokens - 8, 0) AS INTEGER) AS n_generated FROM doc_len""")
+def q_l7(spark, d):
+    """Each document's ids treated as prompt (first 8 ids) + generation."""
+    from corpusforge.operators import annotate
+
+    docs = table(spark, d, "documents")
+    toks = corpus.tokenize_documents(corpus.split_documents(docs, CORPUS), corpus.train_word_vocab(docs, CORPUS),
+                                     CORPUS)
+    return toks.select("doc_id", F.size(annotate.trim_generated("ids", 8)).alias("n_generated"))

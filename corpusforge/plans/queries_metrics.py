@@ -408,3 +408,21 @@ def q_g6(spark, d):
     pairs = (ann.groupBy("index").pivot("cand", ["a", "b"]).agg(F.first("reply"))
              .select("index", F.col("a").alias("response_a"), F.col("b").alias("response_b")))
     return pairs.where(F.col("response_a").isNotNull() & F.col("response_b").isNotNull())
+
+
+@register("k6_error_table", f"""
+SELECT item_id AS index, 'TransientError: permanent failure for prompt ' || substr(md5({_story_prompt_sql('text')}), 1, 8)
+         AS error,
+       left({_story_prompt_sql('text')}, 200) AS preview
+FROM benchmark WHERE {_h_sql(_story_prompt_sql('text'))} % 16 = 0""")
+def q_k6(spark, d):
+    """The resumable job's second output: failures with a 200-character
+    preview of the prompt (written to, and read back from, the shared folder)."""
+    from corpusforge.session import scratch_path
+
+    items = table(spark, d, "benchmark").withColumnRenamed("item_id", "doc_id")
+    sp = prompts.story_prompts(items, "doc_id", "text", 2000).select("index", "prompt")
+    out, err = scratch_path(spark, "k6-out"), scratch_path(spark, "k6-err")
+    annotate.run_resumable(sp, "prompt", responders.StubPairResponder(), ["index"], out, err)
+    schema = "index long, error string, attempts int, preview string"
+    return spark.read.schema(schema).json(err).select("index", "error", "preview")
