@@ -146,3 +146,40 @@ def q_l7(spark, d):
     toks = corpus.tokenize_documents(corpus.split_documents(docs, CORPUS), corpus.train_word_vocab(docs, CORPUS),
                                      CORPUS)
     return toks.select("doc_id", F.size(annotate.trim_generated("ids", 8)).alias("n_generated"))
+
+
+@register("s7_vocab_tables", f"""WITH {S.split_docs_cte().strip()}, {S.word_vocab_cte(4096).strip()}
+SELECT kind, count(*) AS n_tokens, CAST(sum(token_id) AS BIGINT) AS id_sum FROM vocab GROUP BY kind""")
+def q_s7(spark, d):
+    """Vocabulary written as a tokenizer folder and read back."""
+    vocab = corpus.train_word_vocab(table(spark, d, "documents"), CORPUS)
+    merges = spark.createDataFrame([], "rank int, left string, right string")  # word tokenizer: no merges
+    path = scratch_path(spark, "tokenizer")
+    io.write_vocab(vocab, merges, path)
+    back, _ = io.read_vocab(spark, path)
+    return back.groupBy("kind").agg(F.count(F.lit(1)).alias("n_tokens"),
+                                    F.sum("token_id").cast("long").alias("id_sum"))
+
+
+@register("s9_token_cache", f"""WITH {S.split_docs_cte().strip()}, {S.word_vocab_cte(4096).strip()},
+    {S.doc_tokens_cte().strip()}
+SELECT split, count(*) AS n_docs, CAST(sum(n_tokens) AS BIGINT) AS n_tokens FROM doc_len GROUP BY split""")
+def q_s9(spark, d):
+    """Tokenized documents through the read-through cache (S9): the key hashes
+    the input files' names, sizes and modification times with the tokenizer
+    id, so a changed input never hits a stale entry."""
+    from corpusforge.session import ensure_checkpoint_dir
+
+    src = f"{d.rstrip('/')}/documents.parquet"
+    key = io.cache_key(spark, [src], f"word-{CORPUS.vocab_size}-{CORPUS.seed}-{CORPUS.val_ratio}")
+
+    def build():
+        docs = table(spark, d, "documents")
+        toks = corpus.tokenize_documents(corpus.split_documents(docs, CORPUS),
+                                         corpus.train_word_vocab(docs, CORPUS), CORPUS)
+        return toks.select("doc_id", "split", "ids")
+
+    cache_dir = ensure_checkpoint_dir(spark).rstrip("/") + "/token-cache"
+    cached = io.cached_table(spark, cache_dir, key, build)
+    return cached.groupBy("split").agg(F.count(F.lit(1)).alias("n_docs"),
+                                       F.sum(F.size("ids")).cast("long").alias("n_tokens"))
