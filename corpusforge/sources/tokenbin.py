@@ -8,14 +8,17 @@ shards form one stream in partition order (range-partition by the order key
 before writing).  No token passes through the driver.
 
 Reader: each shard is cut into byte ranges of ``partition_tokens`` tokens;
-each range is one input partition, read with NumPy and returned as rows
-``shard, offset, ids`` of at most ``chunk_tokens`` ids.
+each range is one input partition, read with a positioned read and returned
+as rows ``shard, offset, ids`` of at most ``chunk_tokens`` ids.
+
+Paths go through ``pyarrow.fs``: local paths, or URIs of any filesystem
+pyarrow was built with (``hdfs://``, ``s3://``, ...), so executors write to
+and read from the cluster's shared storage.
 """
 
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from collections.abc import Iterator
 
@@ -23,6 +26,17 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
                                     WriterCommitMessage)
 
 MAX_ID = 65535
+MANIFEST = "_manifest.json"
+
+
+def _fs(path: str):
+    from pyarrow import fs
+
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    import os
+
+    return fs.LocalFileSystem(), os.path.abspath(path)
 
 
 class _Range(InputPartition):
@@ -35,19 +49,25 @@ class _Shard(WriterCommitMessage):
         self.partition, self.name, self.n_tokens = partition, name, n_tokens
 
 
-def _shards(path: str) -> list[tuple[str, int]]:
-    """Shards in stream order with their global start offsets."""
-    if os.path.isfile(path):
-        return [(path, 0)]
-    man = os.path.join(path, "_manifest.json")
-    if os.path.exists(man):
-        with open(man, encoding="utf-8") as f:
-            return [(os.path.join(path, s["name"]), s["start"]) for s in json.load(f)["shards"]]
-    names = sorted(n for n in os.listdir(path) if n.endswith(".bin"))
+def _shards(path: str) -> list[tuple[str, int, int]]:
+    """``(shard path, global start, n_tokens)`` in stream order."""
+    from pyarrow import fs
+
+    filesystem, root = _fs(path)
+    info = filesystem.get_file_info(root)
+    if info.type == fs.FileType.File:
+        return [(root, 0, info.size // 2)]
+    man = f"{root}/{MANIFEST}"
+    if filesystem.get_file_info(man).type == fs.FileType.File:
+        with filesystem.open_input_stream(man) as f:
+            rows = json.loads(f.read().decode("utf-8"))["shards"]
+        return [(f"{root}/{s['name']}", s["start"], s["n_tokens"]) for s in rows]
+    files = sorted((i for i in filesystem.get_file_info(fs.FileSelector(root))
+                    if i.path.endswith(".bin") and not i.base_name.startswith("_")), key=lambda i: i.path)
     out, start = [], 0
-    for n in names:
-        out.append((os.path.join(path, n), start))
-        start += os.path.getsize(os.path.join(path, n)) // 2
+    for i in files:
+        out.append((i.path, start, i.size // 2))
+        start += i.size // 2
     return out
 
 
@@ -59,8 +79,7 @@ class TokenBinReader(DataSourceReader):
 
     def partitions(self):
         parts = []
-        for shard, base in _shards(self.path):
-            n = os.path.getsize(shard) // 2
+        for shard, base, n in _shards(self.path):
             for s in range(0, n, self.partition_tokens):
                 parts.append(_Range(shard, s, min(n, s + self.partition_tokens), base))
         return parts or [_Range("", 0, 0, 0)]
@@ -70,10 +89,11 @@ class TokenBinReader(DataSourceReader):
 
         if partition.stop <= partition.start:
             return
-        with open(partition.shard, "rb") as f:
-            f.seek(partition.start * 2)
-            arr = np.fromfile(f, dtype="<u2", count=partition.stop - partition.start)
-        name = os.path.basename(partition.shard)
+        filesystem, _ = _fs(self.path)
+        with filesystem.open_input_file(partition.shard) as f:
+            raw = f.read_at((partition.stop - partition.start) * 2, partition.start * 2)
+        arr = np.frombuffer(raw, dtype="<u2")
+        name = partition.shard.rsplit("/", 1)[-1]
         for i in range(0, len(arr), self.chunk_tokens):
             yield (name, partition.base + partition.start + i, arr[i:i + self.chunk_tokens].astype("int32").tolist())
 
@@ -85,23 +105,23 @@ class TokenBinWriter(DataSourceArrowWriter):
         self.overwrite = overwrite
 
     def write(self, iterator) -> _Shard:
-        import numpy as np
         import pyarrow.compute as pc
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        os.makedirs(self.path, exist_ok=True)
+        filesystem, root = _fs(self.path)
+        filesystem.create_dir(root, recursive=True)
         name = f"part-{pid:05d}-{uuid.uuid4().hex}.bin"
-        tmp = os.path.join(self.path, "." + name)
+        tmp = f"{root}/_tmp-{name}"
         n = 0
-        with open(tmp, "wb") as f:
+        with filesystem.open_output_stream(tmp) as f:
             for batch in iterator:
                 vals = pc.list_flatten(batch.column(self.column)).to_numpy(zero_copy_only=False)
                 if len(vals) and (vals.max() > MAX_ID or vals.min() < 0):
                     raise ValueError(f"token id outside uint16 range in partition {pid}")
-                vals.astype("<u2").tofile(f)
+                f.write(vals.astype("<u2").tobytes())
                 n += len(vals)
-        os.replace(tmp, os.path.join(self.path, name))
+        filesystem.move(tmp, f"{root}/{name}")
         return _Shard(pid, name, n)
 
     def commit(self, messages) -> None:
@@ -110,14 +130,16 @@ class TokenBinWriter(DataSourceArrowWriter):
         for m in shards:
             rows.append({"name": m.name, "partition": m.partition, "n_tokens": m.n_tokens, "start": start})
             start += m.n_tokens
-        with open(os.path.join(self.path, "_manifest.json"), "w", encoding="utf-8") as f:
-            json.dump({"n_tokens": start, "shards": rows}, f)
+        filesystem, root = _fs(self.path)
+        with filesystem.open_output_stream(f"{root}/{MANIFEST}") as f:
+            f.write(json.dumps({"n_tokens": start, "shards": rows}).encode("utf-8"))
 
     def abort(self, messages) -> None:
+        filesystem, root = _fs(self.path)
         for m in messages:
             if m is not None:
                 try:
-                    os.remove(os.path.join(self.path, m.name))
+                    filesystem.delete_file(f"{root}/{m.name}")
                 except OSError:
                     pass
 
