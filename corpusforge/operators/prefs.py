@@ -15,6 +15,7 @@ from corpusforge.functions.text import (ASSISTANT_ID, BOS_ID, EOS_ID, IGNORE_IND
                                         USER_ID, preference_columns, valid_pair)
 from corpusforge.operators.order import global_position, hex_bucket, hex_digits_for, order_key
 from corpusforge.operators.sft import pad_to
+from corpusforge.session import cut_lineage
 
 
 def _c(col: Column | str) -> Column:
@@ -81,15 +82,17 @@ def derive_response_pairs(pairs: DataFrame, key: str = "index", seed: int = 42)
     An equi-join on the unique position: no key is hot.
     """
     n = pairs.count()
-    d = pairs.withColumn("order_key", order_key(seed, key))
+    d = pairs.select(key, "instruction", "response").withColumn("order_key", order_key(seed, key))
     digits = hex_digits_for(n)
-    pos = global_position(d, ["order_key", key], hex_bucket("order_key", digits),
-                          bucket_bound=16 ** digits)
+    # positions are read by both sides of the self-join: computed once
+    pos = cut_lineage(global_position(d, ["order_key", key], hex_bucket("order_key", digits),
+                                      bucket_bound=16 ** digits))
     nxt = pos.select(((F.col("pos") - 1 + F.col("n_total")) % F.col("n_total")).alias("pos"),
                      F.col("response").alias("response_b"))
-    return (pos.join(nxt, on="pos", how="inner")
-            .select(key, F.col("instruction").alias("prompt"), F.col("response").alias("response_a"),
-                    "response_b"))
+    out = (pos.join(nxt, on="pos", how="inner")
+           .select(key, F.col("instruction").alias("prompt"), F.col("response").alias("response_a"),
+                   "response_b"))
+    return cut_lineage(out)  # read again by the verdicts and the preference join
 
 
 def stub_verdict(key: Column | str) -> Column:
