@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import non_blank, strip
+from corpusforge.session import cut_lineage
 from corpusforge.operators.order import TARGET_ROWS_PER_BUCKET, global_position, quantile_buckets
 
 
@@ -19,6 +20,7 @@ def append_specials(vocab: DataFrame, tokens: Sequence[str]) -> DataFrame:
     """T4: tokens already present keep their ids; new ones take the next ids
     after the current maximum, in the given order."""
     spark = vocab.sparkSession
+    vocab = cut_lineage(vocab)  # bounded by the vocabulary size; read three times below
     new = spark.createDataFrame([(t, i) for i, t in enumerate(tokens)], "token string, _o int")
     new = new.join(vocab.select("token"), on="token", how="left_anti")
     top = vocab.agg(F.max("token_id")).scalar()

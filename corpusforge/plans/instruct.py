@@ -48,7 +48,7 @@ def sft_dataset(pairs: DataFrame, encode, max_length: int = 512, val_ratio: floa
 
     ``encode`` is a Column function ``text -> array<int>`` (BPE or word)."""
     ids = pairs.select("index", encode("instruction").alias("i_ids"), encode("response").alias("r_ids"))
-    rows = sft.sft_rows(ids, "i_ids", "r_ids", max_length)
+    rows = cut_lineage(sft.sft_rows(ids, "i_ids", "r_ids", max_length))  # the split reads it twice
     return order.random_split(rows, "index", val_ratio, seed)
 
 
@@ -96,5 +96,5 @@ def preference_dataset(preferences: DataFrame, encode, max_length: int = 512, va
     """G1-G4 rows with a ``split`` label."""
     ids = preferences.select("index", encode("prompt").alias("p_ids"), encode("chosen").alias("c_ids"),
                              encode("rejected").alias("r_ids"))
-    rows = prefs.preference_rows(ids, "p_ids", "c_ids", "r_ids", max_length)
+    rows = cut_lineage(prefs.preference_rows(ids, "p_ids", "c_ids", "r_ids", max_length))
     return order.random_split(rows, "index", val_ratio, seed)

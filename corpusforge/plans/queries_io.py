@@ -12,7 +12,7 @@ from corpusforge.plans import corpus
 from corpusforge.plans import sqlparts as S
 from corpusforge.plans.queries import CORPUS, register, table
 from corpusforge.plans.queries_rows import _SFT_SQL, _sft_rows
-from corpusforge.session import scratch_path
+from corpusforge.session import cut_lineage, scratch_path
 from corpusforge.sources import io, tokenbin
 
 
@@ -93,7 +93,7 @@ SELECT p.index, CASE WHEN o.pos < o.n - floor(o.n * 0.1) THEN 'train' ELSE 'vali
        p.n_tokens
 FROM padded p JOIN sft_order o USING (index)""")
 def q_f7(spark, d):
-    rows = _sft_rows(spark, d)
+    rows = cut_lineage(_sft_rows(spark, d))  # the split reads the rows twice
     return order.random_split(rows, "index", 0.1, seed=42).select(
         "index", "split", F.col("n_tokens").cast("long").alias("n_tokens"))
 

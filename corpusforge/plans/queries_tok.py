@@ -9,6 +9,7 @@ from corpusforge.operators import bpe, vocab as V, wordtok
 from corpusforge.plans import corpus
 from corpusforge.plans import sqlparts as S
 from corpusforge.plans.queries import CORPUS, ids_str, register, table
+from corpusforge.session import cut_lineage
 
 BPE_MERGES = 64
 _MODELS: dict[tuple, bpe.BpeModel] = {}
@@ -117,7 +118,9 @@ def _t8_encoded(spark, d):
     lines = V.first_lines(docs, "doc_id", "text", 2000)
     enc = wordtok.encode_columns(lines, ["line"], vocab, ["line_pos"], vocab_size_bound=CORPUS.vocab_size)
     enc = enc.join(lines.select("line_pos", "line"), on="line_pos")
-    return enc.select(F.col("line").alias("text"), wordtok.frame("line_ids").alias("ids")), vocab
+    # at most n lines, read by three aggregates of the report: written once
+    enc = cut_lineage(enc.select(F.col("line").alias("text"), wordtok.frame("line_ids").alias("ids")))
+    return enc, vocab
 
 
 @register("t8_report_summary", _T8_SQL + """
