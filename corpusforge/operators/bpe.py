@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from corpusforge.functions.bytelevel import BYTE_CHARS, GPT2_PATTERN, bpe_segment, from_symbols, to_symbols
 from corpusforge.functions.text import BOS_ID, CHAT_SPECIALS, EOS_ID
+from corpusforge.session import spread
 
 SEP = "\u0001"  # never a byte-alphabet character
 #: merge tables up to this many entries are broadcast to the encoder
@@ -72,7 +73,7 @@ def to_symbol_array(word: Column | str) -> Column:
 
 def pretoken_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``word, freq, syms`` over the whole input."""
-    counts = (df.select(F.explode(pretokens(text_col)).alias("word"))
+    counts = (spread(df.select(text_col)).select(F.explode(pretokens(text_col)).alias("word"))
               .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
     return counts.withColumn("syms", to_symbol_array("word"))
 

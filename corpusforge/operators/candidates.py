@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import EOS_ID
+from corpusforge.session import spread
 
 CTX, ITEM, SCORE = "context_id", "item_id", "score"
 DEFAULT_SALTS = 16
@@ -101,6 +102,7 @@ def keep_last(ids: Column | str, n: int) -> Column:
 def bigram_candidates(words_df: DataFrame, words_col: str = "words") -> DataFrame:
     """Candidates from a corpus: context = word, item = next word,
     score = bigram count (aggregated map-side)."""
+    words_df = spread(words_df.select(words_col))
     w = F.col(words_col)
     pairs = F.arrays_zip(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))),
                          F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusforge.functions.text import BOS_ID, CHAT_SPECIALS, EOS_ID, UNK_ID, WS_CLASS
+from corpusforge.session import spread
 
 WORD_PATTERN = rf"[^{WS_CLASS}]+"
 # Whitespace outside ASCII, derived by rule: mapped to a space first so the
@@ -45,7 +46,7 @@ def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     A hot word is no problem: the count aggregates map-side first.
     """
-    return (df.select(F.explode(words(text_col)).alias("word"))
+    return (spread(df.select(text_col)).select(F.explode(words(text_col)).alias("word"))
             .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
 
 

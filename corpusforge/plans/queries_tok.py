@@ -9,7 +9,7 @@ from corpusforge.operators import bpe, vocab as V, wordtok
 from corpusforge.plans import corpus
 from corpusforge.plans import sqlparts as S
 from corpusforge.plans.queries import CORPUS, ids_str, register, table
-from corpusforge.session import cut_lineage
+from corpusforge.session import cut_lineage, spread
 
 BPE_MERGES = 64
 _MODELS: dict[tuple, bpe.BpeModel] = {}
@@ -43,7 +43,7 @@ SELECT doc_id,
        array_to_string(regexp_extract_all(text, {S.q(_RE2_PRETOK)}), '') = text AS lossless
 FROM documents""")
 def q_t1(spark, d):
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     toks = bpe.pretokens("text")
     return docs.select("doc_id", F.size(toks).alias("n_pretokens"),
                        (F.array_join(toks, "") == F.col("text")).alias("lossless"))
@@ -58,7 +58,7 @@ def q_t3(spark, d):
 def q_t5(spark, d):
     model = bpe_model(spark, d)
     enc = bpe.encode_column(spark, model)
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     ids = bpe.frame(enc("text"))
     return docs.select("doc_id", F.size(ids).alias("n_tokens"), ids_str(ids).alias("ids"))
 
@@ -68,7 +68,7 @@ SELECT doc_id, text = text AS roundtrip_equal FROM documents""")
 def q_t7(spark, d):
     model = bpe_model(spark, d)
     enc, dec = bpe.encode_column(spark, model), bpe.decode_column(spark, model)
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     back = docs.select("doc_id", "text", dec(enc("text")).alias("back"))
     return back.select("doc_id", (F.col("back") == F.col("text")).alias("roundtrip_equal"))
 

@@ -65,3 +65,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table that was read as fewer partitions than the cluster has
+    cores (e.g. one large Parquet row group) before CPU-heavy row-wise work.
+    A table read as many partitions -- the normal case for large inputs -- is
+    returned unchanged, so no shuffle is added at scale."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
