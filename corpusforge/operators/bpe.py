@@ -20,7 +20,6 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F

@@ -17,7 +17,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusforge.functions.text import BOS_ID, CHAT_SPECIALS, EOS_ID, UNK_ID, WS_CLASS
 from corpusforge.session import spread
@@ -132,6 +131,3 @@ def frame(ids: Column | str, bos: int = BOS_ID, eos: int = EOS_ID, double: bool
     tail = F.array(*[F.lit(eos) for _ in range(n)])
     return F.concat(head, _c(ids), tail)
 
-
-def id_array_type() -> T.ArrayType:
-    return T.ArrayType(T.IntegerType())

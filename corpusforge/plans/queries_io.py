@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as X
-from corpusforge.operators import order, pack, sft
+from corpusforge.operators import order, sft
 from corpusforge.plans import corpus
 from corpusforge.plans import sqlparts as S
 from corpusforge.plans.queries import CORPUS, register, table

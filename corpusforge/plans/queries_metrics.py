@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions import responders
 from corpusforge.functions.text import IGNORE_INDEX, parse_object, fenced_payload, strip_wrapping_quotes
-from corpusforge.operators import annotate, candidates as N, metrics as Mx, order, prefs, prompts, wordtok
+from corpusforge.operators import annotate, candidates as N, metrics as Mx, order, prompts, wordtok
 from corpusforge.plans import sqlparts as S
-from corpusforge.plans.queries import ids_str, register, table
+from corpusforge.plans.queries import register, table
 from corpusforge.session import cut_lineage
 
 R6 = 9  # digits kept by rounded float outputs (sums of 2-decimal inputs never sit on a half at 9)

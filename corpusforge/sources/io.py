@@ -7,7 +7,6 @@ options and checks the reference relies on.
 from __future__ import annotations
 
 import hashlib
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -138,6 +137,3 @@ def cached_table(spark: SparkSession, cache_dir: str, key: str, build) -> DataFr
         build().write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-
-def manifest_json(row: dict) -> str:
-    return json.dumps(row, sort_keys=True)
