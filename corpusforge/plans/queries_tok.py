@@ -253,3 +253,23 @@ def q_plan_dpo(spark, d):
     rows = instruct.preference_dataset(prefs_df, enc, max_length=256)
     return rows.select("index", "split", "prompt_overflow",
                        F.size(F.filter("chosen_labels", lambda x: x != -100)).alias("chosen_scored"))
+
+
+@register("t3_bpe_fast_vs_exact")
+def q_t3_fast(spark, d):
+    """The approximate fast mode against exact training on the same word
+    table: merges in common, rounds, and the corpus size in tokens under
+    each model (compression)."""
+    exact = bpe_model(spark, d)
+    sample = corpus.tokenizer_sample(table(spark, d, "documents"), CORPUS)
+    words = bpe.pretoken_counts(sample, "text")
+    fast = bpe.train_bpe(words, vocab_size=len(CHAT_SPECIALS) + 256 + BPE_MERGES, min_frequency=2,
+                         mode="fast", fast_k=32)
+    docs = spread(table(spark, d, "documents").select("text"))
+    sizes = docs.select(F.size(bpe.encode_column(spark, exact)("text")).alias("e"),
+                        F.size(bpe.encode_column(spark, fast)("text")).alias("f"))
+    tot = sizes.agg(F.sum("e").cast("long").alias("exact_tokens"), F.sum("f").cast("long").alias("fast_tokens"))
+    shared = len(set(exact.merges) & set(fast.merges))
+    return tot.select(F.lit(len(exact.merges)).alias("n_merges"), F.lit(shared).alias("shared_merges"),
+                      F.lit(exact.rounds).alias("exact_rounds"), F.lit(fast.rounds).alias("fast_rounds"),
+                      "exact_tokens", "fast_tokens")
