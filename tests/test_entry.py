@@ -10,7 +10,23 @@ def test_entry_runs(spark):
 def test_registry_consistent():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
-    assert len(q) >= 60
+    assert len(q) >= 88 and len(s) >= 80
+
+
+def test_entry_loads_by_path_from_elsewhere(tmp_dir):
+    import importlib.util
+    import os
+
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spec = importlib.util.spec_from_file_location("entry_by_path", os.path.join(here, "__spark_entry__.py"))
+    mod = importlib.util.module_from_spec(spec)
+    cwd = os.getcwd()
+    os.chdir(tmp_dir)
+    try:
+        spec.loader.exec_module(mod)
+    finally:
+        os.chdir(cwd)
+    assert len(mod.queries()) == len(E.queries()) and mod.oracle_sql() == E.oracle_sql()
 
 
 def test_some_queries_run_on_smoke_data(spark):
