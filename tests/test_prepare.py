@@ -22,3 +22,13 @@ def test_prepare_writes_consistent_outputs(spark, tmp_dir):
              .orderBy("offset").first())
     val_rows = toks.where("split = 'validation'").orderBy("pos").collect()
     assert list(first.ids[:len(val_rows[0].ids)]) == list(val_rows[0].ids)
+
+
+def test_prepare_word_tokenizer(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "prep-word")
+    m = prepare.prepare(spark, "/root/testdata/sf0.001/documents.parquet", out, tokenizer="word",
+                        vocab_size=512, val_ratio=0.1)
+    toks = spark.read.parquet(f"{out}/tokens")
+    assert toks.count() == m["train_docs"] + m["val_docs"] == m["docs_kept"]
+    assert spark.read.parquet(f"{out}/tokenizer/vocab").count() == 512
+    assert json.load(open(f"{out}/bin/train/_manifest.json"))["n_tokens"] == m["train_tokens"]
