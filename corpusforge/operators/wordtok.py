@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import BOS_ID, CHAT_SPECIALS, EOS_ID, UNK_ID, WS_CLASS
-from corpusforge.session import spread
+from corpusforge.session import cut_lineage, spread
 
 WORD_PATTERN = rf"[^{WS_CLASS}]+"
 # Whitespace outside ASCII, derived by rule: mapped to a space first so the
@@ -59,13 +59,23 @@ def word_vocab(counts: DataFrame, vocab_size: int, min_frequency: int = 1,
                specials: Sequence[str] = CHAT_SPECIALS) -> DataFrame:
     """Vocabulary ``token_id, token, kind`` of at most ``vocab_size`` entries.
 
-    The cut is a top-K (``TakeOrderedAndProject``): each task keeps its K best
-    words, so nothing near the whole word table reaches one task; numbering
-    the K survivors is a window over at most K rows.
+    The cut is an exact top-K: a histogram of counts gives the K-th count,
+    only words at or above it are ordered (``TakeOrderedAndProject``), and
+    numbering the K survivors is a window over at most K rows.  Nothing near
+    the whole word table reaches one task.
     """
-    k = vocab_size - len(specials)
-    top = (counts.where((F.col("freq") >= min_frequency) & ~F.col("word").isin(list(specials)))
-           .orderBy(F.col("freq").desc(), F.col("word").asc()).limit(max(k, 0)))
+    k = max(vocab_size - len(specials), 0)
+    counts = cut_lineage(counts)  # the word table: read by the histogram and the cut
+    eligible = counts.where((F.col("freq") >= min_frequency) & ~F.col("word").isin(list(specials)))
+    # exact count cut-off from a histogram of counts (one row per distinct
+    # count): the K-th word's count.  Only words at or above it reach the
+    # final ordering, so tasks send ~K rows, not K rows each.
+    hist = eligible.groupBy("freq").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.orderBy(F.col("freq").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = hist.withColumn("_cum", F.sum("_n").over(running)).where(F.col("_cum") >= k).agg(
+        F.max("freq")).scalar()
+    top = (eligible.where(F.col("freq") >= F.coalesce(cut, F.lit(0)))
+           .orderBy(F.col("freq").desc(), F.col("word").asc()).limit(k))
     ranked = top.select(
         (F.row_number().over(Window.orderBy(F.col("freq").desc(), F.col("word").asc()))
          + F.lit(len(specials) - 1)).cast("int").alias("token_id"),
