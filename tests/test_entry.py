@@ -33,3 +33,11 @@ def test_some_queries_run_on_smoke_data(spark):
     q = E.queries()
     for name in ["x1_global_position", "c4_packed_sequences", "f1_f5_sft_rows", "m2_dpo_summary", "n3_top_k_exact"]:
         assert q[name](spark, "/root/testdata/sf0.001").count() >= 0
+
+
+def test_every_query_is_in_the_coverage_map():
+    import os
+
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    cov = open(os.path.join(here, "COVERAGE.md"), encoding="utf-8").read()
+    assert [q for q in E.queries() if f"`{q}`" not in cov] == []
