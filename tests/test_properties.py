@@ -52,3 +52,24 @@ def test_greedy_chunks_equal_scan(spark, files, bound, parts):
         if c >= bound:
             k, c = k + 1, 0
     assert got == exp
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 10 ** 6), st.integers(0, 9)),
+                     min_size=0, max_size=60, unique_by=lambda r: r[1]),
+       buckets=st.integers(1, 7))
+def test_global_position_with_groups_and_sums(spark, rows, buckets):
+    """X1 with partition columns and a running sum equals a sort per group."""
+    df = spark.createDataFrame(rows, "g string, k long, v long")
+    got = order.global_position(df, ["k"], F.col("k") % F.lit(10 ** 6 + 1) / F.lit((10 ** 6 + 1) / buckets),
+                                partition_cols=["g"], sums={"v": F.col("v")},
+                                bucket_bound=buckets + 1).collect()
+    got = {(r.g, r.k): (r.pos, r.n_total, r.v_offset, r.v_total) for r in got}
+    exp = {}
+    for g in {r[0] for r in rows}:
+        part = sorted((r for r in rows if r[0] == g), key=lambda r: r[1])
+        acc, tot = 0, sum(r[2] for r in part)
+        for i, (_, k, v) in enumerate(part):
+            exp[(g, k)] = (i, len(part), acc, tot)
+            acc += v
+    assert got == exp
