@@ -46,10 +46,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     unset (local tests) do we create a scratch folder of our own.
     """
     sc = spark.sparkContext
-    path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    path = (spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+            or sc.getCheckpointDir())
     if not path:
         path = tempfile.mkdtemp(prefix="corpusforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set(CHECKPOINT_CONF, path)
+        try:
+            spark.conf.set(CHECKPOINT_CONF, path)
+        except Exception:  # noqa: BLE001 - some deployments refuse runtime changes of core settings
+            pass
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
