@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusforge.llm import simhash
 from corpusforge.llm import substring_dedup as sub
 from corpusforge.llm import suffix_dedup as suf
 
@@ -34,3 +35,8 @@ def op1(spark, d):
 @query("op4_suffix_dedup")
 def op4(spark, d):
     return suf.suffix_dedup(table(spark, d, "documents"))
+
+
+@query("op10_simhash_dedup")
+def op10(spark, d):
+    return simhash.simhash_groups(table(spark, d, "documents"))
