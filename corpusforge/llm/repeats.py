@@ -33,7 +33,7 @@ order (ties go to the smaller crc32).
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,7 @@ from corpusforge.llm.common import as_numpy, group_starts, id_in, mix64, sorted_
 SEGMENT = "anchor long, seg long, doc_id long, start long, meta long"
 _SEG_PA = pa.schema([(n, pa.int64()) for n in ("anchor", "seg", "doc_id", "start", "meta")])
 _BASE = np.uint64(0x9E3779B97F4A7C15)          # odd: invertible modulo 2^64
-_STRETCH = 1 << 20                             # windows handled at once
+_STRETCH = 1 << 19                             # windows handled at once
 _POS_BITS = np.uint64(22)
 _LOW32 = 0xFFFFFFFF
 
@@ -116,7 +116,7 @@ class _Segmenter:
         return a, b - a + 1, kg[at[a]], seg
 
 
-def _stretches(symbols: list[np.ndarray], length: int) -> Iterator[list[tuple[int, int, np.ndarray]]]:
+def _stretches(symbols: Iterable[np.ndarray], length: int) -> Iterator[list[tuple[int, int, np.ndarray]]]:
     """Lists of (document row, offset, symbols) of about _STRETCH symbols."""
     held, n = [], 0
     for row, sym in enumerate(symbols):
@@ -158,7 +158,7 @@ def _segments_of(symbols_of: Callable[[bytes], np.ndarray], length: int, k: int)
             alone = np.ones(len(ids), dtype=bool)      # repeated identical rows are one document
             alone[1:] = (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])
             out = []
-            for part in _stretches([symbols_of(texts[i] if u else b"") for i, u in zip(order, alone)], length):
+            for part in _stretches((symbols_of(texts[i] if u else b"") for i, u in zip(order, alone)), length):
                 lens = np.array([len(s) for _, _, s in part])
                 ends = np.cumsum(lens)
                 a, n, anchor, seg = seg_of(np.concatenate([s for _, _, s in part]), ends)
