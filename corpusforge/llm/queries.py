@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusforge.llm import simhash
+from corpusforge.llm import ordinal, packing, simhash, snapshots, tiling, triecount
 from corpusforge.llm import substring_dedup as sub
 from corpusforge.llm import suffix_dedup as suf
 
@@ -23,6 +25,16 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file; TOKENIZER_DIR names another folder."""
+    folder = os.environ.get("TOKENIZER_DIR")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -40,3 +52,33 @@ def op4(spark, d):
 @query("op10_simhash_dedup")
 def op10(spark, d):
     return simhash.simhash_groups(table(spark, d, "documents"))
+
+
+@query("op2_toxicity")
+def op2(spark, d):
+    docs = table(spark, d, "documents")
+    model = ordinal.train(docs, table(spark, d, "labels"))
+    return ordinal.score(docs, model).select("row.doc_id", "expected_severity", "severity", "p_toxic", "toxic")
+
+
+@query("op6_best_fit_packing")
+def op6(spark, d):
+    return packing.pack(table(spark, d, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op7_chat_snapshots", snapshots.ORACLE)
+def op7(spark, d):
+    return snapshots.maximal_chats(table(spark, d, "conversations"))
+
+
+@query("op8_token_counts")
+def op8(spark, d):
+    return triecount.token_counts(table(spark, d, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
+@query("op9_benchmark_tiling")
+def op9(spark, d):
+    out = tiling.decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return out.select("row.doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").cast("long").alias("n_items"),
+                      F.array_sort("hits.item_id").alias("item_ids"),
+                      F.coalesce(F.array_max("hits.coverage"), F.lit(0.0)).alias("coverage"))
