@@ -1,7 +1,7 @@
 """Toxicity by cumulative-link ordinal regression.
 
-Features of a text: the set of its lower-cased words (letters) and of their
-prefixes of 4 and 5 letters.  The model is a proportional-odds model: one
+Features of a text: its lower-cased words (letters) and their prefixes of 4
+and 5 letters, each with the value log2(1 + occurrences).  The model is a proportional-odds model: one
 weight vector shared by all grades, ordered thresholds, P(y > j) =
 sigmoid(x.w - theta_j).  Output: expected severity, most likely grade, the
 chance of any toxicity, and ``toxic`` when that is at least ``cut``.
@@ -22,6 +22,7 @@ every document gets severity 0.  All columns are kept, whatever their names.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -38,6 +39,24 @@ def features(word: str) -> tuple[str, ...]:
     return (word, "4:" + word[:4], "5:" + word[:5])
 
 
+def counter(vocab: dict[str, int]):
+    """text -> sorted (feature number, value) over the whole text."""
+    cache: dict[str, tuple] = {}
+
+    def found(text: str) -> list[tuple[int, float]]:
+        if len(cache) > 500_000:
+            cache.clear()
+        n: Counter = Counter()
+        for w in _WORD.findall(text.lower()):
+            f = cache.get(w)
+            if f is None:
+                f = cache[w] = tuple(vocab[x] for x in features(w) if x in vocab)
+            if f:
+                n.update(f)
+        return [(i, math.log2(1 + c)) for i, c in sorted(n.items())]
+    return found
+
+
 @dataclass
 class OrdinalModel:
     vocab: dict[str, int]
@@ -49,29 +68,18 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -60, 60)))
 
     def scorer(self):
-        vocab, weights, cache = self.vocab, self.weights.tolist(), {}
-
-        def score(text: str) -> float:
-            found = set()
-            if len(cache) > 500_000:
-                cache.clear()
-            for w in set(_WORD.findall(text.lower())):
-                f = cache.get(w)
-                if f is None:
-                    f = cache[w] = tuple(vocab[x] for x in features(w) if x in vocab)
-                if f:
-                    found.update(f)
-            return sum(weights[i] for i in sorted(found))
-        return score
-
-
-def fit_ordinal(rows: list[np.ndarray], y: np.ndarray, n_features: int, grades: int, l2: float = 0.02,
+        weights, found = self.weights.tolist(), counter(self.vocab)
+        return lambda text: sum(weights[i] * v for i, v in found(text))
+
+
+def fit_ordinal(rows: list[list[tuple[int, float]]], y: np.ndarray, n_features: int, grades: int, l2: float = 0.02,
                 steps: int = 400, rate: float = 0.1):
     """Proportional odds by Adam on the penalised likelihood; thresholds
     ordered by construction (first, then positive steps)."""
     n, k = len(rows), grades
     ri = np.repeat(np.arange(n), [len(r) for r in rows])
-    ci = np.concatenate(rows).astype(np.int64) if n else np.zeros(0, np.int64)
+    ci = np.array([i for r in rows for i, _ in r], dtype=np.int64)
+    xv = np.array([v for r in rows for _, v in r], dtype=float)
     share = np.array([(y > j).mean() for j in range(k)]).clip(1e-4, 1 - 1e-4)
     start = np.maximum.accumulate(-np.log(share / (1 - share)))
     p = np.concatenate([np.zeros(n_features), [start[0]], np.log(np.maximum(np.diff(start), 1e-2))])
@@ -79,7 +87,7 @@ def fit_ordinal(rows: list[np.ndarray], y: np.ndarray, n_features: int, grades:
     edge = np.arange(n)
     for t in range(1, steps + 1):
         w, th = p[:n_features], p[n_features] + np.concatenate([[0], np.cumsum(np.exp(p[n_features + 1:]))])
-        s = np.bincount(ri, weights=w[ci], minlength=n)
+        s = np.bincount(ri, weights=w[ci] * xv, minlength=n)
         up = np.ones((n, k + 2))
         up[:, 1:-1] = 1 / (1 + np.exp(-np.clip(s[:, None] - th[None, :], -60, 60)))
         up[:, -1] = 0
@@ -90,7 +98,7 @@ def fit_ordinal(rows: list[np.ndarray], y: np.ndarray, n_features: int, grades:
         gt[edge, y] += d[edge, y] / prob
         gt[edge, y + 1] -= d[edge, y + 1] / prob
         gth = gt[:, 1:-1].sum(axis=0)
-        g = np.concatenate([np.bincount(ci, weights=gs[ri], minlength=n_features) / n + l2 * w / max(n, 1) * 10,
+        g = np.concatenate([np.bincount(ci, weights=gs[ri] * xv, minlength=n_features) / n + l2 * w / n,
                             [gth.sum() / n], np.exp(p[n_features + 1:]) * gth[::-1].cumsum()[::-1][1:] / n])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
@@ -123,19 +131,24 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         return OrdinalModel({}, np.zeros(0), np.full(grades, 60.0))
     rate = na / (na + nb)
     n = F.col("a") + F.col("b")
-    z = (F.col("a") - n * rate) / F.sqrt(n * rate * (1 - rate))
-    chosen = (df.where(f"f <> '' and a >= {min_df}").withColumn("z", z).where("z > 5")
-              .orderBy(F.desc("z"), "f").limit(max_features).collect())
+    # likelihood ratio against the base rate, beyond what the number of features brings up by chance
+    part = lambda k, r: F.when(F.col(k) > 0, F.col(k) * F.log(F.col(k) / (n * r))).otherwise(0.0)
+    gain = part("a", rate) + part("b", 1 - rate)
+    chosen = (df.where(f"f <> '' and a >= {min_df}").withColumn("g", gain)
+              .where((F.col("a") > n * rate) & (F.col("g") > math.log(df.count())))
+              .orderBy(F.desc("g"), "f").limit(max_features).collect())
     vocab = {r.f: i for i, r in enumerate(sorted(chosen, key=lambda r: r.f))}
 
     def encode(batches):
+        found = counter(vocab)
         for b in batches:
-            rows = []
-            for text in b.column(2).to_pylist():
-                rows.append(sorted({vocab[x] for w in set(_WORD.findall((text or "").lower())) for x in features(w) if x in vocab}))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(rows, pa.list_(pa.int32()))], names=["id", "y", "x"])
-    got = sorted(sample.mapInArrow(encode, "id long, y int, x array<int>").collect(), key=lambda r: (r.id, r.x))
-    rows = [np.array(r.x, np.int64) for r in got]
+            x = [found(t or "") for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([[i for i, _ in r] for r in x], pa.list_(pa.int32())),
+                 pa.array([[v for _, v in r] for r in x], pa.list_(pa.float64()))], names=["id", "y", "x", "v"])
+    got = sorted(sample.mapInArrow(encode, "id long, y int, x array<int>, v array<double>").collect(),
+                 key=lambda r: (r.id, r.x, r.v))
+    rows = [list(zip(r.x, r.v)) for r in got]
     toxic = np.array([r.y > 0 for r in got])
     held = np.array([len(r) for r in rows])
     y = np.zeros(len(rows), np.int64)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.llm import ordinal, packing, simhash, snapshots, tiling, triecount
+from corpusforge.llm import blocks, ordinal, packing, simhash, snapshots, tiling, triecount, vectors
 from corpusforge.llm import substring_dedup as sub
 from corpusforge.llm import suffix_dedup as suf
 
@@ -82,3 +82,13 @@ def op9(spark, d):
     return out.select("row.doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").cast("long").alias("n_items"),
                       F.array_sort("hits.item_id").alias("item_ids"),
                       F.coalesce(F.array_max("hits.coverage"), F.lit(0.0)).alias("coverage"))
+
+
+@query("op3_html_extraction")
+def op3(spark, d):
+    return blocks.extract(table(spark, d, "pages"))
+
+
+@query("op5_embedding_dedup")
+def op5(spark, d):
+    return vectors.embedding_dedup(table(spark, d, "embeddings"))

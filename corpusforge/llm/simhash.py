@@ -25,6 +25,7 @@ names; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from itertools import combinations
 from math import comb
 
@@ -69,9 +70,11 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int) -> Dat
 
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(t, words) for t in text_bytes(b, "text")], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
-    return src.mapInArrow(run, "doc_id long, fp long")
+            texts = text_bytes(b, "text")
+            fp = np.array([fingerprint(t, words) for t in texts], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([zlib.crc32(t) for t in texts], pa.int64()),
+                                              pa.array(fp.view(np.int64))], names=["doc_id", "tag", "fp"])
+    return src.mapInArrow(run, "doc_id long, tag long, fp long")
 
 
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -245,9 +248,8 @@ def links(fps: DataFrame, t: int, block: int = 4096, parts=None, thresholds=None
     return j.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_verify(t), "a long, b long")
 
 
-def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
-                   max_bits: int = 4, block: int = 4096) -> DataFrame:
-    """(doc_id, fingerprint, component_id) per input row."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, max_bits: int, block: int) -> DataFrame:
+    """(doc_id, tag, fp, component) per input row."""
     fp = written(fingerprints(docs, id_col, text_col, words), "simhash")
     reps = written(fp.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
     pairs = links(reps, max_bits, block)
@@ -257,6 +259,24 @@ def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     least = named.groupBy("component").agg(F.min("rep").alias("least"))
     label = named.join(least, "component").select("fp", "least")
     per_fp = reps.join(label, "fp", "left").select("fp", F.coalesce("least", "rep").alias("component"))
-    return fp.join(per_fp, "fp").select(
+    return fp.join(per_fp, "fp")
+
+
+def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
+                   max_bits: int = 4, block: int = 4096) -> DataFrame:
+    """(doc_id, fingerprint, component_id) per input row."""
+    return _labelled(docs, id_col, text_col, words, max_bits, block).select(
         id_out("doc_id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         id_out("component").alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_bits: int = 4,
+                  block: int = 4096) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group the one of smallest id
+    (then smallest crc32 of its text; of repeated identical rows one)."""
+    got = _labelled(docs, id_col, text_col, words, max_bits, block)
+    keep = got.groupBy("component").agg(F.min(F.struct("doc_id", "tag")).alias("k")).select(
+        F.col("k.doc_id").alias("id"), F.col("k.tag").alias("tag"))
+    rows = docs.select(F.struct("*").alias("row"), id_in(id_col).alias("id"),
+                       F.crc32(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("tag"))
+    return rows.join(keep, ["id", "tag"], "left_semi").dropDuplicates(["id", "tag"]).select("row.*")
