@@ -335,14 +335,20 @@ def variant(page: list[Leaf], own: list[bool], r: random.Random) -> tuple[list[L
     for k in r.sample(_BEFORE, r.randint(0, 4)):
         add(k, root)
     body = [leaf for leaf, o in zip(page, own) if o]
+    run, last = 0, ()
     for i, leaf in enumerate(body):
         if i and r.random() < 0.05:
             add(r.choice(_WITHIN), box)
         inner = leaf.path[-1:] if leaf.path and leaf.path[-1][0] not in ("article", "main") else (("p",),)
-        if r.random() < 0.08:
+        if run:                                        # more items of the same list
+            run, inner = run - 1, last
+        elif r.random() < 0.12:
+            run = r.choice([0, 0, 1, 3, 5])
             inner = r.choice([(("ul",), ("li",)), (("blockquote",),), (("blockquote",), ("p",)), (("h2",),), (("pre",),), (("section",), ("p",)), (("ol",), ("li",)),
                               (("table",), ("tr",), ("td",)), (("figure",), ("figcaption",)), (("div",),), (("header",), ("h1",))])
-        out.append(Leaf((*box, *inner), leaf.text, leaf.linked))
+        last = inner
+        text = leaf.text if r.random() < 0.8 else " ".join(leaf.text.split()[:r.randint(1, 6)])     # short blocks too
+        out.append(Leaf((*box, *inner), text, leaf.linked))
         lab.append(True)
     for k in r.sample(_WITHIN, r.randint(0, 2)):
         add(k, box)
@@ -365,7 +371,7 @@ def structural(page: list[Leaf]) -> list[bool]:
     return out
 
 
-def train(pages: list[str], variants: int = 6, max_leaves: int = 150, seed: int = 3) -> BiLSTM:
+def train(pages: list[str], variants: int = 8, max_leaves: int = 150, seed: int = 3) -> BiLSTM:
     r, feat, rows = random.Random(seed), Featurizer(), []
     for page in pages:
         seq = leaves(page or "")

@@ -72,10 +72,11 @@ class OrdinalModel:
         return lambda text: sum(weights[i] * v for i, v in found(text))
 
 
-def fit_ordinal(rows: list[list[tuple[int, float]]], y: np.ndarray, n_features: int, grades: int, l2: float = 0.02,
-                steps: int = 400, rate: float = 0.1):
-    """Proportional odds by Adam on the penalised likelihood; thresholds
-    ordered by construction (first, then positive steps)."""
+def fit_ordinal(rows: list[list[tuple[int, float]]], y: np.ndarray, n_features: int, grades: int, l1: float = 2e-5,
+                steps: int = 500, rate: float = 0.1):
+    """Proportional odds by proximal Adam: an l1 penalty and weights >= 0 (only
+    features that go with toxicity are offered) leave out chance companions;
+    thresholds ordered by construction (first, then positive steps)."""
     n, k = len(rows), grades
     ri = np.repeat(np.arange(n), [len(r) for r in rows])
     ci = np.array([i for r in rows for i, _ in r], dtype=np.int64)
@@ -98,16 +99,17 @@ def fit_ordinal(rows: list[list[tuple[int, float]]], y: np.ndarray, n_features:
         gt[edge, y] += d[edge, y] / prob
         gt[edge, y + 1] -= d[edge, y + 1] / prob
         gth = gt[:, 1:-1].sum(axis=0)
-        g = np.concatenate([np.bincount(ci, weights=gs[ri] * xv, minlength=n_features) / n + l2 * w / n,
+        g = np.concatenate([np.bincount(ci, weights=gs[ri] * xv, minlength=n_features) / n,
                             [gth.sum() / n], np.exp(p[n_features + 1:]) * gth[::-1].cumsum()[::-1][1:] / n])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        p[:n_features] = np.maximum(p[:n_features] - rate * l1 / (np.sqrt(v[:n_features] / (1 - 0.999 ** t)) + 1e-8), 0)
     th = p[n_features] + np.concatenate([[0], np.cumsum(np.exp(p[n_features + 1:]))])
     return p[:n_features], th
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          grades: int = 3, max_labelled: int = 8_000, max_features: int = 4_096, min_df: int = 4) -> OrdinalModel:
+          grades: int = 3, max_labelled: int = 20_000, max_features: int = 4_096, min_df: int = 4) -> OrdinalModel:
     lab = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
            .where("id is not null and y is not null").groupBy("id").agg(F.max("y").alias("y"))
            .orderBy(F.xxhash64("id"), "id").limit(max_labelled))
