@@ -4,7 +4,8 @@ Features of a text: its lower-cased words (letters) and their prefixes of 4
 and 5 letters, each with the value log2(1 + occurrences).  The model is a proportional-odds model: one
 weight vector shared by all grades, ordered thresholds, P(y > j) =
 sigmoid(x.w - theta_j).  Output: expected severity, most likely grade, the
-chance of any toxicity, and ``toxic`` when that is at least ``cut``.
+chance of any toxicity, and ``toxic`` from the score that parts the labelled
+rows with the fewest errors.
 
 The label table has one level only, so grades come from it by a rule: a row
 labelled clean is grade 0; toxic rows are graded 1..``grades`` by the quantile
@@ -62,6 +63,7 @@ class OrdinalModel:
     vocab: dict[str, int]
     weights: np.ndarray
     thresholds: np.ndarray           # ascending
+    cut: float = 0.0                 # score from which a text counts as toxic
 
     def above(self, score: np.ndarray) -> np.ndarray:
         """P(y > j) per row and threshold."""
@@ -108,6 +110,20 @@ def fit_ordinal(rows: list[list[tuple[int, float]]], y: np.ndarray, n_features:
     return p[:n_features], th
 
 
+def best_cut(scores: np.ndarray, toxic: np.ndarray, default: float) -> float:
+    """Score between two neighbours with the fewest errors on labelled rows
+    (of several: the widest gap)."""
+    at = np.unique(scores)
+    if len(at) < 2:
+        return default
+    clean = np.sort(scores[~toxic])
+    bad = np.sort(scores[toxic])
+    mid = (at[1:] + at[:-1]) / 2
+    errors = len(clean) - np.searchsorted(clean, mid) + np.searchsorted(bad, mid)
+    least = np.flatnonzero(errors == errors.min())
+    return float(mid[least[np.argmax(np.diff(at)[least])]])
+
+
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           grades: int = 3, max_labelled: int = 20_000, max_features: int = 4_096, min_df: int = 4) -> OrdinalModel:
     lab = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
@@ -130,7 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     total = df.where("f = ''").first()
     na, nb = (total.a, total.b) if total else (0, 0)
     if not na or not nb:
-        return OrdinalModel({}, np.zeros(0), np.full(grades, 60.0))
+        return OrdinalModel({}, np.zeros(0), np.full(grades, 60.0), np.inf)
     rate = na / (na + nb)
     n = F.col("a") + F.col("b")
     # likelihood ratio against the base rate, beyond what the number of features brings up by chance
@@ -157,10 +173,11 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     cuts = np.quantile(held[toxic], [i / grades for i in range(1, grades)])
     y[toxic] = 1 + np.searchsorted(cuts, held[toxic], side="left")
     w, th = fit_ordinal(rows, y, len(vocab), grades)
-    return OrdinalModel(vocab, w, th)
+    scores = np.array([sum(w[i] * v for i, v in r) for r in rows])
+    return OrdinalModel(vocab, w, th, best_cut(scores, toxic, float(th[0])))
 
 
-def score(docs: DataFrame, model: OrdinalModel, *, text_col: str = "text", cut: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: OrdinalModel, *, text_col: str = "text") -> DataFrame:
     """(row: struct of all columns, expected_severity, severity, p_toxic, toxic)."""
     src = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)      # at most max_features words and weights
@@ -174,7 +191,7 @@ def score(docs: DataFrame, model: OrdinalModel, *, text_col: str = "text", cut:
             each = -np.diff(np.concatenate([np.ones((len(s), 1)), up, np.zeros((len(s), 1))], axis=1), axis=1)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(np.round(up.sum(axis=1), 9)), pa.array(each.argmax(axis=1).astype(np.int32)),
-                 pa.array(np.round(up[:, 0], 9)), pa.array(up[:, 0] >= cut)],
+                 pa.array(np.round(up[:, 0], 9)), pa.array(s >= m.cut)],
                 names=["row", "expected_severity", "severity", "p_toxic", "toxic"])
     kind = src.schema["row"].dataType.simpleString()
     return src.mapInArrow(run, f"row {kind}, expected_severity double, severity int, p_toxic double, toxic boolean")
