@@ -32,7 +32,6 @@ from corpusforge.session import spread
 SEP = "\u0001"  # never a byte-alphabet character
 #: merge tables up to this many entries are broadcast to the encoder
 MAX_BROADCAST_MERGES = 2_000_000
-_SENTINEL = "\u0000"
 
 
 def _c(col: Column | str) -> Column:
@@ -54,8 +53,7 @@ def pretokens(col: Column | str, specials: Sequence[str] = (), specials_mode: st
     if specials_mode != "match":
         raise ValueError(specials_mode)
     alt = "(" + "|".join(re.escape(s) for s in specials) + ")"
-    marked = F.regexp_replace(text, alt, _SENTINEL + "$1" + _SENTINEL)
-    pieces = F.split(marked, _SENTINEL)
+    pieces = F.split(text, f"(?={alt})|(?<={alt})")  # zero-width: no character of the text is consumed
     spec = F.array(*[F.lit(s) for s in specials])
     per_piece = F.transform(pieces, lambda p: F.when(F.array_contains(spec, p), F.array(p)).otherwise(
         F.regexp_extract_all(p, F.lit(GPT2_PATTERN), 0)))

@@ -114,7 +114,11 @@ def dedupe_verdicts(verdicts: DataFrame, key: str = "index", verdict_col: str =
 
 def preference_join(responses: DataFrame, verdicts: DataFrame, key: str = "index") -> DataFrame:
     """G8 + P10/P11 + P12: valid response pairs joined to parsed verdicts,
-    projected to ``prompt, chosen, rejected``; unparsed verdicts give no row."""
+    projected to ``prompt, chosen, rejected``; unparsed verdicts give no row.
+    Of several verdicts for a key one counts: the lowest ``verdict_id``, or the
+    smallest verdict where there is no such column."""
+    order_col = "verdict_id" if "verdict_id" in verdicts.columns else "verdict"
+    verdicts = dedupe_verdicts(verdicts, key, "verdict", order_col)
     valid = responses.where(valid_pair("response_a", "response_b"))
     j = valid.join(verdicts.where(F.col("verdict").isin("A", "B")), on=key, how="inner")
     return j.select(key, "prompt", *preference_columns("verdict", "response_a", "response_b"))

@@ -1,7 +1,7 @@
 """Prompt construction for annotation jobs.
 
-Seed tables are tiny and of fixed size, so they are broadcast into
-equi-joins on a hashed or arithmetic key; no cross join is formed.
+Items meet their seed rows in equi-joins on a hashed or arithmetic key; no
+cross join is formed.  The fixed prompt tables are tiny and broadcast.
 """
 
 from __future__ import annotations
@@ -9,40 +9,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.functions.text import bullet_list, fill_template, prefix, seeded_hash_mod
+from corpusforge.functions.text import fill_template, prefix, seeded_hash_mod
 from corpusforge.sources import seeds
 
-# Fixed values (our own wording): prompt templates.
-STORY_TEMPLATE = (
-    "Story:\n{story}\n\nWrite a one-sentence instruction that could have produced this story:")
-TASK_TEMPLATE = (
-    "Create an instruction and a helpful answer.\n\nCategory: {name} - {description}\nTopic: {topic}\n\n"
-    "Example instructions in this category:\n{examples}\n\n"
-    "Write a new instruction about {topic} in the {name} style and answer it.\n\nReply with JSON only:")
+# Neutral default templates; callers pass their own.
+STORY_TEMPLATE = "### Text\n{story}\n### Instruction that this text answers\n"
+TASK_TEMPLATE = "### Language\n{name}\n### Source\n{topic}\n### Question and answer as JSON\n"
 
 
 def story_prompts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  max_chars: int = 2000) -> DataFrame:
+                  max_chars: int = 2000, template: str = STORY_TEMPLATE) -> DataFrame:
     """P3 + P4: the annotation prompt sees the first ``max_chars`` characters;
     the full text stays in the row as the response."""
     return docs.select(F.col(id_col).alias("index"),
-                       fill_template(STORY_TEMPLATE, story=prefix(text_col, max_chars)).alias("prompt"),
+                       fill_template(template, story=prefix(text_col, max_chars)).alias("prompt"),
                        F.col(text_col).alias("response"))
 
 
-def task_grid(items: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
+def task_grid(items: DataFrame, id_col: str, seed: int = 42, template: str = TASK_TEMPLATE,
+              category_col: str = "lang", topic_col: str = "source") -> DataFrame:
     """Each item draws a category and a topic independently (with
-    replacement) from a seeded md5 hash; seed tables join by broadcast."""
-    spark = items.sparkSession
-    cats = F.broadcast(seeds.categories_df(spark))
-    tops = F.broadcast(seeds.topics_df(spark))
+    replacement) from a seeded md5 hash.  Categories and topics are the
+    distinct values of two columns of the given table (S8)."""
+    cats = seeds.numbered_values(items, category_col, "category_id", "category")
+    tops = seeds.numbered_values(items, topic_col, "topic_id", "topic")
     d = items.select(F.col(id_col).alias("index"),
-                     seeded_hash_mod(len(seeds.CATEGORIES), seed, id_col, salt="c").cast("int").alias("category_id"),
-                     seeded_hash_mod(len(seeds.TOPICS), seed, id_col, salt="t").cast("int").alias("topic_id"))
+                     seeded_hash_mod(cats.count(), seed, id_col, salt="c").alias("category_id"),
+                     seeded_hash_mod(tops.count(), seed, id_col, salt="t").alias("topic_id"))
     d = d.join(cats, on="category_id").join(tops, on="topic_id")
-    prompt = fill_template(TASK_TEMPLATE, name=F.col("name"), description=F.col("description"),
-                           topic=F.col("topic"), examples=bullet_list("examples"))
-    return d.select("index", F.col("name").alias("category"), "topic", prompt.alias("prompt"))
+    prompt = fill_template(template, name=F.col("category"), topic=F.col("topic"))
+    return d.select("index", "category", "topic", prompt.alias("prompt"))
 
 
 def prompt_variations(items: DataFrame, id_col: str, compat: bool = False) -> DataFrame:
@@ -58,5 +54,7 @@ def prompt_variations(items: DataFrame, id_col: str, compat: bool = False) -> Da
     d = (d.join(F.broadcast(seeds.base_prompts_df(spark)), on="base_id")
           .join(F.broadcast(seeds.variations_df(spark)), on="variation_id"))
     parts = F.split(F.col("template"), r"\{p\}", 2)
-    prompt = F.concat(F.get(parts, 0), F.lower(F.col("base")), F.coalesce(F.get(parts, 1), F.lit("")))
+    # only the polite form lower-cases the prompt (P16); the others keep it as it is
+    base = F.when(F.col("polite"), F.lower(F.col("base"))).otherwise(F.col("base"))
+    prompt = F.concat(F.get(parts, 0), base, F.coalesce(F.get(parts, 1), F.lit("")))
     return d.select("index", "base_id", "variation_id", prompt.alias("prompt"))

@@ -23,7 +23,7 @@ class CorpusParams:
     val_ratio: float = 0.01
     vocab_size: int = 4096
     min_frequency: int = 1
-    tokenizer_sample_cap: int = 100_000
+    tokenizer_sample_cap: int | None = None  # None: the whole train split
     double_framing: bool = False
     context_length: int = 128
     stride: int | None = None
@@ -40,12 +40,14 @@ MAX_BROADCAST_IDS = 5_000_000
 
 
 def tokenizer_sample(docs: DataFrame, p: CorpusParams, id_col: str = "doc_id") -> DataFrame:
-    """The first ``cap`` training documents of the split.
+    """The whole train split, or (D9) its first ``cap`` documents if a cap is set.
 
     The split positions are computed on the id column alone (a narrow
     shuffle); the text is then picked by a semi-join against at most ``cap``
     ids, so the text is not shuffled a second time.
     """
+    if p.tokenizer_sample_cap is None:
+        return split_documents(docs, p, id_col).where("split = 'train'").select(*docs.columns)
     kept = docs.where(non_blank("text"))
     split = order.tail_split(kept.select(id_col), id_col, p.val_ratio, p.seed,
                              digits=order.hex_digits_for(docs.count()))

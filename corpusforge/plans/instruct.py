@@ -67,9 +67,8 @@ def response_pairs(prompts_df: DataFrame, id_col: str, prompt_col: str, responde
                       & valid_pair("response_a", "response_b"))
 
 
-# Fixed value (our own wording): the judge's prompt.
-JUDGE_TEMPLATE = ("Which response answers the prompt better?\n\nPrompt: {prompt}\n\nResponse A: {a}\n\n"
-                  "Response B: {b}\n\nAnswer with A or B only.")
+# Neutral default; callers pass their own.
+JUDGE_TEMPLATE = "### Prompt\n{prompt}\n### A\n{a}\n### B\n{b}\n### Better one, A or B\n"
 
 
 def judge_preferences(pairs: DataFrame, judge: Responder, **annotate_kwargs) -> tuple[DataFrame, DataFrame]:
@@ -77,10 +76,10 @@ def judge_preferences(pairs: DataFrame, judge: Responder, **annotate_kwargs) ->
 
     Returns ``(preferences, unparsed)``; unparsed verdicts produce no row (and
     are retried on the next run, as in the reference)."""
-    from corpusforge.functions.text import fill_template, prefix
+    from corpusforge.functions.text import fill_template
 
-    prompt = fill_template(JUDGE_TEMPLATE, prompt=prefix("prompt", 500), a=prefix("response_a", 1000),
-                           b=prefix("response_b", 1000))
+    prompt = fill_template(JUDGE_TEMPLATE, prompt=F.col("prompt"), a=F.col("response_a"),
+                           b=F.col("response_b"))
     asked = pairs.withColumn("_judge", prompt)
     ann = cut_lineage(annotate.annotate(asked, "_judge", judge, ["index"],
                                         carry=["prompt", "response_a", "response_b"], **annotate_kwargs))

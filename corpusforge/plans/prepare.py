@@ -29,7 +29,7 @@ from corpusforge.sources import io, tokenbin
 
 
 def prepare(spark: SparkSession, input_path: str, out: str, tokenizer: str = "bpe", vocab_size: int = 8192,
-            val_ratio: float = 0.01, seed: int = 42, sample_cap: int = 100_000, bpe_mode: str = "exact",
+            val_ratio: float = 0.01, seed: int = 42, sample_cap: int | None = None, bpe_mode: str = "exact",
             double_framing: bool = False) -> dict:
     ensure_checkpoint_dir(spark)
     p = corpus.CorpusParams(seed=seed, val_ratio=val_ratio, vocab_size=vocab_size,
@@ -72,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--vocab-size", type=int, default=8192)
     ap.add_argument("--val-ratio", type=float, default=0.01)
     ap.add_argument("--seed", type=int, default=42)
-    ap.add_argument("--sample-cap", type=int, default=100_000)
+    ap.add_argument("--sample-cap", type=int, default=None)
     ap.add_argument("--bpe-mode", choices=["exact", "fast"], default="exact")
     ap.add_argument("--double-framing", action="store_true")
     a = ap.parse_args(argv)

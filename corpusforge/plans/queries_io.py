@@ -99,13 +99,16 @@ def q_f7(spark, d):
 
 
 @register("p10_verdict_parse", f"""
-SELECT conv_id, turn,
-       CASE WHEN upper({S.strip_sql("' ' || lower(left(text, 1)) || chr(10)")}) IN ('A', 'B')
-            THEN upper({S.strip_sql("' ' || lower(left(text, 1)) || chr(10)")}) END AS verdict
-FROM conversations""")
+WITH replies AS (
+  SELECT conv_id, turn, CASE (conv_id + turn) % 4 WHEN 0 THEN ' a' || chr(10) WHEN 1 THEN 'B  '
+                        WHEN 2 THEN text ELSE 'A ' || text END AS reply FROM conversations)
+SELECT conv_id, turn, CASE WHEN upper({S.strip_sql('reply')}) IN ('A', 'B') THEN upper({S.strip_sql('reply')}) END AS verdict
+FROM replies""")
 def q_p10(spark, d):
     c = table(spark, d, "conversations")
-    raw = F.concat(F.lit(" "), F.lower(F.left("text", F.lit(1))), F.lit("\n"))
+    k = (F.col("conv_id") + F.col("turn")) % 4  # bare verdicts, whole texts, verdicts with a text behind them
+    raw = (F.when(k == 0, F.lit(" a\n")).when(k == 1, F.lit("B  ")).when(k == 2, F.col("text"))
+           .otherwise(F.concat(F.lit("A "), F.col("text"))))
     return c.select("conv_id", "turn", X.parse_verdict(raw).alias("verdict"))
 
 

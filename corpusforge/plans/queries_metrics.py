@@ -95,30 +95,30 @@ def q_m2s(spark, d):
 
 
 def _ce_tokens(spark, d):
-    s = scored_table(spark, d).where(F.col("model") == "policy")
-    return s.select((F.floor(F.col("example_id") / 8)).cast("long").alias("batch_id"), "side", "label",
+    s = scored_table(spark, d)
+    return s.select("model", (F.floor(F.col("example_id") / 8)).cast("long").alias("batch_id"), "side", "label",
                     (-F.col("logp")).alias("ce"),
                     F.when(F.col("label") != IGNORE_INDEX, 1.0).otherwise(0.0).alias("mask"))
 
 
 @register("m3_masked_mean_ce", f"""WITH {_SCORED_SQL.strip()}
-SELECT CAST(floor(example_id / 8) AS BIGINT) AS batch_id,
+SELECT model, CAST(floor(example_id / 8) AS BIGINT) AS batch_id,
        round(sum(-logp * CASE WHEN label <> -100 THEN 1.0 ELSE 0.0 END)
              / (sum(CASE WHEN label <> -100 THEN 1.0 ELSE 0.0 END) + 1e-8), {R6}) AS masked_ce,
        CAST(sum(CASE WHEN label <> -100 THEN 1.0 ELSE 0.0 END) AS DOUBLE) AS n_scored
-FROM scored WHERE model = 'policy' GROUP BY 1""")
+FROM scored GROUP BY ALL""")
 def q_m3(spark, d):
-    m = Mx.masked_mean_ce(_ce_tokens(spark, d), ["batch_id"])
-    return m.select("batch_id", F.round("masked_ce", R6).alias("masked_ce"), "n_scored")
+    m = Mx.masked_mean_ce(_ce_tokens(spark, d), ["model", "batch_id"])
+    return m.select("model", "batch_id", F.round("masked_ce", R6).alias("masked_ce"), "n_scored")
 
 
 @register("m4_mean_ce_ignoring", f"""WITH {_SCORED_SQL.strip()}
-SELECT side, round(avg(CASE WHEN label <> -100 THEN -logp END), {R6}) AS mean_ce,
+SELECT model, side, round(avg(CASE WHEN label <> -100 THEN -logp END), {R6}) AS mean_ce,
        count(CASE WHEN label <> -100 THEN 1 END) AS n_kept
-FROM scored WHERE model = 'policy' GROUP BY side""")
+FROM scored GROUP BY model, side""")
 def q_m4(spark, d):
-    m = Mx.mean_ce_ignoring(_ce_tokens(spark, d), ["side"])
-    return m.select("side", F.round("mean_ce", R6).alias("mean_ce"), "n_kept")
+    m = Mx.mean_ce_ignoring(_ce_tokens(spark, d), ["model", "side"])
+    return m.select("model", "side", F.round("mean_ce", R6).alias("mean_ce"), "n_kept")
 
 
 # ------------------------------------------------------------- metric logs

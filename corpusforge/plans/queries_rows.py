@@ -85,33 +85,26 @@ def q_p4(spark, d):
     return sp.select("index", "prompt", F.length("response").cast("long").alias("response_chars"))
 
 
-def _cats_values() -> str:
-    rows = []
-    for i, (n, desc, ex) in enumerate(seeds.CATEGORIES):
-        bullets = "\n".join("- " + e for e in ex)
-        rows.append(f"({i}, {S.q(n)}, {S.q(desc)}, {S.q(bullets)})")
-    return ", ".join(rows)
-
-
 def _task_prompt_sql() -> str:
     t = prompts.TASK_TEMPLATE
     out, pos = [], 0
     import re
     for m in re.finditer(r"\{(\w+)\}", t):
         out.append(S.q(t[pos:m.start()]))
-        out.append({"name": "c.name", "description": "c.description", "topic": "tp.topic",
-                    "examples": "c.bullets"}[m.group(1)])
+        out.append({"name": "c.category", "topic": "tp.topic"}[m.group(1)])
         pos = m.end()
     out.append(S.q(t[pos:]))
     return " || ".join(out)
 
 
 @register("p14_task_grid", f"""
-WITH cats AS (SELECT * FROM (VALUES {_cats_values()}) AS c(category_id, name, description, bullets)),
-     tops AS (SELECT * FROM (VALUES {', '.join(f'({i}, {S.q(t)})' for i, t in enumerate(seeds.TOPICS))}) AS t(topic_id, topic)),
-     grid AS (SELECT doc_id AS index, {S.hash_mod_sql(8, 42, 'doc_id', 'c')} AS category_id,
-                     {S.hash_mod_sql(29, 42, 'doc_id', 't')} AS topic_id FROM documents)
-SELECT g.index, c.name AS category, tp.topic, {_task_prompt_sql()} AS prompt
+WITH cats AS (SELECT lang AS category, row_number() OVER (ORDER BY lang) - 1 AS category_id
+              FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)),
+     tops AS (SELECT source AS topic, row_number() OVER (ORDER BY source) - 1 AS topic_id
+              FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL)),
+     grid AS (SELECT doc_id AS index, {S.hash_mod_sql('(SELECT count(*) FROM cats)', 42, 'doc_id', 'c')} AS category_id,
+                     {S.hash_mod_sql('(SELECT count(*) FROM tops)', 42, 'doc_id', 't')} AS topic_id FROM documents)
+SELECT g.index, c.category, tp.topic, {_task_prompt_sql()} AS prompt
 FROM grid g JOIN cats c ON c.category_id = g.category_id JOIN tops tp ON tp.topic_id = g.topic_id""")
 def q_p14(spark, d):
     return prompts.task_grid(table(spark, d, "documents"), "doc_id", seed=42)
@@ -119,7 +112,7 @@ def q_p14(spark, d):
 
 def _variation_sql() -> str:
     cases = " ".join(
-        f"WHEN {i} THEN {S.q(v.split('{p}')[0])} || lower(b.base) || {S.q(v.split('{p}')[1])}"
+        f"WHEN {i} THEN {S.q(v.split('{p}')[0])} || {'lower(b.base)' if v.startswith('Please') else 'b.base'} || {S.q(v.split('{p}')[1])}"
         for i, v in enumerate(seeds.VARIATIONS))
     return f"CASE g.variation_id {cases} END"
 

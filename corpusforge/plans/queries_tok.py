@@ -232,7 +232,7 @@ def q_plan_sft(spark, d):
     from corpusforge.functions.responders import StubPairResponder
     from corpusforge.plans import instruct
 
-    pairs, _errors = instruct.generate_pairs(table(spark, d, "documents").select("doc_id"), "doc_id",
+    pairs, _errors = instruct.generate_pairs(table(spark, d, "documents").select("doc_id", "lang", "source"), "doc_id",
                                              StubPairResponder(), max_in_flight=50)
     enc = bpe.encode_column(spark, bpe_model(spark, d))
     rows = instruct.sft_dataset(pairs, enc, max_length=256)
@@ -246,8 +246,8 @@ def q_plan_dpo(spark, d):
     from corpusforge.functions.responders import StubStyleResponder, StubVerdictResponder
     from corpusforge.plans import instruct
 
-    pairs = instruct.response_pairs(table(spark, d, "benchmark"), "item_id", "text", StubStyleResponder("gen"),
-                                    n=1000)
+    bench = table(spark, d, "benchmark")
+    pairs = instruct.response_pairs(bench, "item_id", "text", StubStyleResponder("gen"), n=bench.count())
     prefs_df, _unparsed = instruct.judge_preferences(pairs, StubVerdictResponder())
     enc = bpe.encode_column(spark, bpe_model(spark, d))
     rows = instruct.preference_dataset(prefs_df, enc, max_length=256)

@@ -46,14 +46,14 @@ def split_docs_cte(seed=42, val_ratio=0.01, table="documents", id_col="doc_id")
       FROM ordered)"""
 
 
-def word_vocab_cte(vocab_size=4096, cap=100_000, min_frequency=1) -> str:
-    """Vocabulary over the first ``cap`` training docs (needs split_docs)."""
+def word_vocab_cte(vocab_size=4096, cap=None, min_frequency=1) -> str:
+    """Vocabulary over the train split, or its first ``cap`` documents (needs split_docs)."""
     specials = ["<|pad|>", "<|unk|>", "<|bos|>", "<|eos|>", "<|user|>", "<|assistant|>"]
     spec_rows = ", ".join(f"({i}, {q(s)}, 'special')" for i, s in enumerate(specials))
     k = vocab_size - len(specials)
     spec_list = ", ".join(q(s) for s in specials)
     return f"""
-    sample_docs AS (SELECT * FROM split_docs WHERE split = 'train' AND pos < {cap}),
+    sample_docs AS (SELECT * FROM split_docs WHERE split = 'train'{'' if cap is None else f' AND pos < {cap}'}),
     sample_words AS (SELECT unnest({words_sql('text')}) AS word FROM sample_docs),
     counts AS (SELECT word, count(*) AS freq FROM sample_words GROUP BY word),
     ranked AS (

@@ -1,40 +1,12 @@
-"""Inline seed tables (S8): task categories, topics, base prompts and
-prompt variations.  The values are our own; what matches the reference is
-the shape (8 categories with a name, a description and 3 examples; 29
-topics; 30 base prompts; 5 variations).
+"""Seed tables (S8).  Task categories and topics are the distinct values of
+given columns; the base prompts and their five variations are our own, with
+the shape that the preference job needs (30 prompts, 5 variations).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-# Fixed values (our own wording): task categories as (name, description, examples).
-CATEGORIES = [
-    ("explain", "Explain a concept in plain words",
-     ["Explain how tides work.", "Explain why leaves change colour.", "Explain what a budget is."]),
-    ("howto", "Give step-by-step instructions",
-     ["How do I repot a plant?", "How can I fold a paper boat?", "How do I start a compost bin?"]),
-    ("compare", "Compare two related things",
-     ["Compare trains and buses for commuting.", "Compare tea and coffee.", "Compare maps and compasses."]),
-    ("story", "Write a short story",
-     ["Write a story about a lost kite.", "Tell a tale of a brave snail.", "Write a story set on a quiet island."]),
-    ("advice", "Offer practical advice",
-     ["How can I sleep better?", "How do I keep a study routine?", "How should I prepare for a hike?"]),
-    ("summarize", "Summarize a topic briefly",
-     ["Summarize the water cycle.", "Summarize how bees make honey.", "Summarize what a library offers."]),
-    ("list", "Produce a short list",
-     ["List five uses for a jar.", "List three signs of spring.", "List four board games for families."]),
-    ("question", "Answer a factual question",
-     ["What is a glacier?", "Why is the sky blue?", "What does a lighthouse do?"]),
-]
-
-# Fixed values (our own wording): topics.
-TOPICS = [
-    "gardening", "the ocean", "bicycles", "cooking", "astronomy", "music", "weather", "libraries",
-    "mountains", "birds", "trains", "painting", "recycling", "friendship", "maps", "bread",
-    "rivers", "insects", "museums", "winter", "clocks", "bridges", "forests", "chess",
-    "kites", "lighthouses", "volcanoes", "markets", "letters",
-]
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 # Fixed values (our own wording): base prompts for preference generation.
 BASE_PROMPTS = [
@@ -50,19 +22,16 @@ BASE_PROMPTS = [
     "Suggest a game for a rainy day", "Describe a museum visit", "Explain how recycling helps",
 ]
 
-# Fixed values (our own wording): variation templates; {p} is the lower-cased base prompt.
+# Fixed values (our own wording): variation templates; {p} is the base prompt, lower-cased in the polite form only.
 VARIATIONS = [
     "{p}.", "Please {p}.", "In a few sentences, {p}.", "For a child, {p}.", "Briefly, {p}.",
 ]
 
 
-def categories_df(spark: SparkSession) -> DataFrame:
-    rows = [(i, n, d, ex) for i, (n, d, ex) in enumerate(CATEGORIES)]
-    return spark.createDataFrame(rows, "category_id int, name string, description string, examples array<string>")
-
-
-def topics_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(TOPICS)), "topic_id int, topic string")
+def numbered_values(df: DataFrame, col: str, id_name: str, name: str) -> DataFrame:
+    """(id, value) of the distinct values of a column, numbered in order."""
+    values = df.select(F.col(col).cast("string").alias(name)).where(F.col(name).isNotNull()).distinct()
+    return values.select((F.row_number().over(Window.orderBy(name)) - 1).cast("long").alias(id_name), name)
 
 
 def base_prompts_df(spark: SparkSession) -> DataFrame:
@@ -70,4 +39,5 @@ def base_prompts_df(spark: SparkSession) -> DataFrame:
 
 
 def variations_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(VARIATIONS)), "variation_id int, template string")
+    rows = [(i, v, v.startswith("Please")) for i, v in enumerate(VARIATIONS)]
+    return spark.createDataFrame(rows, "variation_id int, template string, polite boolean")

@@ -103,6 +103,7 @@ class TokenBinWriter(DataSourceArrowWriter):
         self.path = options["path"]
         self.column = options.get("column", "ids")
         self.overwrite = overwrite
+        self.job = uuid.uuid4().hex  # names the files of this write
 
     def write(self, iterator) -> _Shard:
         import pyarrow.compute as pc
@@ -111,7 +112,7 @@ class TokenBinWriter(DataSourceArrowWriter):
         pid = TaskContext.get().partitionId()
         filesystem, root = _fs(self.path)
         filesystem.create_dir(root, recursive=True)
-        name = f"part-{pid:05d}-{uuid.uuid4().hex}.bin"
+        name = f"part-{pid:05d}-{self.job}-{uuid.uuid4().hex}.bin"
         tmp = f"{root}/_tmp-{name}"
         n = 0
         with filesystem.open_output_stream(tmp) as f:
@@ -126,22 +127,41 @@ class TokenBinWriter(DataSourceArrowWriter):
 
     def commit(self, messages) -> None:
         shards = sorted((m for m in messages if m is not None), key=lambda m: m.partition)
-        start, rows = 0, []
+        filesystem, root = _fs(self.path)
+        before = self._manifest(filesystem, root)
+        rows = [] if self.overwrite else list(before)  # append: the stream goes on behind what is there
+        start = sum(r["n_tokens"] for r in rows)
         for m in shards:
-            rows.append({"name": m.name, "partition": m.partition, "n_tokens": m.n_tokens, "start": start})
+            rows.append({"name": m.name, "partition": len(rows), "n_tokens": m.n_tokens, "start": start})
             start += m.n_tokens
-        filesystem, root = _fs(self.path)
         with filesystem.open_output_stream(f"{root}/{MANIFEST}") as f:
             f.write(json.dumps({"n_tokens": start, "shards": rows}).encode("utf-8"))
+        if self.overwrite:
+            self._delete(filesystem, [f"{root}/{r['name']}" for r in before])
+
+    @staticmethod
+    def _manifest(filesystem, root) -> list[dict]:
+        try:
+            with filesystem.open_input_stream(f"{root}/{MANIFEST}") as f:
+                return json.loads(f.read())["shards"]
+        except FileNotFoundError:
+            return []
+
+    @staticmethod
+    def _delete(filesystem, paths) -> None:
+        for p in paths:
+            try:
+                filesystem.delete_file(p)
+            except OSError:
+                pass
 
     def abort(self, messages) -> None:
+        """Remove every file of this write, temporary ones of failed tasks too."""
+        from pyarrow.fs import FileSelector
+
         filesystem, root = _fs(self.path)
-        for m in messages:
-            if m is not None:
-                try:
-                    filesystem.delete_file(f"{root}/{m.name}")
-                except OSError:
-                    pass
+        found = filesystem.get_file_info(FileSelector(root, allow_not_found=True))
+        self._delete(filesystem, [f.path for f in found if self.job in f.base_name])
 
 
 class TokenBinDataSource(DataSource):
