@@ -35,7 +35,7 @@ from corpusforge.llm.common import id_in, id_out, written
 # Unicode White_Space, the \s of the vocabulary's own pattern
 _WS = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
-_CACHE = 400_000
+_CACHE = 600_000
 
 
 class CachedEncoder:
@@ -57,7 +57,7 @@ class CachedEncoder:
         new = list({c for cs in chunks if cs for c in cs if c not in cache})
         for i in range(0, len(new), 20_000):
             part = new[i:i + 20_000]
-            for c, e in zip(part, self.tok.encode_batch(part, add_special_tokens=False)):
+            for c, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
                 cache[c] = np.array(e.ids, dtype="<u4").tobytes()
         for i, cs in enumerate(chunks):
             if cs is None:
