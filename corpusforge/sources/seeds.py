@@ -29,7 +29,10 @@ VARIATIONS = [
 
 
 def numbered_values(df: DataFrame, col: str, id_name: str, name: str) -> DataFrame:
-    """(id, value) of the distinct values of a column, numbered in order."""
+    """(id, value) of the distinct values of a column, numbered in order; a
+    table without the column has the single value ``any``."""
+    if col not in df.columns:
+        return df.sparkSession.createDataFrame([(0, "any")], f"{id_name} long, {name} string")
     values = df.select(F.col(col).cast("string").alias(name)).where(F.col(name).isNotNull()).distinct()
     return values.select((F.row_number().over(Window.orderBy(name)) - 1).cast("long").alias(id_name), name)
 
