@@ -13,7 +13,8 @@ def word_encoder(spark, texts_df):
 
 
 def test_seed_to_sft_rows(spark):
-    items = spark.range(60).withColumnRenamed("id", "doc_id")
+    # categories and topics come from the given table
+    items = spark.range(60).selectExpr("id as doc_id", "concat('lang', id % 8) as lang", "concat('topic', id % 29) as source")
     pairs, errors = instruct.generate_pairs(items, "doc_id", StubPairResponder())
     n_ok, n_err = pairs.count(), errors.count()
     assert n_ok + n_err == 60 and n_err > 0
