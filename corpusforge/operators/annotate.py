@@ -126,25 +126,41 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 def run_resumable(todo: DataFrame, prompt_col: str, responder: Responder, keys: Sequence[str],
                   out_path: str, err_path: str, carry: Sequence[str] = (),
-                  preview_chars: int = 200, **annotate_kwargs) -> dict:
-    """L1-L5 + K1/K6 as one job: anti-join the existing output, annotate,
-    stage the result once (replies are not recomputed), then append the ok
-    rows to ``out_path`` and the failures (with a ``preview_chars`` prefix of
-    the prompt) to ``err_path``.  Returns the job summary (L9)."""
+                  preview_chars: int = 200, pieces: int = 32, min_piece_rows: int = 1000,
+                  **annotate_kwargs) -> dict:
+    """L1-L5 + K1/K6 as one job in up to ``pieces`` committed pieces.
+
+    The rows left to do (anti-join against the output) are written once, cut by
+    a hash of their keys.  Each piece is annotated, staged (replies are not
+    recomputed) and appended -- ok rows to ``out_path``, failures (with a
+    ``preview_chars`` prefix of the prompt) to ``err_path`` -- before the next
+    one starts, so a job that dies loses at most the piece it was at; rows that
+    failed are not in the output and are asked again on the next run.  Returns
+    the job summary (L9)."""
     spark = todo.sparkSession
     out_schema = T.StructType([todo.schema[k] for k in keys] + [todo.schema[c] for c in carry]
                               + [T.StructField("reply", T.StringType())])
     done = read_if_exists(spark, out_path, out_schema)
-    ann = annotate(remaining(todo, done, keys).select(*keys, *carry, prompt_col), prompt_col, responder,
-                   keys, carry=carry, **annotate_kwargs)
-    stage = scratch_path(spark, "annotate-stage")
-    ann.write.parquet(stage)
-    res = spark.read.parquet(stage)
-    res.where(F.col("status") == "ok").select(*keys, *carry, "reply").write.mode("append").json(out_path)
-    (res.where(F.col("status") != "ok")
-        .select(*keys, *carry, "error", "attempts", prefix(prompt_col, preview_chars).alias("preview"))
-        .write.mode("append").json(err_path))
-    return {r["status"]: r["n"] for r in res.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    left = remaining(todo, done, keys).select(*keys, *carry, prompt_col)
+    plan = scratch_path(spark, "annotate-todo")
+    left.withColumn("_piece", F.pmod(F.xxhash64(*keys), F.lit(pieces)).cast("int")).write.parquet(plan)
+    left = spark.read.schema(T.StructType([*left.schema, T.StructField("_piece", T.IntegerType())])).parquet(plan)
+    n = left.count()
+    steps = max(1, min(pieces, n // max(1, min_piece_rows)))   # small jobs are not cut up
+    summary: dict[str, int] = {}
+    for i in range(steps if n else 0):
+        part = left.where(F.col("_piece") % steps == i).drop("_piece")
+        ann = annotate(part, prompt_col, responder, keys, carry=carry, **annotate_kwargs)
+        stage = scratch_path(spark, "annotate-stage")
+        ann.write.parquet(stage)
+        res = spark.read.schema(ann.schema).parquet(stage)
+        res.where(F.col("status") == "ok").select(*keys, *carry, "reply").write.mode("append").json(out_path)
+        (res.where(F.col("status") != "ok")
+            .select(*keys, *carry, "error", "attempts", prefix(prompt_col, preview_chars).alias("preview"))
+            .write.mode("append").json(err_path))
+        for r in res.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect():
+            summary[r["status"]] = summary.get(r["status"], 0) + r["n"]
+    return summary
 
 
 def job_summary(results: DataFrame, keys: Sequence[str], n_samples: int = 3) -> tuple[DataFrame, DataFrame]:
@@ -171,16 +187,25 @@ def compare_models(df: DataFrame, prompt_col: str, responders: Mapping[str, Resp
 
 
 class _RoutedResponder:
-    """Dispatches ``model\\0prompt`` strings to the named responder."""
+    """Dispatches ``model\\0prompt`` strings: one call per model and batch."""
 
     def __init__(self, responders: Mapping[str, Responder]):
         self.responders = dict(responders)
 
     def __call__(self, prompts: list[str]) -> list[str]:
-        out: list[str] = []
-        for p in prompts:
+        asked: dict[str, list[int]] = {}
+        texts: list[str] = []
+        for i, p in enumerate(prompts):
             model, _, text = p.partition("\u0000")
-            out.append(self.responders[model]([text])[0])
+            asked.setdefault(model, []).append(i)
+            texts.append(text)
+        out: list[str] = [""] * len(prompts)
+        for model, rows in asked.items():
+            replies = list(self.responders[model]([texts[i] for i in rows]))
+            if len(replies) != len(rows):
+                raise ValueError(f"{model}: {len(replies)} replies to {len(rows)} prompts")
+            for i, reply in zip(rows, replies):
+                out[i] = reply
         return out
 
 

@@ -27,7 +27,6 @@ from pyspark.sql import types as T
 
 from corpusforge.functions.bytelevel import BYTE_CHARS, GPT2_PATTERN, bpe_segment, from_symbols, to_symbols
 from corpusforge.functions.text import BOS_ID, CHAT_SPECIALS, EOS_ID
-from corpusforge.session import spread
 
 SEP = "\u0001"  # never a byte-alphabet character
 #: merge tables up to this many entries are broadcast to the encoder
@@ -70,7 +69,7 @@ def to_symbol_array(word: Column | str) -> Column:
 
 def pretoken_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``word, freq, syms`` over the whole input."""
-    counts = (spread(df.select(text_col)).select(F.explode(pretokens(text_col)).alias("word"))
+    counts = (df.select(F.explode(pretokens(text_col)).alias("word"))
               .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
     return counts.withColumn("syms", to_symbol_array("word"))
 
@@ -378,12 +377,15 @@ def frame(ids: Column | str, bos: int = BOS_ID, eos: int = EOS_ID, double: bool
 # ----------------------------------------------------------------- T8 / T9
 
 def tokenizer_report(encoded: DataFrame, vocab: DataFrame, vocab_size: int, top_n: int = 20,
-                     text_col: str = "text", ids_col: str = "ids") -> tuple[DataFrame, DataFrame]:
+                     text_col: str = "text", ids_col: str = "ids",
+                     chars_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Characters per token, distinct ids, coverage (distinct / vocab)
-    and the ``top_n`` most frequent ids with their tokens."""
+    and the ``top_n`` most frequent ids with their tokens.  ``chars_col``
+    holds text lengths where the texts themselves are not carried."""
+    chars = F.col(chars_col) if chars_col else F.length(text_col)
     summary = encoded.agg(
         F.count(F.lit(1)).alias("n_texts"),
-        F.sum(F.length(text_col)).cast("long").alias("n_chars"),
+        F.sum(chars).cast("long").alias("n_chars"),
         F.sum(F.size(ids_col)).cast("long").alias("n_tokens"))
     distinct = encoded.select(F.explode(ids_col).alias("token_id")).agg(
         F.countDistinct("token_id").alias("distinct_ids"))
@@ -395,7 +397,7 @@ def tokenizer_report(encoded: DataFrame, vocab: DataFrame, vocab_size: int, top_
     counts = encoded.select(F.explode(ids_col).alias("token_id")).groupBy("token_id").agg(
         F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.col("n").desc(), F.col("token_id").asc()).limit(top_n)
-    top = top.join(F.broadcast(vocab.select("token_id", "token")), on="token_id", how="left")
+    top = top.join(vocab.select("token_id", "token"), on="token_id", how="left")
     return summary, top
 
 

@@ -3,8 +3,8 @@
 Input ``candidates(context_id, item_id, score)``.  A context may be hot
 (think of the word "the" in a bigram table), so:
 
-* per-context statistics (max, sum of exp) are grouped aggregates, combined
-  map-side, and joined back (AQE splits a skewed join partition);
+* per-context statistics (max, sum of exp, k-th value) are grouped aggregates,
+  combined map-side, and joined back with hot contexts salted (`skew`);
 * top-k runs in two phases: a top-k per (context, salt) where the salt
   spreads a hot context over many tasks, then a top-k over at most
   ``k * salts`` survivors per context.  That is exact for ``row_number``
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import EOS_ID
-from corpusforge.session import spread
+from corpusforge.operators.skew import hot_keys, join_hot
 
 CTX, ITEM, SCORE = "context_id", "item_id", "score"
 DEFAULT_SALTS = 16
@@ -29,11 +29,17 @@ def _salted(df: DataFrame, salts: int) -> DataFrame:
 
 def softmax(df: DataFrame, temperature: float = 1.0, score: str = SCORE, out: str = "prob") -> DataFrame:
     """``exp(s/T - max) / sum(exp(s/T - max))`` per context."""
-    t = float(temperature)
-    mx = df.groupBy(CTX).agg(F.max(F.col(score) / t).alias("_mx"))
-    d = df.join(mx, on=CTX).withColumn("_e", F.exp(F.col(score) / t - F.col("_mx")))
+    stats = df.groupBy(CTX).agg(F.max(score).alias("_mx"), F.count(F.lit(1)).alias("_n"))
+    hot = hot_keys(stats, CTX, "_n")
+    d = join_hot(df, stats.select(CTX, "_mx"), CTX, hot, F.col(ITEM))
+    return _normalised(d, hot, float(temperature), score, out)
+
+
+def _normalised(d: DataFrame, hot: DataFrame, t: float, score: str, out: str) -> DataFrame:
+    """Rows with their context's maximum ``_mx`` -> softmax over the rows."""
+    d = d.withColumn("_e", F.exp(F.col(score) / t - F.col("_mx") / t))
     tot = d.groupBy(CTX).agg(F.sum("_e").alias("_z"))
-    return d.join(tot, on=CTX).withColumn(out, F.col("_e") / F.col("_z")).drop("_mx", "_e", "_z")
+    return join_hot(d, tot, CTX, hot, F.col(ITEM)).withColumn(out, F.col("_e") / F.col("_z")).drop("_mx", "_e", "_z")
 
 
 def top_k_exact(df: DataFrame, k: int, score: str = SCORE, salts: int = DEFAULT_SALTS) -> DataFrame:
@@ -56,9 +62,12 @@ def top_k_with_ties(df: DataFrame, k: int, temperature: float = 1.0, score: str
                     salts: int = DEFAULT_SALTS) -> DataFrame:
     """Keep items scoring at least the k-th value (ties survive, i.e.
     ``rank() <= k``), then renormalise the softmax over the survivors."""
-    kth = kth_value(df, k, score, salts)
-    kept = df.join(kth, on=CTX).where(F.col(score) >= F.col("_kth")).drop("_kth")
-    return softmax(kept, temperature, score, "prob")
+    # the largest score is among the k survivors: one aggregate gives both
+    top = top_k_exact(df, k, score, salts)
+    stats = top.groupBy(CTX).agg(F.min(score).alias("_kth"), F.max(score).alias("_mx"))
+    hot = hot_keys(df.groupBy(CTX).agg(F.count(F.lit(1)).alias("_n")), CTX, "_n")
+    kept = join_hot(df, stats, CTX, hot, F.col(ITEM)).where(F.col(score) >= F.col("_kth")).drop("_kth")
+    return _normalised(kept, hot, float(temperature), score, "prob")
 
 
 def nucleus(df: DataFrame, k: int = 100, top_p: float = 0.9, temperature: float = 1.0,
@@ -102,7 +111,6 @@ def keep_last(ids: Column | str, n: int) -> Column:
 def bigram_candidates(words_df: DataFrame, words_col: str = "words") -> DataFrame:
     """Candidates from a corpus: context = word, item = next word,
     score = bigram count (aggregated map-side)."""
-    words_df = spread(words_df.select(words_col))
     w = F.col(words_col)
     pairs = F.arrays_zip(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))),
                          F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))))

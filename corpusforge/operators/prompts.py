@@ -18,11 +18,12 @@ TASK_TEMPLATE = "### Language\n{name}\n### Source\n{topic}\n### Question and ans
 
 
 def story_prompts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  max_chars: int = 2000, template: str = STORY_TEMPLATE) -> DataFrame:
-    """P3 + P4: the annotation prompt sees the first ``max_chars`` characters;
-    the full text stays in the row as the response."""
+                  max_chars: int | None = None, template: str = STORY_TEMPLATE) -> DataFrame:
+    """The annotation prompt around the text, or (P3) around its first
+    ``max_chars`` characters; the full text stays in the row as the response."""
+    story = F.col(text_col) if max_chars is None else prefix(text_col, max_chars)
     return docs.select(F.col(id_col).alias("index"),
-                       fill_template(template, story=prefix(text_col, max_chars)).alias("prompt"),
+                       fill_template(template, story=story).alias("prompt"),
                        F.col(text_col).alias("response"))
 
 

@@ -76,16 +76,26 @@ def sft_stats(rows: DataFrame, max_length: int) -> DataFrame:
     )
 
 
+#: turns of one conversation that a row key has room for
+TURN_SPAN = 1 << 32
+
+
+def turn_key(conv: str = "conv_id", turn: str = "turn") -> Column:
+    """One number per (conversation, turn), in that order."""
+    return F.col(conv) * F.lit(TURN_SPAN) + F.col(turn)
+
+
 def chat_pairs(conversations: DataFrame) -> DataFrame:
     """every user turn paired with the directly following assistant turn.
 
     An equi-join on the unique ``(conv_id, turn)`` key: no conversation, however
-    long, becomes one task's group.  ``index = conv_id * 1000 + turn``.
+    long, becomes one task's group.  ``index = conv_id * 2^32 + turn`` is unique
+    for turns below 2^32.
     """
     users = conversations.where(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("instruction"))
     replies = conversations.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response"))
     pairs = users.join(replies, on=["conv_id", "turn"], how="inner")
-    return pairs.select((F.col("conv_id") * 1000 + F.col("turn")).alias("index"),
+    return pairs.select(turn_key().alias("index"),
                         "conv_id", "turn", "instruction", "response")

@@ -29,8 +29,14 @@ def append_specials(vocab: DataFrame, tokens: Sequence[str]) -> DataFrame:
     return vocab.unionByName(added)
 
 
+def all_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """T8 input: every non-blank line, stripped, as ``id, ln, line``."""
+    return (docs.select(id_col, F.posexplode(F.split(F.col(text_col), "\n")).alias("ln", "raw"))
+            .select(id_col, "ln", strip("raw").alias("line")).where(non_blank("line")))
+
+
 def first_lines(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """T8 input: the first ``n`` lines of the corpus in (document, line) order,
+    """D4 over lines (the limit of T8's input): the first ``n`` lines of the corpus in (document, line) order,
     stripped; blank lines count towards ``n`` but are dropped.
 
     Only line *counts* go through X1 (a prefix sum over documents); the text

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as X
-from corpusforge.operators import order, pack, wordtok
+from corpusforge.operators import order, pack, sft, wordtok
 from corpusforge.plans import corpus
 from corpusforge.plans import sqlparts as S
+from corpusforge.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,10 +89,10 @@ def q_d3(spark, d):
 
 @register("d4_prefix_n", """
 SELECT conv_id, turn FROM (
-  SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id * 1000 + turn) - 1 AS pos FROM conversations)
+  SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id * 4294967296 + turn) - 1 AS pos FROM conversations)
 WHERE pos < 400""")
 def q_d4(spark, d):
-    c = table(spark, d, "conversations").withColumn("row_key", F.col("conv_id") * 1000 + F.col("turn"))
+    c = table(spark, d, "conversations").withColumn("row_key", sft.turn_key())
     return order.prefix_n(c, "row_key", 400).select("conv_id", "turn")
 
 
@@ -105,10 +106,10 @@ def q_d5(spark, d):
 
 @register("d6_head_split", """
 SELECT conv_id, turn, CASE WHEN pos < floor(n * 0.1) THEN 'validation' ELSE 'train' END AS split
-FROM (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id * 1000 + turn) - 1 AS pos,
+FROM (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id * 4294967296 + turn) - 1 AS pos,
              count(*) OVER () AS n FROM conversations)""")
 def q_d6(spark, d):
-    c = table(spark, d, "conversations").withColumn("row_key", F.col("conv_id") * 1000 + F.col("turn"))
+    c = table(spark, d, "conversations").withColumn("row_key", sft.turn_key())
     return order.head_split(c, "row_key", 0.1).select("conv_id", "turn", "split")
 
 
@@ -177,7 +178,7 @@ def q_d11(spark, d):
 SELECT word, count(*) AS freq FROM (SELECT unnest({S.words_sql('text')}) AS word FROM documents)
 GROUP BY word""")
 def q_t2(spark, d):
-    return wordtok.word_counts(table(spark, d, "documents"), "text")
+    return wordtok.word_counts(spread(table(spark, d, "documents").select("text")), "text")
 
 
 CORPUS = corpus.CorpusParams(vocab_size=4096, context_length=128)

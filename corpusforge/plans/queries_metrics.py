@@ -11,7 +11,7 @@ from corpusforge.functions.text import IGNORE_INDEX, parse_object, fenced_payloa
 from corpusforge.operators import annotate, candidates as N, metrics as Mx, order, prompts, wordtok
 from corpusforge.plans import sqlparts as S
 from corpusforge.plans.queries import register, table
-from corpusforge.session import cut_lineage
+from corpusforge.session import cut_lineage, spread
 
 R6 = 9  # digits kept by rounded float outputs (sums of 2-decimal inputs never sit on a half at 9)
 
@@ -239,7 +239,7 @@ def _bigram_sql() -> str:
 def bigrams(spark, d):
     """Corpus bigram candidates, written once to the shared checkpoint folder
     (the ranking operators read their input several times)."""
-    docs = table(spark, d, "documents").select(wordtok.words("text").alias("words"))
+    docs = spread(table(spark, d, "documents").select("text")).select(wordtok.words("text").alias("words"))
     return cut_lineage(N.bigram_candidates(docs, "words"))
 
 
@@ -325,14 +325,14 @@ def _style_fails_sql(style: str, text: str) -> str:
 
 def _sft_annotation(spark, d):
     items = table(spark, d, "benchmark").withColumnRenamed("item_id", "doc_id")
-    sp = prompts.story_prompts(items, "doc_id", "text", 2000)
+    sp = prompts.story_prompts(items, "doc_id", "text")
     return annotate.annotate(sp, "prompt", responders.StubPairResponder(), ["index"], max_retries=3,
                              batch_size=8, max_in_flight=50)
 
 
 def _story_prompt_sql(text: str) -> str:
     head, tail = prompts.STORY_TEMPLATE.split("{story}")
-    return f"{S.q(head)} || left({text}, 2000) || {S.q(tail)}"
+    return f"{S.q(head)} || {text} || {S.q(tail)}"
 
 
 @register("l1_annotate_pairs", f"""
@@ -421,7 +421,7 @@ def q_k6(spark, d):
     from corpusforge.session import scratch_path
 
     items = table(spark, d, "benchmark").withColumnRenamed("item_id", "doc_id")
-    sp = prompts.story_prompts(items, "doc_id", "text", 2000).select("index", "prompt")
+    sp = prompts.story_prompts(items, "doc_id", "text").select("index", "prompt")
     out, err = scratch_path(spark, "k6-out"), scratch_path(spark, "k6-err")
     annotate.run_resumable(sp, "prompt", responders.StubPairResponder(), ["index"], out, err)
     schema = "index long, error string, attempts int, preview string"

@@ -81,7 +81,7 @@ SELECT doc_id AS index, {S.q(prompts.STORY_TEMPLATE.split('{story}')[0])} || lef
        || {S.q(prompts.STORY_TEMPLATE.split('{story}')[1])} AS prompt, length(text) AS response_chars
 FROM documents""")
 def q_p4(spark, d):
-    sp = prompts.story_prompts(table(spark, d, "documents"))
+    sp = prompts.story_prompts(table(spark, d, "documents"), max_chars=2000)
     return sp.select("index", "prompt", F.length("response").cast("long").alias("response_chars"))
 
 

@@ -106,7 +106,7 @@ _T8_SQL = f"""WITH {S.split_docs_cte().strip()}, {S.word_vocab_cte(4096).strip()
       SELECT doc_id, ln, {S.strip_sql('raw')} AS line, row_number() OVER (ORDER BY doc_id, ln) - 1 AS line_pos
       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
                    unnest(range(0, len(string_split(text, chr(10))))) AS ln FROM documents)),
-    firstn AS (SELECT * FROM lines WHERE line_pos < 2000 AND {S.non_blank_sql('line')}),
+    firstn AS (SELECT * FROM lines WHERE {S.non_blank_sql('line')}),
     {S.encode_cols_cte('enc', 'firstn', 'line_pos', ['line']).strip()},
     framed AS (SELECT e.line_pos, f.line, [2] || e.line_ids || [3] AS ids
                FROM enc e JOIN firstn f USING (line_pos))"""
@@ -115,11 +115,11 @@ _T8_SQL = f"""WITH {S.split_docs_cte().strip()}, {S.word_vocab_cte(4096).strip()
 def _t8_encoded(spark, d):
     docs = table(spark, d, "documents")
     vocab = corpus.train_word_vocab(docs, CORPUS)
-    lines = V.first_lines(docs, "doc_id", "text", 2000)
-    enc = wordtok.encode_columns(lines, ["line"], vocab, ["line_pos"], vocab_size_bound=CORPUS.vocab_size)
-    enc = enc.join(lines.select("line_pos", "line"), on="line_pos")
-    # at most n lines, read by three aggregates of the report: written once
-    enc = cut_lineage(enc.select(F.col("line").alias("text"), wordtok.frame("line_ids").alias("ids")))
+    lines = V.all_lines(spread(docs.select("doc_id", "text")), "doc_id", "text").withColumn("line_chars", F.length("line"))
+    enc = wordtok.encode_words(lines, "line", vocab, ["doc_id", "ln"], vocab_size_bound=CORPUS.vocab_size,
+                               carry=["line_chars"])
+    # read by three aggregates of the report: written once
+    enc = cut_lineage(enc.select("line_chars", wordtok.frame("ids").alias("ids")))
     return enc, vocab
 
 
@@ -131,7 +131,7 @@ SELECT count(*) AS n_texts, CAST(sum(length(line)) AS BIGINT) AS n_chars, CAST(s
 FROM framed""")
 def q_t8(spark, d):
     enc, vocab = _t8_encoded(spark, d)
-    summary, _ = bpe.tokenizer_report(enc, vocab, CORPUS.vocab_size)
+    summary, _ = bpe.tokenizer_report(enc, vocab, CORPUS.vocab_size, chars_col="line_chars")
     return summary
 
 
@@ -141,10 +141,21 @@ SELECT t.token_id, t.n, v.token FROM (
   ORDER BY n DESC, token_id LIMIT 20) t LEFT JOIN vocab v USING (token_id)""")
 def q_t8b(spark, d):
     enc, vocab = _t8_encoded(spark, d)
-    _, top = bpe.tokenizer_report(enc, vocab, CORPUS.vocab_size)
+    _, top = bpe.tokenizer_report(enc, vocab, CORPUS.vocab_size, chars_col="line_chars")
     return top.select("token_id", "n", "token")
 
 
+@register("t8_first_lines", f"""
+SELECT line_pos, doc_id, ln, {S.strip_sql('raw')} AS line FROM (
+  SELECT doc_id, ln, raw, row_number() OVER (ORDER BY doc_id, ln) - 1 AS line_pos
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
+               CAST(unnest(range(0, len(string_split(text, chr(10))))) AS INTEGER) AS ln FROM documents))
+WHERE line_pos < 2000 AND {S.non_blank_sql('raw')}""")
+def q_t8c(spark, d):
+    """The reference's line limit on a report's input, as its own query."""
+    return V.first_lines(table(spark, d, "documents"), "doc_id", "text", 2000)
+
+
 @register("t6_double_framing", f"""WITH {S.split_docs_cte().strip()}, {S.word_vocab_cte(4096).strip()}
 SELECT doc_id, len({S.words_sql('text')}) + 4 AS n_tokens, split FROM split_docs""")
 def q_t6(spark, d):

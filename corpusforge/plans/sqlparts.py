@@ -130,7 +130,7 @@ def encode_cols_cte(name: str, src: str, key: str, cols) -> str:
 def chat_pairs_cte() -> str:
     return """
     pairs AS (
-      SELECT u.conv_id * 1000 + u.turn AS index, u.conv_id, u.turn, u.text AS instruction, a.text AS response
+      SELECT u.conv_id * 4294967296 + u.turn AS index, u.conv_id, u.turn, u.text AS instruction, a.text AS response
       FROM conversations u JOIN conversations a
         ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
       WHERE u.role = 'user')"""

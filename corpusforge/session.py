@@ -43,12 +43,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` wins.  Only when it is
-    unset (local tests) do we create a scratch folder of our own.
+    unset on a local master (tests) do we create a scratch folder of our own;
+    on a cluster an unset folder is an error, as a machine-local one would
+    not be seen by the executors.
     """
     sc = spark.sparkContext
     path = (spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
             or sc.getCheckpointDir())
     if not path:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor sees (master {sc.master})")
         path = tempfile.mkdtemp(prefix="corpusforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set(CHECKPOINT_CONF, path)
@@ -72,8 +76,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a table that was read as fewer partitions than the cluster has
-    cores (e.g. one large Parquet row group) before CPU-heavy row-wise work.
+    """Spread a table just read (asking a shuffled plan for its partitions would
+    run it) as fewer partitions than the cluster has cores (e.g. one large Parquet row group) before CPU-heavy row-wise work.
     A table read as many partitions -- the normal case for large inputs -- is
     returned unchanged, so no shuffle is added at scale."""
     want = df.sparkSession.sparkContext.defaultParallelism

@@ -36,7 +36,7 @@ def _fs(path: str):
         return fs.FileSystem.from_uri(path)
     import os
 
-    return fs.LocalFileSystem(), os.path.abspath(path)
+    return fs.LocalFileSystem(), os.path.abspath(path.removeprefix("file:"))
 
 
 class _Range(InputPartition):

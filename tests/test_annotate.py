@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,3 +87,35 @@ def test_rerun_with_all_some_none_done(spark, tmp_dir):
     assert s3 == {}  # all done: nothing to call
     done = spark.read.json(out)
     assert done.count() == 12 and done.select("index").distinct().count() == 12
+
+
+def test_pieces_before_a_crash_are_kept(spark, tmp_dir):
+    out, err = os.path.join(tmp_dir, "po"), os.path.join(tmp_dir, "pe")
+    todo = spark.createDataFrame([(i, f"p{i}") for i in range(60)], "index long, prompt string")
+    last = todo.where(F.pmod(F.xxhash64("index"), F.lit(4)) == 3).first().prompt
+
+    def dies(prompts):
+        if last in prompts:
+            raise SystemExit("worker lost")       # kills the task; no retry of a row could catch it
+        return [p.upper() for p in prompts]
+    with pytest.raises(PySparkException):
+        annotate.run_resumable(todo, "prompt", dies, ["index"], out, err, pieces=4, min_piece_rows=1)
+    kept = spark.read.json(out).count()
+    want = todo.where(F.pmod(F.xxhash64("index"), F.lit(4)) < 3).count()
+    assert kept == want > 0
+    left = annotate.run_resumable(todo, "prompt", FlakyEcho({}), ["index"], out, err, pieces=4, min_piece_rows=1)
+    assert left == {"ok": 60 - kept}
+    assert spark.read.json(out).select("index").distinct().count() == 60 == spark.read.json(out).count()
+
+
+def test_models_are_asked_in_batches():
+    calls = []
+
+    def model(name):
+        def ask(prompts):
+            calls.append((name, len(prompts)))
+            return [f"{name}:{p}" for p in prompts]
+        return ask
+    routed = annotate._RoutedResponder({"a": model("a"), "b": model("b")})
+    assert routed(["a\0x", "b\0x", "a\0y"]) == ["a:x", "b:x", "a:y"]
+    assert calls == [("a", 2), ("b", 1)]

@@ -65,3 +65,38 @@ def test_bigram_candidates(spark):
     df = spark.createDataFrame([(["a", "b", "a", "b"],), (["a"],), ([],)], "words array<string>")
     got = {(r.context_id, r.item_id): r.score for r in N.bigram_candidates(df).collect()}
     assert got == {("a", "b"): 2.0, ("b", "a"): 1.0}
+
+
+def test_hot_context_is_spread(spark):
+    """A context with a third of all rows: same result, many tasks in the join."""
+    from pyspark.sql import functions as F
+
+    from corpusforge.operators.skew import hot_keys, join_hot
+
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 997).alias("context_id"),
+        F.col("id").alias("item_id"), ((F.col("id") * 7) % 11).cast("double").alias("score"))
+    counts = df.groupBy("context_id").agg(F.count("*").alias("n"), F.max("score").alias("top"))
+    hot = hot_keys(counts, "context_id", "n", min_rows=100)
+    assert [r.context_id for r in hot.collect()] == [-1]
+    got = join_hot(df, counts.select("context_id", "top"), "context_id", hot, F.col("item_id"))
+    assert got.count() == 60_000
+    # a table too large to broadcast, partitions not merged for being small
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        parts = got.where("context_id = -1").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(parts) > 2 and max(r["count"] for r in parts) < 15_000
+    plain = df.join(counts.select("context_id", "top"), "context_id")
+    assert got.exceptAll(plain.select(got.columns)).count() == 0
+
+
+def test_null_context_and_empty_table(spark):
+    df = spark.createDataFrame([(None, "a", 1.0), ("c", "a", 1.0)], "context_id string, item_id string, score double")
+    assert [r.context_id for r in N.softmax(df).collect()] == ["c"]
+    assert N.softmax(df.where("false")).count() == 0

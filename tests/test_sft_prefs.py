@@ -92,3 +92,9 @@ def test_preference_join_and_dedupe(spark):
                                  "index long, verdict string, verdict_id int")
     got = prefs.preference_join(resp, prefs.dedupe_verdicts(verd)).collect()
     assert [(r["index"], r.chosen, r.rejected) for r in got] == [(1, "a", "b")]
+
+
+def test_turn_keys_stay_apart(spark):
+    df = spark.createDataFrame([(1, 1001), (2, 1), (1, 10 ** 9), (1000, 5)], "conv_id long, turn long")
+    keys = [r.index for r in df.orderBy("conv_id", "turn").select(sft.turn_key().alias("index")).collect()]
+    assert len(set(keys)) == 4 and keys == sorted(keys)
