@@ -10,19 +10,25 @@ they differ in their symbols and in the ``solve`` step that compares texts.
    anchor occurrence form a *segment*; about 2/(length-k+2) segments per
    symbol, 5 numbers each, leave the map tasks, after equal segments of a
    batch are already folded to the earliest one.
-2. *Exact segments.*  One shuffle on the anchor; in a sorted stream, all but
-   the earliest of equal segments are covered whole.  Anchors that occur in
-   only one distinct segment end here (nearly all do).
-3. *Text comparison.*  Only distinct segments of anchors with several of them
+2. *Hot anchors.*  A pass over the texts counts the segments of each of
+   65,536 groups of anchors (65,536 numbers, whatever the table).  The anchors
+   of a group far above the others are salted by their segment, which keeps
+   equal segments together: a passage in a third of all documents, each with
+   other words around it, spreads over as many tasks as its rows need.
+3. *Exact segments.*  One shuffle on the (salted) anchor; in a sorted stream,
+   all but the earliest of equal segments are covered whole.  Anchors that
+   occur in only one distinct segment end here (nearly all do), salted ones go
+   on.
+4. *Text comparison.*  Only distinct segments of anchors with several of them
    fetch their symbols and are compared by ``solve`` (suffix automaton or
    deep-shallow suffix sort), in blocks of at most ``block`` segments, so a
    passage that a third of all documents hold never meets in one task.
-   Windows that stay first in a block of a larger group meet once more by
-   their 128-bit content hash, which is again a fold to the earliest.
+   Windows that stay first in a block of a larger or salted group meet once
+   more by their 128-bit content hash, which is again a fold to the earliest.
 
 Memory per task is bounded by the Arrow batch, the block and the longest
-single text.  Nothing is collected to the driver or broadcast.  Equality of
-segments in step 2 is by 128 bits of hash.
+single text.  Beside the group counts nothing is collected to the driver
+or broadcast.  Equality of segments in step 3 is by 128 bits of hash.
 
 Identity of a document is (id, crc32 of its text): repeated identical rows
 get identical results and do not cover each other; an id that repeats with
@@ -48,6 +54,13 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)          # odd: invertible modulo 2^64
 _STRETCH = 1 << 19                             # windows handled at once
 _POS_BITS = np.uint64(22)
 _LOW32 = 0xFFFFFFFF
+_GROUPS = 1 << 16                              # of anchors, for the counts of step 2
+_SALTED = 1 << 30                              # flag beside a segment's number of windows
+_SALTED_BLOCK = 1 << 32                        # added to block numbers of salted anchors
+
+
+def _group_of(anchor: np.ndarray) -> np.ndarray:
+    return (mix64(anchor ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(48)).astype(np.int64)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -147,9 +160,12 @@ def _merge(doc: np.ndarray, start: np.ndarray, n: np.ndarray):
     return doc[first], start[first], (reach[stop] - shift[stop]) - start[first]
 
 
-def _segments_of(symbols_of: Callable[[bytes], np.ndarray], length: int, k: int):
+def _segments_of(symbols_of: Callable[[bytes], np.ndarray], length: int, k: int, salts=None):
+    """``salts``: None to count the segments per group of anchors, else a
+    broadcast array of the number of salts of each group."""
     def run(batches):
         seg_of = _Segmenter(length, k)
+        counts = np.zeros(_GROUPS, np.int64)
         for batch in batches:
             texts, ids = text_bytes(batch, "text"), as_numpy(batch, "doc_id")
             tags = np.array([zlib.crc32(t) for t in texts], dtype=np.int64)
@@ -169,28 +185,53 @@ def _segments_of(symbols_of: Callable[[bytes], np.ndarray], length: int, k: int)
             if not out:
                 continue
             row, start, n, anchor, seg = (np.concatenate(x) for x in zip(*out))
+            span = n + length - 1
             # fold equal segments of this batch to the earliest (rows are in order of position)
             both = anchor ^ (seg * np.uint64(0x9E3779B97F4A7C15))
             by = np.argsort(both, kind="stable")
             first = np.ones(len(by), dtype=bool)
             first[1:] = both[by][1:] != both[by][:-1]
             keep = np.sort(by[first])
+            group = _group_of(anchor[keep])
+            if salts is None:
+                counts += np.bincount(group, minlength=_GROUPS)
+                continue
             again = np.sort(by[~first])
+            anchor, seg, n = anchor[keep], seg[keep], n[keep]
+            many = salts.value[group].astype(np.uint64)
+            hot = many > 1
+            anchor[hot] = mix64(anchor[hot] + (seg[hot] % many[hot] + np.uint64(1)) * _BASE)
             yield from to_batches(_SEG_PA, [
-                anchor[keep].view(np.int64), seg[keep].view(np.int64), ids[row[keep]], start[keep],
-                (tags[row[keep]] << 32) | n[keep]])
-            r, s, m = _merge(row[again], start[again], n[again] + length - 1)
+                anchor.view(np.int64), seg.view(np.int64), ids[row[keep]], start[keep],
+                (tags[row[keep]] << 32) | n | np.where(hot, _SALTED, 0)])
+            r, s, m = _merge(row[again], start[again], span[again])
             if len(r):
                 yield from to_batches(_SEG_PA, [
                     mix64(ids[r].view(np.uint64) + s.astype(np.uint64)).view(np.int64), np.zeros(len(r), np.int64),
                     ids[r], -1 - s, (tags[r] << 32) | m])
+        if salts is None:
+            some = np.flatnonzero(counts)
+            yield from to_batches(_COUNT_PA, [some, counts[some]], 1 << 16)
     return run
 
 
+_COUNT_PA = pa.schema([("g", pa.int64()), ("n", pa.int64())])
+
+
+def _salts(counted: DataFrame, hot_rows: int) -> np.ndarray:
+    """Salts per group of anchors: as many as its rows above the usual need."""
+    n = np.zeros(_GROUPS, np.int64)
+    for r in counted.groupBy("g").agg(F.sum("n").alias("n")).collect():      # at most _GROUPS rows
+        n[r.g] = r.n
+    usual = max(hot_rows, 4 * n.mean())
+    return np.where(n > usual, np.ceil(n / usual), 1).astype(np.int32)
+
+
 def _fold(length: int, block: int):
     """Sorted stream (anchor, seg, position): covers of all but the earliest
     of equal segments; what remains of anchors with several distinct segments
-    goes on, numbered into blocks.  Output start < 0: a cover; ``seg``: block."""
+    goes on, numbered into blocks, as does all of a salted anchor.  Output
+    start < 0: a cover; ``seg``: block."""
     def run(batches):
         prev = None                     # the last row
         count = 0                       # distinct segments of the anchor so far
@@ -216,6 +257,8 @@ def _fold(length: int, block: int):
             c[1:] &= (doc[1:] != doc[:-1]) | (start[1:] != start[:-1]) | (meta[1:] != meta[:-1])
             c[0] &= prev is None or (doc[0], start[0], meta[0]) != prev[2:]      # the same row again covers nothing
             prev = tuple(x[-1] for x in cols)
+            salted = (meta & _SALTED) != 0
+            meta = meta & ~_SALTED
             if c.any():
                 yield from to_batches(_SEG_PA, [anchor[c], np.zeros(c.sum(), np.int64), doc[c], -1 - start[c],
                                                 (meta[c] & ~_LOW32) | ((meta[c] & _LOW32) + length - 1)])
@@ -228,12 +271,13 @@ def _fold(length: int, block: int):
             idx = np.where(run_start >= 0, at - run_start, at + count)
             more = np.zeros(len(f), bool)
             more[:-1] = ~fa[1:]
-            send = (idx >= 1) | more
-            out = [(anchor[f][send], idx[send] // block, doc[f][send], start[f][send], meta[f][send])]
+            send = (idx >= 1) | more | salted[f]
+            blk = idx // block + np.where(salted[f], _SALTED_BLOCK, 0)
+            out = [(anchor[f][send], blk[send], doc[f][send], start[f][send], meta[f][send])]
             if pending is not None and not fa[0]:
                 out.insert(0, tuple(np.array([v]) for v in pending))
             pending = None
-            if idx[-1] == 0:
+            if idx[-1] == 0 and not salted[f[-1]]:
                 j = f[-1]
                 pending = (anchor[j], 0, doc[j], start[j], meta[j])
             count = int(idx[-1]) + 1
@@ -332,14 +376,18 @@ def _compare(solve, length: int, k: int, block: int, as_bytes: bool, rows: int):
 
 
 def repeated_spans(docs: DataFrame, id_col: str, text_col: str, *, symbols: str, length: int, k: int, solve,
-                   block: int = 4096, rows_per_shard: int = 4096) -> DataFrame:
-    """(doc_id, tag, spans array<struct<start, n>>): symbols to remove."""
+                   block: int = 4096, rows_per_shard: int = 4096, hot_rows: int = 1_000_000) -> DataFrame:
+    """(doc_id, tag, spans array<struct<start, n>>): symbols to remove.
+    Groups of anchors with more than ``hot_rows`` rows (and 4 times the mean)
+    are salted."""
     if not 0 < k <= length:
         raise ValueError("need 0 < k <= length")
     as_bytes = symbols == "bytes"
     symbols_of = byte_symbols if as_bytes else word_symbols
     src = docs.select(id_in(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    segs = src.mapInArrow(_segments_of(symbols_of, length, k), SEGMENT)
+    salts = _salts(src.mapInArrow(_segments_of(symbols_of, length, k), "g long, n long"), hot_rows)
+    shared = docs.sparkSession.sparkContext.broadcast(salts)       # _GROUPS numbers
+    segs = src.mapInArrow(_segments_of(symbols_of, length, k, shared), SEGMENT)
 
     def fold(df):
         return (df.repartition("anchor").sortWithinPartitions("anchor", "seg", "doc_id", "start", "meta")

@@ -110,10 +110,10 @@ def _kept(text: bytes, spans) -> tuple:
 
 
 def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 20, k: int = 6,
-                    rows_per_shard: int = 1024, block: int = 1024, with_text: bool = True) -> DataFrame:
+                    rows_per_shard: int = 1024, block: int = 1024, hot_rows: int = 1_000_000, with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256[, kept_text]) per input row."""
     spans = repeated_spans(docs, id_col, text_col, symbols="words", length=length, k=k, solve=matching_solver,
-                           block=block, rows_per_shard=rows_per_shard)
+                           block=block, rows_per_shard=rows_per_shard, hot_rows=hot_rows)
     fn = _kept if with_text else (lambda t, s: _kept(t, s)[:3])
     schema = "n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
     out = with_spans(docs, spans, id_col, text_col, fn, schema)

@@ -157,12 +157,12 @@ def _kept_text(text: bytes, spans) -> tuple:
 
 
 def suffix_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, k: int = 24,
-                 rows_per_shard: int = 4096, block: int = 2048, with_text: bool = False,
+                 rows_per_shard: int = 4096, block: int = 2048, hot_rows: int = 1_000_000, with_text: bool = False,
                  carry: str | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept_text][, carry]) per input row.
     ``kept_text`` keeps a whole character if any byte of it is kept, so that it is valid text."""
     spans = repeated_spans(docs, id_col, text_col, symbols="bytes", length=length, k=k, solve=deep_shallow_solver,
-                           block=block, rows_per_shard=rows_per_shard)
+                           block=block, rows_per_shard=rows_per_shard, hot_rows=hot_rows)
     schema = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if with_text else "")
     out = with_spans(docs, spans, id_col, text_col, _kept_text if with_text else _digest, schema, carry)
     return out.withColumn("doc_id", id_out(F.col("doc_id")))

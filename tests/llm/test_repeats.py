@@ -51,11 +51,11 @@ def frame(spark, rows):
     return spark.createDataFrame([(i, t, "s", 1, 2, 3) for i, t in rows], SCHEMA).repartition(5)
 
 
-@pytest.mark.parametrize("block", [2, 1024])
-def test_words_against_brute_force(spark, block):
+@pytest.mark.parametrize("block,hot", [(2, 1_000_000), (1024, 1_000_000), (1024, 2), (2, 1)])
+def test_words_against_brute_force(spark, block, hot):
     rows = corpus(1)
     want = brute(rows, 7, lambda t: t.split())
-    got = substring_dedup(frame(spark, rows), length=7, k=3, block=block, rows_per_shard=16).collect()
+    got = substring_dedup(frame(spark, rows), length=7, k=3, block=block, rows_per_shard=16, hot_rows=hot).collect()
     assert len(got) == len(rows)
     for r in got:
         gone, words = want[r.doc_id]
@@ -64,11 +64,11 @@ def test_words_against_brute_force(spark, block):
         assert r.kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
 
 
-@pytest.mark.parametrize("block", [2, 2048])
-def test_bytes_against_brute_force(spark, block):
+@pytest.mark.parametrize("block,hot", [(2, 1_000_000), (2048, 1_000_000), (2048, 2)])
+def test_bytes_against_brute_force(spark, block, hot):
     rows = corpus(2)
     want = brute(rows, 40, lambda t: list(t.encode()))
-    got = suffix_dedup(frame(spark, rows), length=40, k=12, block=block, rows_per_shard=64).collect()
+    got = suffix_dedup(frame(spark, rows), length=40, k=12, block=block, rows_per_shard=64, hot_rows=hot).collect()
     assert len(got) == len(rows)
     for r in got:
         gone, data = want[r.doc_id]
@@ -123,3 +123,18 @@ def test_blind_trie_sorts():
             assert trie.insert(s, i) == first.get(s)
             first.setdefault(s, i)
         assert [s for s, _ in trie] == sorted(set(items))
+
+
+def test_hot_anchor_is_salted(spark):
+    """A passage in every document, other words around it: its anchors' rows
+    take several salts and the result stays exact."""
+    from corpusforge.llm import repeats
+
+    shared = " ".join(f"s{i}" for i in range(40))
+    rows = [(i, f"a{i} b{i * 7} c{i} {shared} d{i} e{i * 3} f{i}") for i in range(300)]
+    df = frame(spark, rows)
+    src = df.select("doc_id", "text").repartition(300)       # no folding inside a batch
+    salts = repeats._salts(src.mapInArrow(repeats._segments_of(repeats.word_symbols, 10, 4), "g long, n long"), 50)
+    assert salts.max() >= 6
+    got = {r.doc_id: r.n_removed for r in substring_dedup(src, length=10, k=4, hot_rows=50, block=16).collect()}
+    assert got == {i: 40 if i else 0 for i, _ in rows}
