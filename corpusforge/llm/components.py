@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.llm.common import written
+from corpusforge.operators.skew import hot_keys, join_hot
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -18,9 +19,11 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 def _star(pairs: DataFrame, larger: bool) -> DataFrame:
     """Per u: link its (strictly larger / smaller-or-equal) neighbours to the
     smallest of u and its neighbours.  The minimum comes from a grouped
-    aggregate joined back, so a hub's neighbours never meet in one task."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    j = pairs.join(least, "u")
+    aggregate joined back with hubs salted, so a hub's neighbours never meet in
+    one task."""
+    found = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    least = found.select("u", F.least("u", "m").alias("m"))
+    j = join_hot(pairs, least, "u", hot_keys(found, "u", "n"), F.col("v"))
     if larger:
         out = j.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.llm.common import as_numpy, group_starts, id_in, id_out, sorted_runs, text_bytes, to_batches, written
 from corpusforge.llm.components import connected_components
+from corpusforge.operators.skew import hot_keys, join_hot
 
 BITS = 64
 _LANES = np.uint64(0x0101010101010101)
@@ -251,15 +252,17 @@ def links(fps: DataFrame, t: int, block: int = 4096, parts=None, thresholds=None
 def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, max_bits: int, block: int) -> DataFrame:
     """(doc_id, tag, fp, component) per input row."""
     fp = written(fingerprints(docs, id_col, text_col, words), "simhash")
-    reps = written(fp.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
+    reps = written(fp.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "simhash-distinct")
     pairs = links(reps, max_bits, block)
     # nodes are fingerprints: an id may stand for several of them if ids repeat
     comp = connected_components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "fp")
-    named = comp.join(reps, "fp")
-    least = named.groupBy("component").agg(F.min("rep").alias("least"))
-    label = named.join(least, "component").select("fp", "least")
+    named = comp.join(reps.select("fp", "rep"), "fp")
+    least = named.groupBy("component").agg(F.min("rep").alias("least"), F.count("*").alias("n"))
+    label = join_hot(named, least.select("component", "least"), "component", hot_keys(least, "component", "n"),
+                     F.col("fp")).select("fp", "least")
     per_fp = reps.join(label, "fp", "left").select("fp", F.coalesce("least", "rep").alias("component"))
-    return fp.join(per_fp, "fp")
+    # one fingerprint may belong to a third of all documents (empty texts, copies)
+    return join_hot(fp, per_fp, "fp", hot_keys(reps, "fp", "n"), F.struct("doc_id", "tag"))
 
 
 def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4,

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.llm.common import group_starts, id_in, id_out, sorted_runs, to_batches, written
 from corpusforge.llm.components import connected_components
+from corpusforge.operators.skew import hot_keys, join_hot
 
 
 def unit(rows: list) -> np.ndarray:
@@ -309,13 +310,15 @@ def embedding_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str
         counts = found.where("n > 0").groupBy(F.col("a").alias("uid")).agg(F.sum("n").alias("n"))
         comp = connected_components(found.where("n = 0").select(F.col("a").alias("u"), F.col("b").alias("v")))
         named = comp.select(F.col("node").alias("uid"), "component").join(reps, "uid")
-        least = named.groupBy("component").agg(F.min("rep").alias("least"))
-        label = named.join(least, "component").select("uid", "least")
+        least = named.groupBy("component").agg(F.min("rep").alias("least"), F.count("*").alias("size"))
+        label = join_hot(named, least.select("component", "least"), "component", hot_keys(least, "component", "size"),
+                         F.col("uid")).select("uid", "least")
         info = (reps.join(counts, "uid", "left").join(label, "uid", "left")
                 .select("uid", (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("least", "rep").alias("component")))
     else:
         info = reps.select("uid", F.col("mult").alias("n_links"), F.col("rep").alias("component"))
-    out = rows.select("id", "uid").join(info, "uid", "left")
+    # one vector may belong to a third of all rows
+    out = join_hot(rows.select("id", "uid"), info, "uid", hot_keys(reps, "uid", "mult"), F.col("id"), "left")
     component = F.coalesce("component", "id")
     return out.select(id_out("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       id_out(component).alias("component_id"), (F.col("id") == component).alias("kept"))
