@@ -33,7 +33,9 @@ def join_hot(rows: DataFrame, stats: DataFrame, key: str, hot: DataFrame, by: Co
     """``rows.join(stats, key)`` with the rows of hot keys spread by a hash of
     ``by``; ``stats`` has one row per key."""
     hot = F.broadcast(hot)
-    salted = rows.join(hot, key, "left").withColumn(SALT, F.coalesce(F.pmod(F.xxhash64(by), "_salts"), F.lit(0)).cast("int"))
+    # null keys match nothing, and must not meet in one task either
+    salts = F.when(F.col(key).isNull(), F.lit(_partitions(rows))).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted = rows.join(hot, key, "left").withColumn(SALT, F.pmod(F.xxhash64(by), salts).cast("int"))
     each = stats.join(hot, key, "left").withColumn(
         SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0)))))
     return salted.drop("_salts").join(each.drop("_salts"), [key, SALT], how).drop(SALT)
