@@ -16,6 +16,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -269,7 +270,7 @@ def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2,
 
 # ------------------------------------------------------------------ T5 / T7
 
-_CACHES: dict[int, dict[str, list[int]]] = {}
+_CACHES: dict[str, dict[str, list[int]]] = {}
 _CACHE_LIMIT = 2_000_000
 
 
@@ -324,7 +325,7 @@ def _encode_lists(toks, t2i: dict, ranks: dict, specials: dict, cache: dict):
 def encode_column(spark: SparkSession, model: BpeModel, specials_mode: str = "match"):
     """T5: a Column function ``text -> array<int>`` (no framing)."""
     bc = _broadcast_model(spark, model)
-    key = id(model)
+    key = hashlib.md5(repr((sorted(model.token_to_id.items()), model.merges, specials_mode)).encode()).hexdigest()
     specials = list(model.specials) if specials_mode == "match" else []
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))

@@ -57,7 +57,7 @@ def prepare(spark: SparkSession, input_path: str, out: str, tokenizer: str = "bp
     tokenbin.register(spark)
     for name in ("train", "validation"):
         (ordered.where(F.col("split") == name).select("ids").write.format("tokenbin").mode("append")
-         .option("path", f"{out}/bin/{name}").save())
+         .option("path", tokenbin.shared_path(docs.sparkSession, f"{out}/bin/{name}")).save())
     m = corpus.manifest(docs, streamed, p, n_vocab)
     io.write_manifest(m, f"{out}/manifest")
     toks.unpersist()

@@ -42,6 +42,32 @@ def q_k1(spark, d):
                     F.sum(F.length("instruction") + F.length("response")).cast("long").alias("n_chars"))
 
 
+@register("k1_jsonl_append", f"""
+WITH {S.chat_pairs_cte().strip()}
+SELECT instruction, response, 2 AS n FROM pairs WHERE turn % 2 = 0
+UNION ALL SELECT instruction, response, 1 AS n FROM pairs WHERE turn % 2 <> 0""")
+def q_k1a(spark, d):
+    """K1 as the jobs use it: all pairs, then those of even turns appended."""
+    pairs = sft.chat_pairs(table(spark, d, "conversations"))
+    path = scratch_path(spark, "pairs-appended")
+    for part in (pairs, pairs.where("turn % 2 = 0")):
+        io.write_jsonl(part.select("index", "instruction", "response"), path)
+    schema = "index long, instruction string, response string"
+    back = io.read_jsonl(spark, path, schema, ["index", "instruction", "response"])
+    return back.groupBy("index", "instruction", "response").agg(F.count(F.lit(1)).cast("int").alias("n")).drop("index")
+
+
+@register("s4_prefix_slice", f"""
+SELECT doc_id, text FROM (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS pos,
+                                 count(*) OVER () AS n FROM documents)
+WHERE pos < floor(n * 0.25)""")
+def q_s4(spark, d):
+    """Two columns of a columnar dataset, its first quarter in id order."""
+    docs = io.read_table(spark, f"{d.rstrip('/')}/documents.parquet", ["doc_id", "text"])
+    n = int(docs.count() * 0.25)  # from the footers
+    return order.prefix_n(docs, "doc_id", n).select("doc_id", "text")
+
+
 @register("k3_s5_tokenbin_roundtrip", f"""WITH {S.split_docs_cte().strip()}, {S.word_vocab_cte(4096).strip()},
     {S.doc_tokens_cte().strip()}
 SELECT split, CAST(count(*) AS BIGINT) AS n_tokens, CAST(sum(tok) AS BIGINT) AS id_sum,
@@ -57,7 +83,7 @@ def q_k3(spark, d):
     tokenbin.register(spark)
     out = []
     for split in ("train", "validation"):
-        path = scratch_path(spark, f"tokens-{split}")
+        path = tokenbin.shared_path(spark, scratch_path(spark, f"tokens-{split}"))
         part = streamed.where(F.col("split") == split).sortWithinPartitions(order.BUCKET, "order_key", "doc_id")
         part.select("ids").write.format("tokenbin").mode("append").option("path", path).save()
         back = spark.read.format("tokenbin").option("path", path).load()

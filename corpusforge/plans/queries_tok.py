@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusforge.functions.text import CHAT_SPECIALS, STORY_SPECIALS, USER, ASSISTANT
 from corpusforge.operators import bpe, vocab as V, wordtok
 from corpusforge.plans import corpus
+from corpusforge.plans import bpesql as B
 from corpusforge.plans import sqlparts as S
 from corpusforge.plans.queries import CORPUS, ids_str, register, table
 from corpusforge.session import cut_lineage, spread
@@ -25,8 +26,7 @@ def bpe_model(spark, d, merges: int = BPE_MERGES) -> bpe.BpeModel:
     return _MODELS[key]
 
 
-# Java's Unicode \s (White_Space), written out for RE2.
-_WSU = r"\t\n\x{0B}\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_WSU = B.WSU
 # The pre-tokenisation pattern without its look-ahead: a whitespace run is one
 # token.  The look-ahead version splits the last character off a run of two
 # or more that precedes a non-space; when that character is a space it joins
@@ -49,12 +49,19 @@ def q_t1(spark, d):
                        (F.array_join(toks, "") == F.col("text")).alias("lossless"))
 
 
-@register("t3_bpe_merges")
+def _bpe_sql(*texts: str) -> str:
+    return f"WITH {S.split_docs_cte().strip()}, {B.train_cte(BPE_MERGES, list(texts))}"
+
+
+@register("t3_bpe_merges", _bpe_sql() + """
+SELECT rank, l AS "left", r AS "right" FROM bpe_merges""")
 def q_t3(spark, d):
     return bpe_model(spark, d).merges_df(spark)
 
 
-@register("t5_bpe_encode")
+@register("t5_bpe_encode", _bpe_sql("SELECT text FROM documents") + f""",
+    {B.encode_cte('enc', 'documents', 'doc_id', 'text')}
+SELECT k AS doc_id, CAST(len(ids) + 2 AS INTEGER) AS n_tokens, {S.ids_sql('[2] || ids || [3]')} AS ids FROM enc""")
 def q_t5(spark, d):
     model = bpe_model(spark, d)
     enc = bpe.encode_column(spark, model)
@@ -73,7 +80,14 @@ def q_t7(spark, d):
     return back.select("doc_id", (F.col("back") == F.col("text")).alias("roundtrip_equal"))
 
 
-@register("t9_example_report")
+@register("t9_example_report", _bpe_sql("SELECT text FROM benchmark") + f""",
+    {B.encode_cte('enc', 'benchmark', 'item_id', 'text')},
+    named AS (SELECT k, string_agg(b.token, ' ' ORDER BY p) AS tokens
+              FROM (SELECT k, unnest(ids) AS token_id, unnest(range(0, len(ids))) AS p FROM enc)
+              JOIN bpe_ids b USING (token_id) GROUP BY k)
+SELECT s.item_id, s.text, {S.ids_sql('e.ids')} AS ids, coalesce(n.tokens, '') AS tokens,
+       CAST(len(e.ids) AS INTEGER) AS n_tokens
+FROM benchmark s JOIN enc e ON e.k = s.item_id LEFT JOIN named n ON n.k = s.item_id""")
 def q_t9(spark, d):
     model = bpe_model(spark, d)
     rep = bpe.example_report(table(spark, d, "benchmark").select("item_id", "text"), bpe.encode_column(spark, model),
@@ -175,9 +189,10 @@ def q_k5(spark, d):
 
 
 @register("f8_extended_vocab_size", f"""WITH {S.split_docs_cte().strip()}, {S.word_vocab_cte(4096).strip()}
-SELECT count(*) AS vocab_size FROM vocab""")
+SELECT count(*) + 2 AS vocab_size FROM vocab""")
 def q_f8(spark, d):
-    v = V.append_specials(corpus.train_word_vocab(table(spark, d, "documents"), CORPUS), list(CHAT_SPECIALS))
+    v = V.append_specials(corpus.train_word_vocab(table(spark, d, "documents"), CORPUS),
+                         [*CHAT_SPECIALS, "<|tool|>", "<|turn end|>"])  # two that the vocabulary lacks (never one word)
     return v.agg(F.count(F.lit(1)).alias("vocab_size"))
 
 
@@ -210,10 +225,47 @@ def q_x2(spark, d):
                                                  F.sum("size").cast("long").alias("n_chars"))
 
 
-@register("c4_bpe_packed_sequences")
+@register("t10_chunk_encode", f"""
+WITH RECURSIVE {S.split_docs_cte().strip()}, {S.word_vocab_cte(4096).strip()},
+  lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+           unnest(range(0, len(string_split(text, chr(10))))) AS ln FROM documents),
+  walk(doc_id, ln, cur, chunk) AS (
+    SELECT doc_id, ln, length(line), 0 FROM lines WHERE ln = 0
+    UNION ALL
+    SELECT l.doc_id, l.ln,
+           CASE WHEN w.cur >= {X2_BOUND} THEN length(l.line) ELSE w.cur + length(l.line) END,
+           CASE WHEN w.cur >= {X2_BOUND} THEN w.chunk + 1 ELSE w.chunk END
+    FROM walk w JOIN lines l ON l.doc_id = w.doc_id AND l.ln = w.ln + 1),
+  toks AS (
+    SELECT doc_id, chunk, coalesce(v.token_id, 1) AS tok, row_number() OVER (PARTITION BY doc_id, chunk ORDER BY ln, p) AS j
+    FROM (SELECT w.doc_id, w.chunk, w.ln, unnest({S.words_sql('l.line')}) AS word,
+                 unnest(range(0, len({S.words_sql('l.line')}))) AS p
+          FROM walk w JOIN lines l ON l.doc_id = w.doc_id AND l.ln = w.ln) x
+    LEFT JOIN vocab v ON v.token = x.word)
+SELECT w.doc_id, CAST(w.chunk AS BIGINT) AS chunk_id, coalesce(t.ids, '') AS ids
+FROM (SELECT DISTINCT doc_id, chunk FROM walk) w
+LEFT JOIN (SELECT doc_id, chunk, string_agg(CAST(tok AS VARCHAR), ' ' ORDER BY j) AS ids FROM toks GROUP BY ALL) t
+  USING (doc_id, chunk)""")
+def q_t10(spark, d):
+    """The chunks of X2, each encoded on its own."""
+    from corpusforge.operators import chunking
+
+    docs = table(spark, d, "documents")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("ln", "line")).withColumn(
+        "size", F.length("line"))
+    chunks = chunking.chunk_texts(chunking.greedy_chunks(lines, "doc_id", "ln", "size", X2_BOUND), "doc_id", "ln", "line")
+    enc = wordtok.encode_words(chunks, "text", corpus.train_word_vocab(docs, CORPUS), ["doc_id", "chunk_id"],
+                               vocab_size_bound=CORPUS.vocab_size)
+    return enc.select("doc_id", "chunk_id", ids_str("ids").alias("ids"))
+
+
+@register("c4_bpe_packed_sequences", _bpe_sql("SELECT text FROM split_docs") + f""",
+    {B.stream_tokens_cte()}, {S.packed_cte(128).strip()}
+SELECT split, seq_id, input_ids, target_ids FROM packed""")
 def q_c4_bpe(spark, d):
     """The reference's pre-training path end to end with byte-level BPE:
-    split -> BPE on the capped train sample -> encode -> stream -> pack."""
+    split -> BPE on the train split -> encode -> stream -> pack."""
     docs = table(spark, d, "documents")
     model = bpe_model(spark, d)
     toks = corpus.tokenize_documents_bpe(corpus.split_documents(docs, CORPUS), model, CORPUS)
@@ -222,17 +274,29 @@ def q_c4_bpe(spark, d):
                        ids_str("target_ids").alias("target_ids"))
 
 
-@register("f1_f5_sft_rows_bpe")
+M_SFT_BPE = 256
+
+
+@register("f1_f5_sft_rows_bpe", _bpe_sql("SELECT text FROM conversations") + f""",
+    {S.chat_pairs_cte().strip()}, {B.encode_cte('i_enc', 'pairs', 'index', 'instruction')},
+    {B.encode_cte('r_enc', 'pairs', 'index', 'response')},
+    full_rows AS (SELECT i.k AS index, [2, 4] || i.ids || [5] || r.ids || [3] AS f, len(i.ids) AS ilen
+                  FROM i_enc i JOIN r_enc r ON r.k = i.k),
+    cut AS (SELECT index, ilen, len(f) > {M_SFT_BPE} AS truncated,
+                   CASE WHEN len(f) > {M_SFT_BPE} THEN f[1:{M_SFT_BPE - 1}] || [3] ELSE f END AS t FROM full_rows)
+SELECT index, CAST(len(t) AS INTEGER) AS n_tokens, CAST(least(ilen + 3, len(t)) AS INTEGER) AS instr_len, truncated,
+       {S.ids_sql(f'list_resize(t, {M_SFT_BPE}, 0)[1:{M_SFT_BPE - 1}]')} AS input_ids
+FROM cut""")
 def q_f_bpe(spark, d):
     """Instruction rows with the BPE model; both columns are encoded by the
     row-wise Arrow UDF (no explode/regroup shuffle)."""
     from corpusforge.operators import sft
 
     model = bpe_model(spark, d)
-    enc = bpe.encode_column(spark, model)
+    enc = bpe.encode_column(spark, model, "escape")  # user text cannot forge a role marker
     pairs = sft.chat_pairs(table(spark, d, "conversations"))
     ids = pairs.select("index", enc("instruction").alias("i_ids"), enc("response").alias("r_ids"))
-    rows = sft.sft_rows(ids, "i_ids", "r_ids", 256)
+    rows = sft.sft_rows(ids, "i_ids", "r_ids", M_SFT_BPE)
     return rows.select("index", "n_tokens", "instr_len", "truncated", ids_str("input_ids").alias("input_ids"))
 
 
@@ -245,7 +309,7 @@ def q_plan_sft(spark, d):
 
     pairs, _errors = instruct.generate_pairs(table(spark, d, "documents").select("doc_id", "lang", "source"), "doc_id",
                                              StubPairResponder(), max_in_flight=50)
-    enc = bpe.encode_column(spark, bpe_model(spark, d))
+    enc = bpe.encode_column(spark, bpe_model(spark, d), "escape")
     rows = instruct.sft_dataset(pairs, enc, max_length=256)
     return rows.select("index", "split", "n_tokens", "instr_len", "truncated")
 
@@ -260,7 +324,7 @@ def q_plan_dpo(spark, d):
     bench = table(spark, d, "benchmark")
     pairs = instruct.response_pairs(bench, "item_id", "text", StubStyleResponder("gen"), n=bench.count())
     prefs_df, _unparsed = instruct.judge_preferences(pairs, StubVerdictResponder())
-    enc = bpe.encode_column(spark, bpe_model(spark, d))
+    enc = bpe.encode_column(spark, bpe_model(spark, d), "escape")
     rows = instruct.preference_dataset(prefs_df, enc, max_length=256)
     return rows.select("index", "split", "prompt_overflow",
                        F.size(F.filter("chosen_labels", lambda x: x != -100)).alias("chosen_scored"))

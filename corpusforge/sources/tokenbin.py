@@ -13,7 +13,9 @@ as rows ``shard, offset, ids`` of at most ``chunk_tokens`` ids.
 
 Paths go through ``pyarrow.fs``: local paths, or URIs of any filesystem
 pyarrow was built with (``hdfs://``, ``s3://``, ...), so executors write to
-and read from the cluster's shared storage.
+and read from the cluster's shared storage.  A path without a scheme is
+local to each machine here; ``shared_path`` qualifies it on the driver with the
+file system Spark's own writers would use.
 """
 
 from __future__ import annotations
@@ -179,5 +181,12 @@ class TokenBinDataSource(DataSource):
         return TokenBinWriter(self.options, overwrite)
 
 
+def shared_path(spark, path: str) -> str:
+    """``path`` with the scheme of Spark's default file system if it has none."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def register(spark) -> None:
     spark.dataSource.register(TokenBinDataSource)
