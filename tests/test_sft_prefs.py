@@ -47,9 +47,11 @@ def test_sft_stats_empty_is_null(spark):
 def test_chat_pairs(spark):
     conv = spark.createDataFrame([(1, 0, "system", "s"), (1, 1, "user", "u1"), (1, 2, "assistant", "a1"),
                                   (1, 3, "user", "u2"), (2, 0, "user", "x"), (2, 1, "user", "y"),
-                                  (2, 2, "assistant", "z")], "conv_id long, turn long, role string, text string")
+                                  (2, 2, "assistant", "z"), (1, 2001, "user", "late"), (1, 2002, "assistant", "r")],
+                                 "conv_id long, turn long, role string, text string")
     got = sorted((r["index"], r.instruction, r.response) for r in sft.chat_pairs(conv).collect())
-    assert got == [(1001, "u1", "a1"), (2001, "y", "z")]
+    # one key per (conversation, turn), also beyond 1,000 turns
+    assert got == [(2 ** 32 + 1, "u1", "a1"), (2 ** 32 + 2001, "late", "r"), (2 * 2 ** 32 + 1, "y", "z")]
 
 
 def ref_pref(p, c, r, M):
