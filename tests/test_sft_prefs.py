@@ -98,5 +98,5 @@ def test_preference_join_and_dedupe(spark):
 
 def test_turn_keys_stay_apart(spark):
     df = spark.createDataFrame([(1, 1001), (2, 1), (1, 10 ** 9), (1000, 5)], "conv_id long, turn long")
-    keys = [r.index for r in df.orderBy("conv_id", "turn").select(sft.turn_key().alias("index")).collect()]
+    keys = [r["index"] for r in df.orderBy("conv_id", "turn").select(sft.turn_key().alias("index")).collect()]
     assert len(set(keys)) == 4 and keys == sorted(keys)
