@@ -66,16 +66,21 @@ def fingerprint(text: bytes, words: int, seed: int = 42) -> int:
     return int(sum(1 << i for i in np.flatnonzero(votes * 2 > n).tolist()))
 
 
+def _mark(text_col: str):
+    """64 bits of a text, beside its crc32: many rows may share a null id."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    src = docs.select(id_in(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = docs.select(id_in(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), _mark(text_col).alias("mark"))
 
     def run(batches):
         for b in batches:
             texts = text_bytes(b, "text")
             fp = np.array([fingerprint(t, words) for t in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([zlib.crc32(t) for t in texts], pa.int64()),
-                                              pa.array(fp.view(np.int64))], names=["doc_id", "tag", "fp"])
-    return src.mapInArrow(run, "doc_id long, tag long, fp long")
+                                              b.column(2), pa.array(fp.view(np.int64))], names=["doc_id", "tag", "mark", "fp"])
+    return src.mapInArrow(run, "doc_id long, tag long, mark long, fp long")
 
 
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -250,7 +255,9 @@ def links(fps: DataFrame, t: int, block: int = 4096, parts=None, thresholds=None
 
 
 def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, max_bits: int, block: int) -> DataFrame:
-    """(doc_id, tag, fp, component) per input row."""
+    """(doc_id, tag, mark, fp, node, component) per input row.  ``node``: the
+    smallest fingerprint of the group, its identity; ``component``: the
+    smallest id, which several groups share if ids are null or repeat."""
     fp = written(fingerprints(docs, id_col, text_col, words), "simhash")
     reps = written(fp.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "simhash-distinct")
     pairs = links(reps, max_bits, block)
@@ -259,8 +266,9 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, max_bits:
     named = comp.join(reps.select("fp", "rep"), "fp")
     least = named.groupBy("component").agg(F.min("rep").alias("least"), F.count("*").alias("n"))
     label = join_hot(named, least.select("component", "least"), "component", hot_keys(least, "component", "n"),
-                     F.col("fp")).select("fp", "least")
-    per_fp = reps.join(label, "fp", "left").select("fp", F.coalesce("least", "rep").alias("component"))
+                     F.col("fp")).select("fp", "least", F.col("component").alias("node"))
+    per_fp = reps.join(label, "fp", "left").select("fp", F.coalesce("node", "fp").alias("node"),
+                                                   F.coalesce("least", "rep").alias("component"))
     # one fingerprint may belong to a third of all documents (empty texts, copies)
     return join_hot(fp, per_fp, "fp", hot_keys(reps, "fp", "n"), F.struct("doc_id", "tag"))
 
@@ -276,10 +284,12 @@ def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_bits: int = 4,
                   block: int = 4096) -> DataFrame:
     """The rows of ``docs`` that stay: of each group the one of smallest id
-    (then smallest crc32 of its text; of repeated identical rows one)."""
+    (then smallest crc32 of its text; of repeated identical rows one).  Groups
+    are told apart by their fingerprints: documents that share an id, or have
+    none, are near duplicates only if their texts are."""
     got = _labelled(docs, id_col, text_col, words, max_bits, block)
-    keep = got.groupBy("component").agg(F.min(F.struct("doc_id", "tag")).alias("k")).select(
-        F.col("k.doc_id").alias("id"), F.col("k.tag").alias("tag"))
+    row = ["id", "tag", "mark"]
+    keep = got.groupBy("node").agg(F.min(F.struct(F.col("doc_id").alias("id"), "tag", "mark")).alias("k")).select("k.*")
     rows = docs.select(F.struct("*").alias("row"), id_in(id_col).alias("id"),
-                       F.crc32(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("tag"))
-    return rows.join(keep, ["id", "tag"], "left_semi").dropDuplicates(["id", "tag"]).select("row.*")
+                       F.crc32(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("tag"), _mark(text_col).alias("mark"))
+    return rows.join(keep, row, "left_semi").dropDuplicates(row).select("row.*")

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import xxhash
@@ -119,3 +120,42 @@ def test_components_chain_and_star(spark):
     got = dict(connected_components(spark.createDataFrame(e, "u long, v long")).collect())
     assert all(got[i] == 0 for i in range(91)) and all(got[i] == 200 for i in range(200, 260))
     assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def many_ids(n, seed):
+    """Rows whose ids are null for a third and repeat for others, with unlike
+    texts, near copies and exact copies."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        t = " ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(rnd.randrange(150, 250)))
+        if rows and rnd.random() < 0.3:
+            w = rnd.choice(rows)[1].split(" ")
+            w[rnd.randrange(len(w))] = "CHANGED"
+            t = " ".join(w)
+        rows.append((None if i % 3 == 0 else rnd.randrange(n // 4), t))
+        if rnd.random() < 0.1:
+            rows.append(rows[-1])
+    return rows
+
+
+def stays(rows):
+    """Brute force: of each group of fingerprints the row of smallest (id, crc32)."""
+    fps = {t: slow_fp(t) for _, t in rows}
+    comp = components(sorted(set(fps.values())), lambda a, b: bin(a ^ b).count("1") <= 4)
+    best = {}
+    for i, t in rows:
+        key = (-1 if i is None else i, zlib.crc32(t.encode()), t)
+        g = comp[fps[t]]
+        best[g] = min(best.get(g, key), key)
+    return sorted((i, t) for i, _, t in best.values())
+
+
+def test_one_per_group_with_null_and_repeated_ids(spark):
+    rows = many_ids(120, 8)
+    want = stays(rows)
+    assert 5 < sum(i == -1 for i, _ in want) and len(want) < len(set(rows))
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, node string").repartition(5)
+    got = S.one_per_group(df).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.text) for r in got) == want
+    assert S.one_per_group(df.limit(0)).collect() == []
