@@ -173,6 +173,7 @@ def _segments_of(symbols_of: Callable[[bytes], np.ndarray], length: int, k: int,
             ids, tags = ids[order], tags[order]
             alone = np.ones(len(ids), dtype=bool)      # repeated identical rows are one document
             alone[1:] = (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])
+            shared = (alone[1:] & (ids[1:] == ids[:-1])).any()
             out = []
             for part in _stretches((symbols_of(texts[i] if u else b"") for i, u in zip(order, alone)), length):
                 lens = np.array([len(s) for _, _, s in part])
@@ -188,7 +189,11 @@ def _segments_of(symbols_of: Callable[[bytes], np.ndarray], length: int, k: int,
             span = n + length - 1
             # fold equal segments of this batch to the earliest (rows are in order of position)
             both = anchor ^ (seg * np.uint64(0x9E3779B97F4A7C15))
-            by = np.argsort(both, kind="stable")
+            if shared:                                  # documents of one id start at the same place
+                place = np.lexsort((tags[row], start, ids[row]))
+                by = place[np.argsort(both[place], kind="stable")]
+            else:
+                by = np.argsort(both, kind="stable")
             first = np.ones(len(by), dtype=bool)
             first[1:] = both[by][1:] != both[by][:-1]
             keep = np.sort(by[first])
@@ -397,7 +402,9 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, *, symbols: str,
     t = written(fold(segs), "repeat-segments")
     want = (t.where("start >= 0").select("doc_id", tag, F.struct("anchor", "seg", "start", n).alias("w"))
             .groupBy("doc_id", "tag").agg(F.collect_list("w").alias("want")))
-    pieces = (packed(docs, id_col, text_col).join(want, ["doc_id", "tag"]).select("doc_id", "tag", "blob", "want")
+    # a copy of a row must not meet itself: it would cover its own text
+    once = packed(docs, id_col, text_col).dropDuplicates(["doc_id", "tag"])
+    pieces = (once.join(want, ["doc_id", "tag"]).select("doc_id", "tag", "blob", "want")
               .mapInArrow(_pieces(symbols_of, length, as_bytes),
                           "anchor long, seg long, doc_id long, tag long, start long, piece binary"))
     u = written(pieces.repartition("anchor", "seg").sortWithinPartitions("anchor", "seg")

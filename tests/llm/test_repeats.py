@@ -138,3 +138,23 @@ def test_hot_anchor_is_salted(spark):
     assert salts.max() >= 6
     got = {r.doc_id: r.n_removed for r in substring_dedup(src, length=10, k=4, hot_rows=50, block=16).collect()}
     assert got == {i: 40 if i else 0 for i, _ in rows}
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 2])
+def test_copies_of_a_row_keep_their_own_text(spark, hot):
+    """Rows that repeat exactly (also under a null id) and share a passage with
+    other documents, with other text around it."""
+    shared = " ".join(f"s{i}" for i in range(30))
+    once = [(i, " ".join(f"u{i}x{j}" for j in range(25)) + f" {shared} " + " ".join(f"v{i}x{j}" for j in range(25)))
+            for i in [None, *range(1, 12)]]
+    rows = [r for i, r in enumerate(once) for _ in range(3 if i % 2 == 0 else 1)]
+    key = [(-1 if i is None else i, t) for i, t in once]
+    df = frame(spark, rows).repartition(len(rows))             # copies in tasks of their own
+    want = {i: sum(gone) for i, (gone, _) in brute(key, 10, lambda t: t.split()).items()}
+    got = substring_dedup(df, length=10, k=4, hot_rows=hot).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_removed) for r in got) == \
+        sorted((-1 if i is None else i, want[-1 if i is None else i]) for i, _ in rows)
+    want = {i: sum(gone) for i, (gone, _) in brute(key, 40, lambda t: list(t.encode())).items()}
+    got = suffix_dedup(df, length=40, k=12, hot_rows=hot).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_removed) for r in got) == \
+        sorted((-1 if i is None else i, want[-1 if i is None else i]) for i, _ in rows)
