@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.llm import blocks, ordinal, packing, simhash, snapshots, tiling, triecount, vectors, wordmerge
+from corpusforge.llm import audit, blocks, ordinal, packing, simhash, snapshots, tiling, triecount, vectors, wordmerge
 from corpusforge.llm import substring_dedup as sub
 from corpusforge.llm import suffix_dedup as suf
 
@@ -99,3 +99,8 @@ def op12(spark, d):
     path = vocabulary("byte_bpe_50k.json")
     out = wordmerge.decode(wordmerge.encode(table(spark, d, "documents"), path), path)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op13_structure_repair")
+def op13(spark, d):
+    return audit.repair(audit.damaged(table(spark, d, "conversations")))
