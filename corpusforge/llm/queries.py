@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.llm import audit, blocks, ordinal, packing, simhash, snapshots, tiling, triecount, vectors, wordmerge
+from corpusforge.llm import audit, blocks, nearwords, ordinal, packing, simhash, snapshots, tiling, triecount, vectors, wordmerge
 from corpusforge.llm import substring_dedup as sub
 from corpusforge.llm import suffix_dedup as suf
 
@@ -104,3 +104,8 @@ def op12(spark, d):
 @query("op13_structure_repair")
 def op13(spark, d):
     return audit.repair(audit.damaged(table(spark, d, "conversations")))
+
+
+@query("op11_spelling_variants")
+def op11(spark, d):
+    return nearwords.variants(nearwords.words(table(spark, d, "documents")))
