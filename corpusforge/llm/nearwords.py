@@ -104,69 +104,94 @@ class Acceptor:
 
 
 def composed(a: Acceptor, frm: int, prefix: str) -> Iterator[tuple[str, str]]:
-    """Near pairs (longer or first, other) whose common part leads over ``frm``."""
+    """Near pairs (longer or first, other) whose common part leads over ``frm``.
+
+    Strings are kept as linked code points, so words of any length cost their
+    length; states are numbered after all they lead to, so no call nests."""
     arcs, final = a.arcs, a.final
-    common: dict[tuple[int, int], list[str]] = {}
-
-    def rest(p: int, q: int) -> list[str]:
-        """Strings that both states accept."""
-        key = (p, q) if p < q else (q, p)
-        if key not in common:
-            x, y = arcs[p], arcs[q]
-            if len(x) > len(y):
-                x, y = y, x
-            out = [""] if final[p] and final[q] else []
-            for c, s in x.items():
-                if c in y:
-                    out += [c + r for r in (every(s) if s == y[c] else rest(s, y[c]))]
+    common: dict[tuple[int, int], list] = {}
+
+    def rest(p: int, q: int) -> list:
+        """Strings that both states accept, as nested (code point, rest)."""
+        todo = [(p, q) if p < q else (q, p)]
+        while todo:
+            x, y = key = todo[-1]
+            if key in common:
+                todo.pop()
+                continue
+            one, two = arcs[x], arcs[y]
+            if len(one) > len(two):
+                one, two = two, one
+            both = [(c, (s, two[c]) if s < two[c] else (two[c], s)) for c, s in one.items() if c in two]
+            missing = [k for _, k in both if k not in common]
+            if missing:
+                todo += missing
+                continue
+            out: list = [()] if final[x] and final[y] else []
+            for c, k in both:
+                out += [(c, r) for r in common[k]]
             common[key] = out
-        return common[key]
+            todo.pop()
+        return common[(p, q) if p < q else (q, p)]
 
-    def every(p: int) -> list[str]:
-        key = (p, p)
-        if key not in common:
-            common[key] = ([""] if final[p] else []) + [c + r for c, s in arcs[p].items() for r in every(s)]
-        return common[key]
+    def spell(r: tuple) -> str:
+        out = []
+        while r:
+            out.append(r[0])
+            r = r[1]
+        return "".join(out)
 
-    stack = [(frm, prefix)]
+    stack: list[tuple] = [(frm, ())]
     while stack:
         q, before = stack.pop()
         out = list(arcs[q].items())
+        head = None
         for i, (c, s) in enumerate(out):
             # deleted c: a rest that starts with c is listed at the next state
-            for r in rest(s, q) if s != q else every(q):
-                if r[:1] != c:
-                    yield before + c + r, before + r
-            for d, t in out[i + 1:]:
-                for r in every(s) if s == t else rest(s, t):
-                    yield before + c + r, before + d + r
-            stack.append((s, before + c))
+            hits = [(c, "", r) for r in rest(s, q) if not r or r[0] != c]
+            hits += [(c, d, r) for d, t in out[i + 1:] for r in rest(s, t)]
+            for x, y, r in hits:
+                if head is None:
+                    head = prefix + spell(before)[::-1]
+                tail = spell(r)
+                yield head + x + tail, head + y + tail
+            stack.append((s, (c, before)))
 
 
 # ------------------------------------------------------------------ partition
 
+def _shared_length(a: str, b: str) -> F.Column:
+    """Code points that two columns share at their start."""
+    same = F.expr(f"transform(sequence(1, least(length({a}), length({b}))), "
+                  f"i -> substring({a}, i, 1) = substring({b}, i, 1))")
+    end = F.array_position(same, False)
+    return F.when(end > 0, end - 1).otherwise(F.size(same)).cast("int")
+
+
 def initial_states(forms: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     """Cut ``forms`` (w) by prefixes: (w, part) with parts of at most ``limit``
     words (or one word) and (w, part) once for each replaced state on its way.
-    A level has at most words / limit replaced states; their list is broadcast."""
+    A level has at most words / limit replaced states; their list is broadcast.
+    A replaced state is moved on to where its words part (what the first and the
+    last of them share), so a level always parts words."""
     left = forms.withColumn("part", F.substring("w", 1, SHARED))
-    whole, passed, depth = [], [], SHARED
+    whole, passed = [], []
     while True:
-        sizes = left.groupBy("part").agg(F.count("*").alias("m"))
-        # a word that ends at a replaced state is a part of its own there
-        large = written(sizes.where(F.col("m") > limit).select("part"), "large-states")
+        sizes = left.groupBy("part").agg(F.count("*").alias("m"), F.min("w").alias("lo"), F.max("w").alias("hi"))
+        large = written(sizes.where(F.col("m") > F.greatest(F.lit(limit), F.lit(1))).select(
+            "part", _shared_length("lo", "hi").alias("k")), "large-states")
         if large.isEmpty():
             whole.append(left)
             break
         large = F.broadcast(large)
-        whole.append(left.join(large, "part", "left_anti"))
-        inside = left.join(large, "part", "left_semi")
-        passed.append(inside)
-        depth += 1
-        left = written(inside.where(F.length("w") >= depth).withColumn("part", F.substring("w", 1, depth)), "deeper-words")
+        whole.append(left.join(large.select("part"), "part", "left_anti"))
+        inside = written(left.join(large, "part").select("w", F.expr("substring(w, 1, k)").alias("part"), "k"), "passed")
+        passed.append(inside.select("w", "part"))
+        # the word that ends where the others part is near some of them, never alone in need of a part
+        left = inside.where(F.length("w") > F.col("k")).select("w", F.expr("substring(w, 1, k + 1)").alias("part"))
     out = whole[0]
     for w in whole[1:]:
-        out = out.unionByName(w)
+        out = out.unionByName(w.select(*out.columns))
     if not passed:
         return out, left.limit(0)
     at = passed[0]

@@ -64,6 +64,16 @@ def test_variants_against_all_pairs(spark, limit, first):
     assert got == brute(vocab)
 
 
+@pytest.mark.parametrize("limit", [1, 20_000])
+def test_very_long_words(spark, limit):
+    r = random.Random(8)
+    long = "".join(r.choices("abc", k=5000))
+    vocab = {long: 9, long[:2500] + long[2501:]: 4, "x" + long[1:]: 4, long[:-1] + "z": 3, "y" * 4000: 8, "y" * 4001: 4, "y" * 4003: 3}
+    df = spark.createDataFrame([(w, n) for w, n in vocab.items()], "word string, n long")
+    got = {x.word: (x.form, x.root, x.n, x.n_near, x.form_n) for x in nearwords.variants(df, limit).collect()}
+    assert got == brute(vocab)
+
+
 def test_acceptor_is_minimal_and_accepts_its_words():
     words = sorted(vocabulary(500, seed=3))
     a = nearwords.Acceptor(words)
