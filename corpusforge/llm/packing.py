@@ -9,6 +9,11 @@ the sequence that fits under every constraint and whose residual after
 placement has the least weighted norm (``rule="norm"``) or whose residual has
 the largest weighted dot product with the demand (``rule="dot"``).
 
+With the defaults only the token capacity binds (pieces whose lengths sum to at
+most the capacity keep the sum of their squares below its square), so the plan
+is that of one-dimensional best fit; ``max_docs`` and ``max_attention`` make the
+other two capacities bind.
+
 All of that depends on the length of a piece only, so the plan is made from
 the exact histogram of lengths (at most ``capacity`` numbers, whatever the
 table) over classes of equally filled sequences, and the pieces are then
@@ -22,7 +27,6 @@ ignored, whatever their names; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -30,40 +34,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusforge.llm import pretokens
 from corpusforge.llm.common import id_in, id_out, written
-
-# Unicode White_Space, the \s of the vocabulary's own pattern
-_WS = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-_CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
-_CACHE = 600_000
-
+from corpusforge.llm.wordmerge import merge_rounds
 
 class CachedEncoder:
-    """Ids of whole texts.  The vocabulary's pattern never joins characters
-    across the borders of these chunks, so each distinct chunk is encoded once."""
+    """Ids of whole texts as the tokenizers library gives them."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        self.encoder = pretokens.load(path, merge_rounds)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.cache) > _CACHE:
-            self.cache.clear()
-        cache, out = self.cache, [None] * len(texts)
-        chunks = [None if any(s in t for s in self.special) else _CHUNK.findall(t) for t in texts]
-        new = list({c for cs in chunks if cs for c in cs if c not in cache})
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for c, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                cache[c] = np.array(e.ids, dtype="<u4").tobytes()
-        for i, cs in enumerate(chunks):
-            if cs is None:
-                out[i] = np.array(self.tok.encode(texts[i], add_special_tokens=False).ids, dtype="<u4")
-            else:
-                out[i] = np.frombuffer(b"".join([cache[c] for c in cs]), dtype="<u4")
+        out = []
+        for _, _, ids, per in self.encoder.encode(pa.array(texts, pa.string())):
+            out += np.split(ids, np.cumsum(per)[:-1])
         return out
 
 
@@ -72,24 +56,23 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, cap
     src = docs.select(id_in(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = CachedEncoder(tokenizer_path)
+        encode = pretokens.load(tokenizer_path, merge_rounds).encode
+        end = np.array([end_id], "<u4").tobytes()
         for b in batches:
-            for c in range(0, b.num_rows, 500):
-                part = b.slice(c, 500)
-                rows = []
-                for doc, ids in zip(part.column(0).to_pylist(), encode([t or "" for t in part.column(1).to_pylist()])):
-                    ids = np.append(ids, np.array([end_id], dtype="<u4"))
-                    cut = len(ids) % capacity or min(len(ids), capacity)
-                    s, p = 0, 0
-                    while s < len(ids):
-                        e = cut if s == 0 else s + capacity
-                        rows.append((doc, p, s, e - s, zlib.crc32(ids[s:e].astype("<u4").tobytes())))
-                        s, p = e, p + 1
+            for row, rows, ids, per in encode(b.column(1)):
+                ids = ids.astype("<u4", copy=False)
+                raw, at = memoryview(ids.view(np.uint8)), 0
+                out = []
+                for doc, n in zip(b.column(0).slice(row, rows).to_pylist(), per.tolist()):
+                    total = n + 1
+                    s, p, e = 0, 0, total % capacity or min(total, capacity)
+                    while s < total:
+                        crc = zlib.crc32(raw[4 * (at + s):4 * (at + min(e, n))])
+                        out.append((doc, p, s, e - s, crc if e <= n else zlib.crc32(end, crc)))
+                        s, p, e = e, p + 1, e + capacity
+                    at += n
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
+                    [pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
     return src.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
