@@ -2,11 +2,9 @@
 
 * T1/T2 run on the JVM: the GPT-2 pattern through ``regexp_extract_all``,
   then ``groupBy(word).count()`` (map-side combined, so hot words are cheap).
-* T3 iterates over the *word table* only, never the corpus.  A round counts
-  adjacent symbol pairs (one aggregate), brings the top ``top_k`` pairs to the
-  driver, chooses a batch of merges that provably equals one-merge-at-a-time
-  greedy BPE, and rewrites every word's symbols with a higher-order
-  ``aggregate``.  Lineage is cut by reliable checkpoints.
+* T3 iterates over the *word table* only, never the corpus, with maintained
+  pair counts and batches of merges that equal one merge at a time
+  (``bpetrain``).
 * T5 splits special tokens out and pre-tokenises on the JVM; merges are
   applied per word by a small Arrow-batched pandas UDF with the merge ranks
   broadcast once (their size is bounded by the vocabulary size) and a
@@ -21,15 +19,14 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusforge.functions.bytelevel import BYTE_CHARS, GPT2_PATTERN, bpe_segment, from_symbols, to_symbols
 from corpusforge.functions.text import BOS_ID, CHAT_SPECIALS, EOS_ID
+from corpusforge.operators import bpetrain
 
-SEP = "\u0001"  # never a byte-alphabet character
 #: merge tables up to this many entries are broadcast to the encoder
 MAX_BROADCAST_MERGES = 2_000_000
 
@@ -120,151 +117,26 @@ class BpeModel:
                    token_to_id={r["token"]: r["token_id"] for r in v})
 
 
-def choose_batch(top: list[tuple[str, str, int]], symbols: set[str], mode: str = "exact",
-                 fast_k: int = 32) -> list[tuple[str, str]]:
-    """Pick the merges of one round from the ranked pair list.
-
-    Exact: the longest prefix without a repeated symbol; F = count of the
-    first pair that repeats one (or of the last fetched pair); keep the first
-    pair and later ones with count > F.  A self-pair, or a pair whose merged
-    string already exists, ends the batch (alone if it is first).
-    Fast: every symbol-disjoint pair among the first ``fast_k`` (approximate).
-    """
-    if not top:
-        return []
-    used: set[str] = set()
-    prefix: list[tuple[str, str, int]] = []
-    conflict = None
-    for l, r, c in (top if mode == "exact" else top[:fast_k]):
-        if l in used or r in used:
-            if mode == "exact":
-                conflict = c
-                break
-            continue
-        used.update((l, r))
-        prefix.append((l, r, c))
-    if mode == "exact":
-        f = conflict if conflict is not None else top[-1][2]
-        prefix = [prefix[0]] + [p for p in prefix[1:] if p[2] > f]
-    batch: list[tuple[str, str]] = []
-    made: set[str] = set()
-    for i, (l, r, _) in enumerate(prefix):
-        merged = l + r
-        special = l == r or merged in symbols or merged in made
-        if special:
-            if i == 0:
-                return [(l, r)]
-            break
-        batch.append((l, r))
-        made.add(merged)
-    return batch
-
-
-def apply_batch(syms: Column, batch: Sequence[tuple[str, str]]) -> Column:
-    """Rewrite a symbol array with a batch of symbol-disjoint merges.
-
-    Pairs of a batch share no symbol, so two matches can never overlap and
-    each position is decided by itself and its left neighbour (one
-    ``transform`` + ``filter``).  A self-pair ``(a, a)`` is always alone in
-    its batch; runs like ``aaa`` need left-to-right pairing, done by an
-    ``aggregate`` that carries whether the last symbol was just produced.
-    """
-    kv = []
-    for l, r in batch:
-        kv += [F.lit(l + SEP + r), F.lit(l + r)]
-    table = F.create_map(*kv)
-    if any(l == r for l, r in batch):
-        return _apply_sequential(syms, table)
-    n = F.size(syms)
-
-    def hit(i):  # 1-based position i starts a merge
-        return (i >= 1) & (i < n) & F.map_contains_key(
-            table, F.concat(F.element_at(syms, i), F.lit(SEP), F.element_at(syms, i + 1)))
-
-    def out(i):
-        return (F.when(hit(i - 1), F.lit(None).cast("string"))
-                .when(hit(i), F.concat(F.element_at(syms, i), F.element_at(syms, i + 1)))
-                .otherwise(F.element_at(syms, i)))
-
-    return F.filter(F.transform(F.sequence(F.lit(1), n), out), lambda x: x.isNotNull())
-
-
-def _apply_sequential(syms: Column, table: Column) -> Column:
-    init = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("m"))
-
-    def step(acc, s):
-        n = F.size(acc["out"])
-        last = F.element_at(acc["out"], -1)
-        hit = (n > 0) & ~acc["m"] & F.map_contains_key(table, F.concat(last, F.lit(SEP), s))
-        merged = F.concat(F.slice(acc["out"], 1, n - 1), F.array(F.concat(last, s)))
-        return F.when(hit, F.struct(merged.alias("out"), F.lit(True).alias("m"))).otherwise(
-            F.struct(F.concat(acc["out"], F.array(s)).alias("out"), F.lit(False).alias("m")))
-
-    return F.aggregate(syms, init, step, lambda acc: acc["out"])
-
-
-def pair_counts(state: DataFrame) -> DataFrame:
-    """Adjacent symbol pairs weighted by word frequency (partial + final agg)."""
-    s = F.col("syms")
-    n = F.size(s) - 1
-    pairs = F.arrays_zip(F.slice(s, 1, n).alias("l"), F.slice(s, 2, n).alias("r"))
-    return (state.select(F.explode(pairs).alias("p"), "freq")
-            .groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(F.sum("freq").alias("c")))
-
-
 def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2,
-              specials: Sequence[str] = CHAT_SPECIALS, mode: str = "exact", top_k: int = 1000,
-              fast_k: int = 32, full_byte_alphabet: bool = True, checkpoint_every: int = 8,
-              max_rounds: int | None = None) -> BpeModel:
+              specials: Sequence[str] = CHAT_SPECIALS, mode: str = "exact", fast_k: int = 32,
+              full_byte_alphabet: bool = True, checkpoint_every: int = 16,
+              max_rounds: int | None = None, tracked_pairs: int = bpetrain.TRACKED) -> BpeModel:
     """Learn merges from a ``word, freq, syms`` table until the vocabulary
     holds ``vocab_size`` entries or no pair reaches ``min_frequency``.
 
     ``full_byte_alphabet`` puts all 256 byte symbols in the vocabulary (lossless
     encoding); ``False`` keeps only symbols seen in training, as the reference
-    does, so unseen bytes vanish at encode time.
+    does, so unseen bytes vanish at encode time.  ``mode="fast"`` merges all
+    pairs without a common symbol among the first ``fast_k`` (another, slightly
+    different vocabulary); exact training rarely needs more rounds.
     """
-    from corpusforge.session import cut_lineage
-
     if full_byte_alphabet:
         alphabet = sorted(BYTE_CHARS)
-    else:
+    else:                                  # at most 256 symbols
         alphabet = sorted(r[0] for r in words.select(F.explode("syms")).distinct().collect())
     symbols = set(specials) | set(alphabet)
-    merges: list[tuple[str, str]] = []
-    state = words.where(F.size("syms") > 1).select("syms", "freq")
-    budget = vocab_size - len(set(specials) | set(alphabet))
-    rounds = 0
-    # Every round's state is cached; every ``checkpoint_every`` rounds it is
-    # reliably checkpointed and the cached chain is released newest-first
-    # (releasing an older cache first would make Spark re-plan the newer ones
-    # without it, inlining the whole chain of rewrites).
-    state = state.persist(StorageLevel.MEMORY_AND_DISK)
-    live = [state]
-    while len(merges) < budget and (max_rounds is None or rounds < max_rounds):
-        top = (pair_counts(state).where(F.col("c") >= min_frequency)
-               .orderBy(F.col("c").desc(), F.col("l").asc(), F.col("r").asc()).limit(top_k).collect())
-        batch = choose_batch([(r["l"], r["r"], r["c"]) for r in top], symbols, mode, fast_k)
-        batch = batch[: budget - len(merges)]
-        if not batch:
-            break
-        merges.extend(batch)
-        symbols.update(l + r for l, r in batch)
-        # only words holding a left symbol of the batch can change
-        lefts = F.array(*[F.lit(l) for l in sorted({l for l, _ in batch})])
-        rewritten = F.when(F.arrays_overlap(F.col("syms"), lefts), apply_batch(F.col("syms"), batch)).otherwise(
-            F.col("syms"))
-        state = (state.withColumn("syms", rewritten).where(F.size("syms") > 1)
-                 .persist(StorageLevel.MEMORY_AND_DISK))
-        live.append(state)
-        rounds += 1
-        if rounds % checkpoint_every == 0:
-            cut = cut_lineage(state)  # reliable: survives executor loss, bounds lineage
-            for s in reversed(live):
-                s.unpersist()
-            state = cut.persist(StorageLevel.MEMORY_AND_DISK)
-            live = [state]
-    for s in reversed(live):
-        s.unpersist()
+    merges, rounds = bpetrain.learn_merges(words, alphabet, symbols, vocab_size - len(symbols), min_frequency, mode, fast_k,
+                                           checkpoint_every, max_rounds, tracked_pairs)
     return BpeModel(list(specials), alphabet, merges, rounds)
 
 

@@ -54,6 +54,63 @@ def test_exact_batches_equal_greedy(spark, seed, alphabet):
     assert model.merges == greedy({to_symbols(w): f for w, f in counts.items()}, 25)
 
 
+@pytest.mark.parametrize("seed,alphabet,tracked", [(11, "abc", 5), (13, "abcdefghij", 1000), (15, "aé漢z", 12)])
+def test_long_training_equals_greedy(spark, seed, alphabet, tracked):
+    """Many ties, symbols made twice, thresholds that fall while training."""
+    rnd = random.Random(seed)
+    counts = {}
+    for _ in range(250):
+        w = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 12)))
+        counts[w] = counts.get(w, 0) + rnd.choice([1, 1, 2, 3])
+    model = bpe.train_bpe(word_table(spark, counts).repartition(3), vocab_size=6 + 256 + 60, min_frequency=2,
+                          checkpoint_every=5, tracked_pairs=tracked)
+    want = greedy({to_symbols(w): f for w, f in counts.items()}, 60)
+    assert model.merges == want and model.rounds <= len(want)
+
+
+def test_batches_of_tied_pairs_equal_greedy():
+    """The driver's choice of batches alone, against one merge at a time."""
+    import numpy as np
+
+    from corpusforge.operators import bpetrain
+
+    for seed in range(120):
+        rnd = random.Random(seed)
+        letters = "abcdefgh"[:rnd.choice([2, 3, 5, 8])]
+        counts = {"".join(rnd.choice(letters) for _ in range(rnd.randint(2, 8))): rnd.choice([1, 1, 1, 2]) for _ in range(40)}
+        names = sorted(letters)
+        known = {s: i for i, s in enumerate(names)}
+        block = (np.array([known[c] for w in counts for c in w], np.int32), np.array([len(w) for w in counts]),
+                 np.array(list(counts.values())))
+        t, got, most = bpetrain.Tracked(names), [], 0
+
+        def recount():
+            k, c = bpetrain.summed(*bpetrain.weighted_pairs(*block))
+            t.reset(zip((k >> 32).tolist(), (k & 0xFFFFFFFF).tolist(), c.tolist()), 1)
+        recount()
+        while batch := t.batch(known, 64):
+            most = max(most, len(batch))
+            again = False
+            coded = {}
+            for l, r in batch:
+                s = names[l] + names[r]
+                again |= s in known
+                if s not in known:
+                    known[s] = len(names)
+                    names.append(s)
+                coded[l << 32 | r] = known[s]
+                got.append((names[l], names[r]))
+            keys = np.array(sorted(coded))
+            done = bpetrain.merge_block(*block, keys, np.array([coded[k] for k in keys.tolist()], np.int32))
+            block = done[:3]
+            if again:
+                recount()
+            else:
+                k, c = done[3]
+                t.add(zip((k >> 32).tolist(), (k & 0xFFFFFFFF).tolist(), c.tolist()))
+        assert got == greedy(counts, 10_000, 1), seed
+
+
 def test_all_counts_below_minimum(spark):
     model = bpe.train_bpe(word_table(spark, {"ab": 1, "cd": 1}), vocab_size=6 + 256 + 10, min_frequency=2)
     assert model.merges == []
