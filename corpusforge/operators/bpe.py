@@ -119,7 +119,7 @@ class BpeModel:
 
 def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2,
               specials: Sequence[str] = CHAT_SPECIALS, mode: str = "exact", fast_k: int = 32,
-              full_byte_alphabet: bool = True, checkpoint_every: int = 16,
+              full_byte_alphabet: bool = True, checkpoint_every: int = 5,
               max_rounds: int | None = None, tracked_pairs: int = bpetrain.TRACKED) -> BpeModel:
     """Learn merges from a ``word, freq, syms`` table until the vocabulary
     holds ``vocab_size`` entries or no pair reaches ``min_frequency``.

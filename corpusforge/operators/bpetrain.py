@@ -24,7 +24,8 @@ every (ab, y) that could reach ``f``.  A pair of equal symbols, and one whose
 merged symbol already exists, is merged alone.
 
 Each round's blocks are cached and every few rounds checkpointed in the shared
-folder, so a lost executor repeats a few rounds at most.
+folder, so a lost executor repeats a few rounds at most, and plans stay short
+(the text of a plan over cached tables doubles with each of them).
 """
 
 from __future__ import annotations
@@ -281,7 +282,7 @@ def _refill(tracked: Tracked, blocks: DataFrame, min_frequency: int, size: int)
 
 
 def learn_merges(words: DataFrame, alphabet: list[str], symbols: set[str], budget: int, min_frequency: int = 2,
-                 mode: str = "exact", fast_k: int = 32, checkpoint_every: int = 16, max_rounds: int | None = None,
+                 mode: str = "exact", fast_k: int = 32, checkpoint_every: int = 5, max_rounds: int | None = None,
                  tracked_pairs: int = TRACKED) -> tuple[list[tuple[str, str]], int]:
     """(merges in order, rounds) of a ``freq, syms`` table; ``symbols`` are all
     strings of the vocabulary so far (a merge that makes one of them is done
