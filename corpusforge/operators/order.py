@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,11 +38,14 @@ def order_key(seed: int | str, *cols: Column | str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[_c(c).cast("string") for c in cols]))
 
 
-def hex_digits_for(n_rows: int, target: int = TARGET_ROWS_PER_BUCKET) -> int:
-    """Hex-prefix length so that a bucket holds about ``target`` rows."""
-    if n_rows <= target:
-        return 1
-    return max(1, math.ceil(math.log(n_rows / target, 16)))
+def hex_digits_for(n_rows: int, target: int = TARGET_ROWS_PER_BUCKET, partitions: int = 1) -> int:
+    """Hex-prefix length so that a bucket holds at most about ``target`` rows and
+    there are at least as many buckets as ``partitions``."""
+    return max(1, math.ceil(math.log(max(n_rows / target, 1), 16)), math.ceil(math.log(max(partitions, 1), 16)))
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def hex_bucket(key: Column | str, digits: int) -> Column:
@@ -60,6 +64,7 @@ def global_position(
     num_partitions: int | None = None,
     bucket_bound: int = 16 ** 3,
     partition_fanout: int = 1,
+    once: bool = False,
 ) -> DataFrame:
     """0-based dense position under ``order_cols`` (restarting per
     ``partition_cols``), the group size, and for every entry of ``sums`` the
@@ -71,12 +76,17 @@ def global_position(
     buckets (``bucket=None``: reuse the existing column and partitioning)
     needs no further shuffle.  ``bucket_bound`` bounds the distinct bucket
     values and ``partition_fanout`` the distinct partition keys; their
-    product bounds the broadcast offsets table.
+    product bounds the broadcast offsets table.  Each row also gets the first
+    value and the end of every running sum in its bucket, ``<name>_run_start``
+    and ``<name>_run_end``.
+
+    The rows are read for the bucket totals and for the positions.  ``once``
+    keeps the range-partitioned rows (memory and disk), so that the input is
+    read and shuffled once, however often the result is used.
     """
     sums = dict(sums or {})
-    spark = df.sparkSession
     if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        num_partitions = shuffle_partitions(df)
     keys = list(partition_cols) + [BUCKET]
     if bucket is None:
         d = tagged = df
@@ -84,6 +94,8 @@ def global_position(
         tagged = df.withColumn(BUCKET, bucket)
         # explicit partition count: AQE keeps the range bounds as they are
         d = tagged.repartitionByRange(num_partitions, *[F.col(k) for k in keys])
+        if once:
+            d = tagged = d.persist(StorageLevel.MEMORY_AND_DISK)
     w = Window.partitionBy(*keys).orderBy(*[_c(c) for c in order_cols])
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = d.withColumn("_lrn", F.row_number().over(w))
@@ -103,14 +115,17 @@ def global_position(
         F.sum("_bcnt").over(whole).alias(total_col),
         *[F.coalesce(F.sum(f"_bsum_{n}").over(before), F.lit(0)).alias(f"_osum_{n}") for n in sums],
         *[F.sum(f"_bsum_{n}").over(whole).alias(f"{n}_total") for n in sums],
+        *[F.col(f"_bsum_{n}") for n in sums],
     )
     if bucket_bound * partition_fanout <= MAX_BROADCAST_BUCKETS:
         offs = F.broadcast(offs)
     out = local.join(offs, on=keys, how="inner")
     out = out.withColumn(pos_col, F.col("_ocnt") + F.col("_lrn") - 1)
     for name, v in sums.items():
-        out = out.withColumn(f"{name}_offset", F.col(f"_osum_{name}") + F.col(f"_lsum_{name}") - _c(v))
-    drop = ["_lrn", "_ocnt"] + [f"_lsum_{n}" for n in sums] + [f"_osum_{n}" for n in sums]
+        out = out.withColumns({f"{name}_offset": F.col(f"_osum_{name}") + F.col(f"_lsum_{name}") - _c(v),
+                               f"{name}_run_start": F.col(f"_osum_{name}"),
+                               f"{name}_run_end": F.col(f"_osum_{name}") + F.col(f"_bsum_{name}")})
+    drop = ["_lrn", "_ocnt"] + [f"_{x}_{n}" for n in sums for x in ("lsum", "osum", "bsum")]
     return out.drop(*drop)
 
 
@@ -119,14 +134,14 @@ def global_position(
 def shuffle_positions(df: DataFrame, id_col: str, seed: int = 42,
                       key_col: str = "order_key", digits: int | None = None,
                       partition_cols: Sequence[str] = (), sums=None,
-                      pos_col: str = "pos", total_col: str = "n_total") -> DataFrame:
+                      pos_col: str = "pos", total_col: str = "n_total", once: bool = False) -> DataFrame:
     """Deterministic permutation; adds ``order_key``, ``pos``, ``n_total``."""
     if digits is None:
-        digits = hex_digits_for(df.count())
+        digits = hex_digits_for(df.count(), partitions=shuffle_partitions(df))
     d = df.withColumn(key_col, order_key(seed, id_col))
     return global_position(d, [key_col, id_col], hex_bucket(key_col, digits),
                            partition_cols=partition_cols, sums=sums,
-                           pos_col=pos_col, total_col=total_col, bucket_bound=16 ** digits)
+                           pos_col=pos_col, total_col=total_col, bucket_bound=16 ** digits, once=once)
 
 
 def exact_fraction_sample(df: DataFrame, id_col: str, fraction: float, seed: int = 42) -> DataFrame:
@@ -187,13 +202,13 @@ def label_split(pos: Column, n_total: Column, val_ratio: float, val_at: str = "t
 
 
 def tail_split(df: DataFrame, id_col: str, val_ratio: float = 0.01, seed: int = 42,
-               digits: int | None = None) -> DataFrame:
+               digits: int | None = None, once: bool = False) -> DataFrame:
     """D5 (and D7): shuffle, then the last ``floor(n*r)`` rows are validation.
 
     ``digits`` (bucket granularity) may come from an upper bound of the row
     count, e.g. the unfiltered source's count, which Parquet answers from
     metadata."""
-    d = shuffle_positions(df, id_col, seed, digits=digits)
+    d = shuffle_positions(df, id_col, seed, digits=digits, once=once)
     return d.withColumn("split", label_split(F.col("pos"), F.col("n_total"), val_ratio, "tail"))
 
 
@@ -221,6 +236,61 @@ def capped_train_sample(split_df: DataFrame, cap: int = 100_000) -> DataFrame:
     return split_df.where((F.col("split") == "train") & (F.col("pos") < F.lit(int(cap))))
 
 
+#: steps a row may walk outside [0, n); each is taken with a chance below 1 / sqrt(n)
+WALK = 64
+
+
+def keyed_permutation(pos: Column, n: Column, key: Column, rounds: int = 4) -> Column:
+    """A bijection of [0, n) chosen by ``key``, by arithmetic on each row alone.
+
+    A position is a cell of a grid of ``a = ceil(sqrt(n))`` rows and
+    ``b = ceil(n / a)`` columns; a Feistel round adds a hash of the column to the
+    row, or of the row to the column, and keeps the grid's cells distinct.  Fewer
+    than ``a`` cells lie outside [0, n); a position that falls on one walks on
+    until it is inside, which no walk of ``min(a, WALK)`` steps fails to reach for
+    ``a <= WALK`` and with a chance of ``a ** -WALK`` otherwise.  The hash is the
+    first 15 hex digits of md5('<key>:<round>:<value>'), as any SQL engine states it.
+    """
+    a = F.greatest(F.ceil(F.sqrt(n.cast("double"))), F.lit(1)).cast("long")
+    b = F.ceil(n / a).cast("long")
+
+    def mixed(i: int, value: Column, size: Column) -> Column:
+        digest = F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(i)), value.cast("string")))
+        return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") % size
+
+    def add(i: int):
+        # one-argument functions: Spark reads a second parameter as the index
+        if i % 2 == 0:
+            return lambda v: F.struct(((v["r"] + mixed(i, v["c"], a)) % a).alias("r"), v["c"].alias("c"))
+        return lambda v: F.struct(v["r"].alias("r"), ((v["c"] + mixed(i, v["r"], b)) % b).alias("c"))
+
+    def step(x: Column) -> Column:
+        # arrays of one cell: a round names the cell before it instead of repeating it
+        cell = F.array(F.struct(F.floor(x / b).cast("long").alias("r"), (x % b).alias("c")))
+        for i in range(rounds):
+            cell = F.transform(cell, add(i))
+        return F.transform(cell, lambda v: v["r"] * b + v["c"])[0]
+
+    return F.aggregate(F.sequence(F.lit(1), F.least(a, F.lit(WALK)).cast("int")), step(pos.cast("long")),
+                       lambda x, _: F.when(x < n, x).otherwise(step(x)))
+
+
+def epoch_batches(df: DataFrame, id_col: str, epochs: int, batch_size: int, drop_last: bool = False,
+                  seed_offset: int = 0) -> DataFrame:
+    """D10 without a sort per epoch: one position per row (X1), and in every
+    epoch the keyed permutation of it.  ``epoch, pos, batch_id`` + input columns.
+
+    The rows are positioned once; an epoch adds rows but no exchange, so the
+    plan for one epoch can also be computed alone, when it is due."""
+    d = shuffle_positions(df, id_col, seed_offset, pos_col="_base", once=True)
+    d = d.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    d = d.withColumn("pos", keyed_permutation(F.col("_base"), F.col("n_total"), F.col("epoch") + F.lit(seed_offset)))
+    d = d.withColumn("batch_id", F.floor(F.col("pos") / F.lit(batch_size)).cast("long"))
+    if drop_last:
+        d = d.where(F.col("batch_id") < F.floor(F.col("n_total") / F.lit(batch_size)))
+    return d.drop("_base", "order_key", BUCKET)
+
+
 def batch_plan(df: DataFrame, id_col: str, epochs: int, batch_size: int,
                drop_last: bool = False, shuffle: bool = True, seed_offset: int = 0) -> DataFrame:
     """Per epoch, a fresh permutation (seed = epoch) cut into batches.
@@ -235,7 +305,7 @@ def batch_plan(df: DataFrame, id_col: str, epochs: int, batch_size: int,
     d = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     if shuffle:
         d = d.withColumn("order_key", order_key_expr_epoch(seed_offset, id_col))
-        digits = hex_digits_for(n)
+        digits = hex_digits_for(n, partitions=shuffle_partitions(df))
         d = global_position(d, ["order_key", id_col], hex_bucket("order_key", digits),
                             partition_cols=["epoch"], bucket_bound=16 ** digits,
                             partition_fanout=epochs)

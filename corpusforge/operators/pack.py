@@ -3,16 +3,18 @@
 The reference concatenates a split's documents into one flat array and
 views it as sequences.  Here the stream is never materialised: each document
 knows its offset in its split's stream (an exclusive prefix sum, X1), and a
-sequence is assembled from the document pieces that overlap it.  Only
-``(L+1)``-token sequences are ever grouped, so no group is unbounded.
+sequences inside a run of documents that lie together are cut in place.  Only
+the pieces of sequences that cross a run's border are grouped, ``(L+1)`` tokens
+at most, so no group is unbounded and the stream is not shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusforge.operators.order import global_position
+from corpusforge.operators.order import BUCKET, global_position
 
 
 def n_sequences(n_tokens: Column, length: int, stride: int | None = None) -> Column:
@@ -45,20 +47,83 @@ def pack(streamed: DataFrame, length: int = 1024, stride: int | None = None,
     Sequence ``i`` of a stream holds tokens ``[i*S, i*S + L]`` (L+1 tokens);
     there are ``max(0, (N-L-1) div S + 1)``.  Input: ``stream_offsets`` output.
     Output: ``<stream_cols>, seq_id, tokens`` (L+1 ids).
+
+    The rows of a bucket are one run of their stream.  Sequences inside a run
+    are cut where the run lies; only tokens of sequences that cross a run's
+    border, at most L on either side for S = L, are shuffled.
     """
     L, S = length, (stride or length)
-    o = F.col("tok_offset")
-    n = F.col("n_tokens")
+    return _inside_runs(streamed, L, S, ids_col, stream_cols).unionByName(
+        _across_runs(streamed, L, S, ids_col, stream_cols))
+
+
+def _inside_runs(streamed: DataFrame, L: int, S: int, ids_col: str, stream_cols) -> DataFrame:
+    """Sequences that lie inside one run.  The window only asks for a bucket's
+    rows together and in order, which the range partitioning of X1 already gives."""
+    place = F.row_number().over(Window.partitionBy(*stream_cols, BUCKET).orderBy("tok_offset", "stream_pos"))
+    src = streamed.withColumn("_place", place).select(
+        *stream_cols, "_place", F.col("tok_offset").alias("_at"), F.col(ids_col).alias("_ids"))
+    keys = len(stream_cols)
+    schema = T.StructType([src.schema[c] for c in stream_cols] + [
+        T.StructField("seq_id", T.LongType()), T.StructField("tokens", src.schema["_ids"].dataType)])
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        held, base, nxt = np.zeros(0, np.int32), 0, 0      # tokens from ``base``; first sequence not yet cut
+        window = np.arange(L + 1)
+        for b in batches:
+            ids = b.column(keys + 2)
+            sizes = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat = ids.flatten().to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            place, at = (b.column(keys + j).to_numpy(zero_copy_only=False) for j in (0, 1))
+            cuts = [0, *(np.flatnonzero(place[1:] == 1) + 1).tolist(), b.num_rows]
+            for s, e in zip(cuts, cuts[1:]):
+                if s == e:
+                    continue
+                if place[s] == 1:
+                    held, base = held[:0], int(at[s])
+                    nxt = -(-base // S)
+                held = np.concatenate([held, flat[ends[s]:ends[e]]])
+                n = (base + len(held) - 1 - L) // S - nxt + 1
+                if n > 0:
+                    first = nxt * S - base
+                    tokens = held[(first + np.arange(n) * S)[:, None] + window].ravel()
+                    offsets = np.arange(n + 1, dtype=np.int32) * (L + 1)
+                    same = pa.array(np.full(n, s))
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(j).take(same) for j in range(keys)] + [
+                            pa.array(np.arange(nxt, nxt + n)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))],
+                        names=schema.names)
+                    nxt += n
+                drop = min(max(nxt * S - base, 0), len(held))
+                held, base = held[drop:], base + drop
+    return src.mapInArrow(run, schema)
+
+
+def _across_runs(streamed: DataFrame, L: int, S: int, ids_col: str, stream_cols) -> DataFrame:
+    """Sequences that cross a run's border, from the pieces near the borders."""
+    o, n = F.col("tok_offset"), F.col("n_tokens")
+    start, end = F.col("tok_run_start"), F.col("tok_run_end")
     n_seq = n_sequences(F.col("tok_total"), L, S)
     lo = F.greatest(F.ceil((o - F.lit(L)) / F.lit(S)), F.lit(0)).cast("long")
     hi = F.least(F.floor((o + n - 1) / F.lit(S)).cast("long"), n_seq - 1)
-    touched = F.when((n > 0) & (hi >= lo), F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
-    pieces = streamed.select(*stream_cols, o.alias("_o"), n.alias("_n"), F.col(ids_col).alias("_ids"),
-                             F.explode(touched).alias("seq_id"))
-    start = F.greatest(F.col("seq_id") * S, F.col("_o"))
-    end = F.least(F.col("seq_id") * S + L, F.col("_o") + F.col("_n") - 1)
-    piece = F.slice("_ids", (start - F.col("_o") + 1).cast("int"), (end - start + 1).cast("int"))
-    pieces = pieces.select(*stream_cols, "seq_id", F.struct(start.alias("s"), piece.alias("p")).alias("_piece"))
+    none = F.array().cast("array<bigint>")
+
+    def span(a, b):
+        return F.when((n > 0) & (b >= a), F.sequence(a, b)).otherwise(none)
+
+    before = span(lo, F.least(hi, F.ceil(start / F.lit(S)).cast("long") - 1))             # start before the run
+    after = span(F.greatest(lo, F.ceil((end - L) / F.lit(S)).cast("long")), hi)           # end beyond it
+    near = streamed.where((o < start + L) | (o + n > end - L))
+    pieces = near.select(*stream_cols, o.alias("_o"), n.alias("_n"), F.col(ids_col).alias("_ids"),
+                         F.explode(F.array_union(before, after)).alias("seq_id"))
+    first = F.greatest(F.col("seq_id") * S, F.col("_o"))
+    last = F.least(F.col("seq_id") * S + L, F.col("_o") + F.col("_n") - 1)
+    piece = F.slice("_ids", (first - F.col("_o") + 1).cast("int"), (last - first + 1).cast("int"))
+    pieces = pieces.select(*stream_cols, "seq_id", F.struct(first.alias("s"), piece.alias("p")).alias("_piece"))
     seqs = pieces.groupBy(*stream_cols, "seq_id").agg(F.array_sort(F.collect_list("_piece")).alias("_ps"))
     return seqs.select(*stream_cols, "seq_id", F.flatten(F.transform("_ps", lambda x: x["p"])).alias("tokens"))
 

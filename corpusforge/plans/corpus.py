@@ -29,10 +29,16 @@ class CorpusParams:
     stride: int | None = None
 
 
-def split_documents(docs: DataFrame, p: CorpusParams, id_col: str = "doc_id") -> DataFrame:
-    """P2 blank filter (unstripped text kept) + D1/D5 shuffle and tail split."""
+def _digits(docs: DataFrame) -> int:
+    """Bucket granularity from the unfiltered row count (Parquet metadata)."""
+    return order.hex_digits_for(docs.count(), partitions=order.shuffle_partitions(docs))
+
+
+def split_documents(docs: DataFrame, p: CorpusParams, id_col: str = "doc_id", once: bool = False) -> DataFrame:
+    """P2 blank filter (unstripped text kept) + D1/D5 shuffle and tail split.
+    ``once``: several steps read the result, so keep the shuffled documents."""
     kept = docs.where(non_blank("text"))
-    return order.tail_split(kept, id_col, p.val_ratio, p.seed, digits=order.hex_digits_for(docs.count()))
+    return order.tail_split(kept, id_col, p.val_ratio, p.seed, digits=_digits(docs), once=once)
 
 
 #: sample id sets up to this size are broadcast into a semi-join
@@ -50,16 +56,22 @@ def tokenizer_sample(docs: DataFrame, p: CorpusParams, id_col: str = "doc_id") -
         return split_documents(docs, p, id_col).where("split = 'train'").select(*docs.columns)
     kept = docs.where(non_blank("text"))
     split = order.tail_split(kept.select(id_col), id_col, p.val_ratio, p.seed,
-                             digits=order.hex_digits_for(docs.count()))
+                             digits=_digits(docs))
     ids = order.capped_train_sample(split, p.tokenizer_sample_cap).select(id_col)
     if p.tokenizer_sample_cap <= MAX_BROADCAST_IDS:
         ids = F.broadcast(ids)
     return kept.join(ids, on=id_col, how="left_semi")
 
 
-def train_word_vocab(docs: DataFrame, p: CorpusParams, id_col: str = "doc_id") -> DataFrame:
-    """D9 sample -> T2 counts -> vocabulary (word tokenizer)."""
-    counts = wordtok.word_counts(tokenizer_sample(docs, p, id_col), "text")
+def train_word_vocab(docs: DataFrame, p: CorpusParams, id_col: str = "doc_id",
+                     split_docs: DataFrame | None = None) -> DataFrame:
+    """D9 sample -> T2 counts -> vocabulary (word tokenizer).  With no cap the
+    sample is the train part of ``split_docs``, if the caller has it already."""
+    if split_docs is not None and p.tokenizer_sample_cap is None:
+        sample = split_docs.where("split = 'train'")
+    else:
+        sample = tokenizer_sample(docs, p, id_col)
+    counts = wordtok.word_counts(sample, "text")
     return wordtok.word_vocab(counts, p.vocab_size, p.min_frequency)
 
 

@@ -162,6 +162,33 @@ def q_d10(spark, d):
         "epoch", "doc_id", "batch_id")
 
 
+def _feistel_sql(x: str) -> str:
+    """One pass over the grid cell of position ``x`` (columns epoch, a, b)."""
+    def mixed(i, value, size):
+        digest = f"md5(concat_ws(':', CAST(epoch AS VARCHAR), '{i}', CAST({value} AS VARCHAR)))"
+        return f"CAST('0x' || substr({digest}, 1, 15) AS BIGINT) % {size}"
+    src = f"SELECT *, {x} // b AS r0, {x} % b AS c0 FROM src"
+    for i in range(4):
+        r, c = (f"(r{i} + {mixed(i, f'c{i}', 'a')}) % a", f"c{i}") if i % 2 == 0 else (f"r{i}", f"(c{i} + {mixed(i, f'r{i}', 'b')}) % b")
+        src = f"SELECT *, {r} AS r{i + 1}, {c} AS c{i + 1} FROM ({src})"
+    return f"SELECT doc_id, epoch, n, a, b, r4 * b + c4 AS x FROM ({src})"
+
+
+@register("d10_epoch_batches", f"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, row_number() OVER (ORDER BY {S.key_sql(0, 'doc_id')}, doc_id) - 1 AS p, count(*) OVER () AS n FROM labels),
+grid AS (SELECT *, CAST(greatest(ceil(sqrt(n)), 1) AS BIGINT) AS a FROM base),
+start AS (SELECT g.*, CAST(ceil(n / a) AS BIGINT) AS b, CAST(e.range AS INTEGER) AS epoch FROM grid g, range(0, 3) e),
+walk AS (
+  {_feistel_sql('p').replace('FROM src', 'FROM start')}
+  UNION ALL
+  {_feistel_sql('x').replace('FROM src', 'FROM walk WHERE x >= n')})
+SELECT epoch, doc_id, x AS pos, x // 16 AS batch_id FROM walk WHERE x < n AND x // 16 < n // 16""")
+def q_d10_epochs(spark, d):
+    lab = table(spark, d, "labels").select("doc_id")
+    return order.epoch_batches(lab, "doc_id", epochs=3, batch_size=16, drop_last=True).select("epoch", "doc_id", "pos", "batch_id")
+
+
 @register("d11_step_counts", f"""
 SELECT epoch, count(DISTINCT batch_id) AS n_batches,
        CAST(floor(count(DISTINCT batch_id) / 4) AS BIGINT) AS n_steps
@@ -186,8 +213,8 @@ CORPUS = corpus.CorpusParams(vocab_size=4096, context_length=128)
 
 def _streamed(spark, d, p=CORPUS):
     docs = table(spark, d, "documents")
-    sd = corpus.split_documents(docs, p)
-    vocab = corpus.train_word_vocab(docs, p)
+    sd = corpus.split_documents(docs, p, once=True)
+    vocab = corpus.train_word_vocab(docs, p, split_docs=sd)
     return corpus.streamed_documents(corpus.tokenize_documents(sd, vocab, p))
 
 

@@ -104,3 +104,42 @@ def test_batch_plan_in_order_for_validation(spark):
         rows = sorted((r for r in plan if r.epoch == e), key=lambda r: r.doc_id)
         assert [r.pos for r in rows] == list(range(20))
         assert [r.batch_id for r in rows] == [i // 6 for i in range(20)]
+
+
+def test_keyed_permutation_is_a_bijection(spark):
+    import random
+
+    r = random.Random(1)
+    sizes = [*range(1, 200), *(r.randrange(200, 5001) for _ in range(30)), 5000]
+    rows = spark.createDataFrame([(n,) for n in sorted(set(sizes))], "n long").withColumn(
+        "x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    y = rows.repartition(8).withColumn("y", order.keyed_permutation(F.col("x"), F.col("n"), F.lit(3)))
+    got = y.groupBy("n").agg(F.countDistinct("y").alias("d"), F.min("y").alias("lo"), F.max("y").alias("hi"),
+                             F.sum((F.col("x") == F.col("y")).cast("int")).alias("fixed")).collect()
+    assert len(got) == len(set(sizes))
+    for g in got:
+        assert (g.d, g.lo, g.hi) == (g.n, 0, g.n - 1), g
+    assert sum(g.fixed for g in got if g.n > 1000) < 100          # about one fixed point a permutation
+
+
+def test_epoch_batches_need_no_exchange_per_epoch(spark):
+    d = spark.range(1000).withColumnRenamed("id", "doc_id")
+    one, many = (order.epoch_batches(d, "doc_id", e, 16) for e in (1, 5))
+    count = [x._jdf.queryExecution().executedPlan().toString().count("Exchange") for x in (one, many)]
+    assert count[0] == count[1]
+    rows = many.collect()
+    orders = {e: tuple(x.doc_id for x in sorted((x for x in rows if x.epoch == e), key=lambda x: x.pos)) for e in range(5)}
+    assert len(set(orders.values())) == 5 and all(sorted(o) == list(range(1000)) for o in orders.values())
+
+
+def test_buckets_reach_the_shuffle_partitions():
+    assert order.hex_digits_for(10, partitions=8) == 1 and order.hex_digits_for(10, partitions=2000) == 3
+    assert order.hex_digits_for(60_000_000, partitions=16) == 3
+
+
+def test_positions_read_the_input_once(spark):
+    """With ``once`` both readers of X1 use the kept, range-partitioned rows."""
+    plan = order.shuffle_positions(docs(spark).select("doc_id"), "doc_id", 42, once=True)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("InMemoryRelation") >= 1 and "Relation [" not in text.split("InMemoryRelation")[0]
+    assert {r.doc_id: r.pos for r in plan.collect()} == naive_positions(docs(spark).select("doc_id"))

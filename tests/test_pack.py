@@ -41,3 +41,28 @@ def test_pack_equals_flat_array(spark, name, L, S):
 def test_summary(spark):
     s = pack.stream_summary(streamed_from(spark, CASES["long_doc"]), 8, None, 2).first()
     assert s.n_tokens == 55 and s.n_sequences == (55 - 9) // 8 + 1 and s.n_batches == 3
+
+
+@pytest.mark.parametrize("L,S,per", [(8, 8, 1), (8, 3, 2), (5, 7, 4), (16, 16, 30)])
+@pytest.mark.parametrize("parts", [1, 5])
+def test_only_border_tokens_leave_their_run(spark, L, S, per, parts):
+    """Any partitioning, several streams and buckets: equal to the flat arrays,
+    with at most 2 L tokens a bucket in the shuffle for S = L."""
+    import random
+
+    r = random.Random(L * S)
+    rows = [(i, r.choice(["train", "validation"]), [r.randrange(1000) for _ in range(r.choice([0, 1, 3, 9, 40]))]) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, split string, ids array<int>").repartition(parts)
+    st = pack.stream_offsets(df, ["doc_id"], reuse_buckets=False, bucket=F.floor(F.col("doc_id") / per), bucket_bound=90)
+    got = {}
+    for x in pack.pack(st.repartition(parts, "doc_id"), L, S).collect():      # rows torn apart again
+        assert (x.split, x.seq_id) not in got
+        got[x.split, x.seq_id] = list(x.tokens)
+    want = {}
+    for s in ("train", "validation"):
+        flat = [t for i, sp, ids in rows if sp == s for t in ids]
+        want |= {(s, i): x for i, x in enumerate(brute(flat, L, S))}
+    assert got == want
+    if S == L and per == 30:
+        moved = pack._across_runs(st, L, S, "ids", ("split",)).agg(F.sum(F.size("tokens"))).first()[0] or 0
+        assert moved <= 2 * (L + 1) * st.select("split", "_bucket").distinct().count()
