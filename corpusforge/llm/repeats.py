@@ -30,15 +30,14 @@ Memory per task is bounded by the Arrow batch, the block and the longest
 single text.  Beside the group counts nothing is collected to the driver
 or broadcast.  Equality of segments in step 3 is by 128 bits of hash.
 
-Identity of a document is (id, crc32 of its text): repeated identical rows
+Identity of a document is (id, 96 bits of XXH3-128 of its text): repeated identical rows
 get identical results and do not cover each other; an id that repeats with
 other text counts as another document that starts at the same place in the
-order (ties go to the smaller crc32).
+order (ties go by that hash).
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -48,8 +47,8 @@ from pyspark.sql import functions as F
 
 from corpusforge.llm.common import as_numpy, group_starts, id_in, mix64, sorted_runs, text_bytes, to_batches, written
 
-SEGMENT = "anchor long, seg long, doc_id long, start long, meta long"
-_SEG_PA = pa.schema([(n, pa.int64()) for n in ("anchor", "seg", "doc_id", "start", "meta")])
+SEGMENT = "anchor long, seg long, doc_id long, start long, tag long, meta long"
+_SEG_PA = pa.schema([(n, pa.int64()) for n in ("anchor", "seg", "doc_id", "start", "tag", "meta")])
 _BASE = np.uint64(0x9E3779B97F4A7C15)          # odd: invertible modulo 2^64
 _STRETCH = 1 << 19                             # windows handled at once
 _POS_BITS = np.uint64(22)
@@ -168,11 +167,11 @@ def _segments_of(symbols_of: Callable[[bytes], np.ndarray], length: int, k: int,
         counts = np.zeros(_GROUPS, np.int64)
         for batch in batches:
             texts, ids = text_bytes(batch, "text"), as_numpy(batch, "doc_id")
-            tags = np.array([zlib.crc32(t) for t in texts], dtype=np.int64)
-            order = np.lexsort((tags, ids))
-            ids, tags = ids[order], tags[order]
+            tags, more = text_tags(texts)
+            order = np.lexsort((more, tags, ids))
+            ids, tags, more = ids[order], tags[order], more[order]
             alone = np.ones(len(ids), dtype=bool)      # repeated identical rows are one document
-            alone[1:] = (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])
+            alone[1:] = (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]) | (more[1:] != more[:-1])
             shared = (alone[1:] & (ids[1:] == ids[:-1])).any()
             out = []
             for part in _stretches((symbols_of(texts[i] if u else b"") for i, u in zip(order, alone)), length):
@@ -188,14 +187,12 @@ def _segments_of(symbols_of: Callable[[bytes], np.ndarray], length: int, k: int,
             row, start, n, anchor, seg = (np.concatenate(x) for x in zip(*out))
             span = n + length - 1
             # fold equal segments of this batch to the earliest (rows are in order of position)
-            both = anchor ^ (seg * np.uint64(0x9E3779B97F4A7C15))
+            place = np.arange(len(row))
             if shared:                                  # documents of one id start at the same place
-                place = np.lexsort((tags[row], start, ids[row]))
-                by = place[np.argsort(both[place], kind="stable")]
-            else:
-                by = np.argsort(both, kind="stable")
+                place = np.lexsort((more[row], tags[row], start, ids[row]))
+            by = place[np.lexsort((seg[place], anchor[place]))]
             first = np.ones(len(by), dtype=bool)
-            first[1:] = both[by][1:] != both[by][:-1]
+            first[1:] = (anchor[by][1:] != anchor[by][:-1]) | (seg[by][1:] != seg[by][:-1])
             keep = np.sort(by[first])
             group = _group_of(anchor[keep])
             if salts is None:
@@ -207,13 +204,13 @@ def _segments_of(symbols_of: Callable[[bytes], np.ndarray], length: int, k: int,
             hot = many > 1
             anchor[hot] = mix64(anchor[hot] + (seg[hot] % many[hot] + np.uint64(1)) * _BASE)
             yield from to_batches(_SEG_PA, [
-                anchor.view(np.int64), seg.view(np.int64), ids[row[keep]], start[keep],
-                (tags[row[keep]] << 32) | n | np.where(hot, _SALTED, 0)])
+                anchor.view(np.int64), seg.view(np.int64), ids[row[keep]], start[keep], tags[row[keep]],
+                (more[row[keep]] << 32) | n | np.where(hot, _SALTED, 0)])
             r, s, m = _merge(row[again], start[again], span[again])
             if len(r):
                 yield from to_batches(_SEG_PA, [
                     mix64(ids[r].view(np.uint64) + s.astype(np.uint64)).view(np.int64), np.zeros(len(r), np.int64),
-                    ids[r], -1 - s, (tags[r] << 32) | m])
+                    ids[r], -1 - s, tags[r], (more[r] << 32) | m])
         if salts is None:
             some = np.flatnonzero(counts)
             yield from to_batches(_COUNT_PA, [some, counts[some]], 1 << 16)
@@ -244,12 +241,12 @@ def _fold(length: int, block: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [as_numpy(batch, c) for c in ("anchor", "seg", "doc_id", "start", "meta")]
+            cols = [as_numpy(batch, c) for c in ("anchor", "seg", "doc_id", "start", "tag", "meta")]
             span = cols[3] < 0
             if span.any():
                 yield from to_batches(_SEG_PA, [c[span] for c in cols])
                 cols = [c[~span] for c in cols]
-            anchor, seg, doc, start, meta = cols
+            anchor, seg, doc, start, tag, meta = cols
             if not len(anchor):
                 continue
             new_a, new_s = np.ones(len(anchor), bool), np.ones(len(anchor), bool)
@@ -259,13 +256,13 @@ def _fold(length: int, block: int):
                 new_a[0] = anchor[0] != prev[0]
                 new_s[0] = new_a[0] or seg[0] != prev[1]
             c = ~new_s
-            c[1:] &= (doc[1:] != doc[:-1]) | (start[1:] != start[:-1]) | (meta[1:] != meta[:-1])
-            c[0] &= prev is None or (doc[0], start[0], meta[0]) != prev[2:]      # the same row again covers nothing
+            c[1:] &= (doc[1:] != doc[:-1]) | (start[1:] != start[:-1]) | (tag[1:] != tag[:-1]) | (meta[1:] != meta[:-1])
+            c[0] &= prev is None or (doc[0], start[0], tag[0], meta[0]) != prev[2:]      # the same row again covers nothing
             prev = tuple(x[-1] for x in cols)
             salted = (meta & _SALTED) != 0
             meta = meta & ~_SALTED
             if c.any():
-                yield from to_batches(_SEG_PA, [anchor[c], np.zeros(c.sum(), np.int64), doc[c], -1 - start[c],
+                yield from to_batches(_SEG_PA, [anchor[c], np.zeros(c.sum(), np.int64), doc[c], -1 - start[c], tag[c],
                                                 (meta[c] & ~_LOW32) | ((meta[c] & _LOW32) + length - 1)])
             f = np.flatnonzero(new_s)
             if not len(f):
@@ -278,18 +275,27 @@ def _fold(length: int, block: int):
             more[:-1] = ~fa[1:]
             send = (idx >= 1) | more | salted[f]
             blk = idx // block + np.where(salted[f], _SALTED_BLOCK, 0)
-            out = [(anchor[f][send], blk[send], doc[f][send], start[f][send], meta[f][send])]
+            out = [(anchor[f][send], blk[send], doc[f][send], start[f][send], tag[f][send], meta[f][send])]
             if pending is not None and not fa[0]:
                 out.insert(0, tuple(np.array([v]) for v in pending))
             pending = None
             if idx[-1] == 0 and not salted[f[-1]]:
                 j = f[-1]
-                pending = (anchor[j], 0, doc[j], start[j], meta[j])
+                pending = (anchor[j], 0, doc[j], start[j], tag[j], meta[j])
             count = int(idx[-1]) + 1
             yield from to_batches(_SEG_PA, [np.concatenate(x) for x in zip(*out)])
     return run
 
 
+def text_tags(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The low 64 and the high 32 bits of each text's 128-bit hash."""
+    import xxhash
+
+    raw = b"".join(xxhash.xxh3_128_digest(t) for t in texts)
+    x = np.frombuffer(raw, ">u8").astype(np.uint64).reshape(-1, 2)
+    return x[:, 1].view(np.int64) if len(x) else np.zeros(0, np.int64), (x[:, 0] >> np.uint64(32)).astype(np.int64)
+
+
 def _unpack():
     import zstandard
 
@@ -297,7 +303,7 @@ def _unpack():
 
 
 def packed(docs: DataFrame, id_col: str, text_col: str, carry: str | None = None) -> DataFrame:
-    """(doc_id, tag, blob[, carry]): texts compressed before they are shuffled."""
+    """(doc_id, tag, more, blob[, carry]): texts compressed before they are shuffled."""
     cols = [id_in(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")]
     src = docs.select(*cols, *([F.col(carry).alias("carry")] if carry else []))
 
@@ -307,15 +313,15 @@ def packed(docs: DataFrame, id_col: str, text_col: str, carry: str | None = None
         z = zstandard.ZstdCompressor(level=3)
         for b in batches:
             texts = text_bytes(b, "text")
-            arrays = [b.column(0), pa.array([zlib.crc32(t) for t in texts], pa.int64()),
+            arrays = [b.column(0), *(pa.array(x, pa.int64()) for x in text_tags(texts)),
                       pa.array([z.compress(t) for t in texts], pa.binary())]
-            names = ["doc_id", "tag", "blob"]
+            names = ["doc_id", "tag", "more", "blob"]
             if carry:
                 arrays.append(b.column(b.schema.get_field_index("carry")))
                 names.append("carry")
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    schema = "doc_id long, tag long, blob binary"
+    schema = "doc_id long, tag long, more long, blob binary"
     if carry:
         schema += f", carry {src.schema['carry'].dataType.simpleString()}"
     return src.mapInArrow(run, schema)
@@ -324,20 +330,20 @@ def packed(docs: DataFrame, id_col: str, text_col: str, carry: str | None = None
 def _pieces(symbols_of, length: int, as_bytes: bool):
     """Cut the listed segments out of their texts."""
     schema = pa.schema([("anchor", pa.int64()), ("seg", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()),
-                        ("start", pa.int64()), ("piece", pa.binary())])
+                        ("more", pa.int64()), ("start", pa.int64()), ("piece", pa.binary())])
 
     def run(batches):
         dec = _unpack()
         for b in batches:
             out = [[] for _ in schema]
             size = 0
-            for doc, tag, blob, want in zip(*(b.column(i).to_pylist() for i in range(4))):
+            for doc, tag, more, blob, want in zip(*(b.column(i).to_pylist() for i in range(5))):
                 text = dec(blob)
                 sym = None if as_bytes else symbols_of(text)
                 for w in want:
                     s, e = w["start"], w["start"] + w["n"] + length - 1
                     piece = text[s:e] if as_bytes else sym[s:e].tobytes()
-                    for o, v in zip(out, (w["anchor"], w["seg"], doc, tag, s, piece)):
+                    for o, v in zip(out, (w["anchor"], w["seg"], doc, tag, more, s, piece)):
                         o.append(v)
                     size += len(piece)
                 if size > 8_000_000:
@@ -357,9 +363,9 @@ def _compare(solve, length: int, k: int, block: int, as_bytes: bool, rows: int):
             starts = group_starts(t, ["anchor", "seg"])
             sizes = np.diff(np.append(starts, t.num_rows))
             group = np.repeat(np.arange(len(starts)), sizes)
-            doc, tag, start, blk = (t.column(c).to_numpy() for c in ("doc_id", "tag", "start", "seg"))
+            doc, tag, more, start, blk = (t.column(c).to_numpy() for c in ("doc_id", "tag", "more", "start", "seg"))
             pieces = t.column("piece").to_pylist()
-            order = np.lexsort((tag, start, doc))
+            order = np.lexsort((more, tag, start, doc))
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
             covered = solve(group, place, pieces, length)          # per piece: bool per window
@@ -368,12 +374,12 @@ def _compare(solve, length: int, k: int, block: int, as_bytes: bool, rows: int):
             for i, hit in enumerate(covered):
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
                 for a, e in zip(edge[::2], edge[1::2]):
-                    cov.append((0, 0, doc[i], -1 - (start[i] + a), (tag[i] << 32) | (e - a + length - 1)))
+                    cov.append((0, 0, doc[i], -1 - (start[i] + a), tag[i], (more[i] << 32) | (e - a + length - 1)))
                 if split[i]:
                     sym = byte_symbols(pieces[i]) if as_bytes else np.frombuffer(pieces[i], np.uint64)
                     h1, h2 = hasher.windows_hash(sym), hasher.windows_hash(sym, second=True)
                     for w in np.flatnonzero(~hit):
-                        firsts.append((h1[w].view(np.int64), h2[w].view(np.int64), doc[i], start[i] + w, (tag[i] << 32) | 1))
+                        firsts.append((h1[w].view(np.int64), h2[w].view(np.int64), doc[i], start[i] + w, tag[i], (more[i] << 32) | 1))
             for out in (cov, firsts):
                 if out:
                     yield from to_batches(_SEG_PA, [np.array(c, dtype=np.int64) for c in zip(*out)])
@@ -382,7 +388,7 @@ def _compare(solve, length: int, k: int, block: int, as_bytes: bool, rows: int):
 
 def repeated_spans(docs: DataFrame, id_col: str, text_col: str, *, symbols: str, length: int, k: int, solve,
                    block: int = 4096, rows_per_shard: int = 4096, hot_rows: int = 1_000_000) -> DataFrame:
-    """(doc_id, tag, spans array<struct<start, n>>): symbols to remove.
+    """(doc_id, tag, more, spans array<struct<start, n>>): symbols to remove.
     Groups of anchors with more than ``hot_rows`` rows (and 4 times the mean)
     are salted."""
     if not 0 < k <= length:
@@ -395,24 +401,24 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, *, symbols: str,
     segs = src.mapInArrow(_segments_of(symbols_of, length, k, shared), SEGMENT)
 
     def fold(df):
-        return (df.repartition("anchor").sortWithinPartitions("anchor", "seg", "doc_id", "start", "meta")
+        return (df.repartition("anchor").sortWithinPartitions("anchor", "seg", "doc_id", "start", "tag", "meta")
                 .mapInArrow(_fold(length, block), SEGMENT))
 
-    tag, n = F.shiftrightunsigned("meta", 32).alias("tag"), F.col("meta").bitwiseAND(F.lit(_LOW32)).alias("n")
+    more, n = F.shiftrightunsigned("meta", 32).alias("more"), F.col("meta").bitwiseAND(F.lit(_LOW32)).alias("n")
     t = written(fold(segs), "repeat-segments")
-    want = (t.where("start >= 0").select("doc_id", tag, F.struct("anchor", "seg", "start", n).alias("w"))
-            .groupBy("doc_id", "tag").agg(F.collect_list("w").alias("want")))
+    want = (t.where("start >= 0").select("doc_id", "tag", more, F.struct("anchor", "seg", "start", n).alias("w"))
+            .groupBy("doc_id", "tag", "more").agg(F.collect_list("w").alias("want")))
     # a copy of a row must not meet itself: it would cover its own text
-    once = packed(docs, id_col, text_col).dropDuplicates(["doc_id", "tag"])
-    pieces = (once.join(want, ["doc_id", "tag"]).select("doc_id", "tag", "blob", "want")
+    once = packed(docs, id_col, text_col).dropDuplicates(["doc_id", "tag", "more"])
+    pieces = (once.join(want, ["doc_id", "tag", "more"]).select("doc_id", "tag", "more", "blob", "want")
               .mapInArrow(_pieces(symbols_of, length, as_bytes),
-                          "anchor long, seg long, doc_id long, tag long, start long, piece binary"))
+                          "anchor long, seg long, doc_id long, tag long, more long, start long, piece binary"))
     u = written(pieces.repartition("anchor", "seg").sortWithinPartitions("anchor", "seg")
                 .mapInArrow(_compare(solve, length, k, block, as_bytes, rows_per_shard), SEGMENT), "repeat-compared")
     late = fold(u.where("start >= 0")).where("start < 0")
     spans = t.where("start < 0").unionByName(u.where("start < 0")).unionByName(late)
-    return (spans.select("doc_id", tag, F.struct((-1 - F.col("start")).alias("start"), n).alias("s"))
-            .groupBy("doc_id", "tag").agg(F.collect_set("s").alias("spans")))
+    return (spans.select("doc_id", "tag", more, F.struct((-1 - F.col("start")).alias("start"), n).alias("s"))
+            .groupBy("doc_id", "tag", "more").agg(F.collect_set("s").alias("spans")))
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, fn, schema: str,
@@ -420,7 +426,7 @@ def with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, fn
     """Join texts with their spans and apply ``fn(text bytes, spans) -> tuple``
     per document; ``schema`` names its values (after doc_id, before carry)."""
     names = [f.split()[0] for f in schema.split(",")]
-    joined = packed(docs, id_col, text_col, carry).join(spans, ["doc_id", "tag"], "left")
+    joined = packed(docs, id_col, text_col, carry).join(spans, ["doc_id", "tag", "more"], "left")
     keep = ["doc_id", "blob", "spans"] + (["carry"] if carry else [])
 
     def run(batches):

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import pytest
 
+from corpusforge.llm.repeats import text_tags
 from corpusforge.llm.substring_dedup import SuffixAutomaton, substring_dedup
 from corpusforge.llm.suffix_dedup import BlindTrie, suffix_dedup
 
@@ -158,3 +159,38 @@ def test_copies_of_a_row_keep_their_own_text(spark, hot):
     got = suffix_dedup(df, length=40, k=12, hot_rows=hot).collect()
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_removed) for r in got) == \
         sorted((-1 if i is None else i, want[-1 if i is None else i]) for i, _ in rows)
+
+
+@pytest.mark.parametrize("doc_id", [None, 4])
+def test_texts_of_one_id_and_equal_crc32_stay_apart(spark, doc_id):
+    """Two texts of one id whose crc32 are equal, one of them holding a passage twice."""
+    import zlib
+
+    passage = " ".join(f"p{j}" for j in range(30))
+    head = " ".join(f"a{j}" for j in range(200)) + f" {passage} mid {passage}"
+    rnd, seen, texts = random.Random(1), {}, None
+    while texts is None:                        # a birthday search over both texts' ends
+        x, y = "".join(rnd.choices("abcdefghij", k=9)), "".join(rnd.choices("klmnopqrst", k=9))
+        seen[zlib.crc32(f"{head} {x}".encode())] = x
+        z = zlib.crc32(f"{passage} short {y}".encode())
+        if z in seen:
+            texts = f"{head} {seen[z]}", f"{passage} short {y}"
+    assert zlib.crc32(texts[0].encode()) == zlib.crc32(texts[1].encode())
+    tags = dict(zip(texts, zip(*(x.tolist() for x in text_tags([t.encode() for t in texts])))))
+    df = frame(spark, [(doc_id, texts[0]), (doc_id, texts[1]), (doc_id, texts[1]), (9, passage)])
+    for got, size, sym in ((substring_dedup(df, length=10, k=4), 10, lambda t: t.split()),
+                           (suffix_dedup(df, length=40, k=12), 40, lambda t: list(t.encode()))):
+        first, want = {}, {}
+        docs = [(-1 if doc_id is None else doc_id, tags[t], sym(t), t) for t in texts] + [(9, (0, 0), sym(passage), passage)]
+        for i, tag, s, t in docs:               # smaller id, then earlier start, then the text's hash
+            for p in range(len(s) - size + 1):
+                key = tuple(s[p:p + size])
+                first[key] = min(first.get(key, (i, p, tag)), (i, p, tag))
+        for i, tag, s, t in docs:
+            gone = set()
+            for p in range(len(s) - size + 1):
+                if first[tuple(s[p:p + size])] != (i, p, tag):
+                    gone |= set(range(p, p + size))
+            want[t] = len(gone)
+        rows = [want[texts[0]], want[texts[1]], want[texts[1]], want[passage]]
+        assert sorted(r.n_removed for r in got.collect()) == sorted(rows)
