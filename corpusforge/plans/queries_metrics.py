@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions import responders
 from corpusforge.functions.text import IGNORE_INDEX, parse_object, fenced_payload, strip_wrapping_quotes
-from corpusforge.operators import annotate, candidates as N, metrics as Mx, order, prompts, wordtok
+from corpusforge.operators import annotate, candidates as N, joblog, metrics as Mx, order, prompts, wordtok
 from corpusforge.plans import sqlparts as S
 from corpusforge.plans.queries import register, table
 from corpusforge.session import cut_lineage, spread
@@ -426,3 +426,56 @@ def q_k6(spark, d):
     annotate.run_resumable(sp, "prompt", responders.StubPairResponder(), ["index"], out, err)
     schema = "index long, error string, attempts int, preview string"
     return spark.read.schema(schema).json(err).select("index", "error", "preview")
+
+
+# ------------------------------------------- jobs answered from conversations
+
+JOB_PIECES = 8
+
+
+def _reply_job(spark, d):
+    """Every user turn asks; the assistant turn after it answers (equi-join)."""
+    turns = table(spark, d, "conversations")
+    todo = turns.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("prompt"))
+    replies = turns.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), "text")
+    return todo, joblog.replies_from(replies, ["conv_id", "turn"], "text")
+
+
+_JOB_SQL = """
+SELECT u.conv_id, u.turn, a.text AS reply,
+       CAST('0x' || substr(md5(concat_ws(':', CAST(u.conv_id AS VARCHAR), CAST(u.turn AS VARCHAR))), 1, 15) AS BIGINT) % 8 AS piece
+FROM conversations u LEFT JOIN conversations a
+  ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+WHERE u.role = 'user'"""
+
+
+@register("k7_job_progress", f"""
+SELECT CAST(piece AS INTEGER) AS piece, count(reply) AS n_ok, count(*) - count(reply) AS n_error,
+       CAST(sum(count(*)) OVER (ORDER BY piece) AS BIGINT) AS done
+FROM ({_JOB_SQL}) GROUP BY piece""")
+def q_k7(spark, d):
+    from corpusforge.session import scratch_path
+
+    todo, answer = _reply_job(spark, d)
+    log = joblog.run_job(todo, answer, ["conv_id", "turn"], scratch_path(spark, "k7-job"), JOB_PIECES, 1)
+    return log.select(F.element_at(F.split("piece", "-"), -1).cast("int").alias("piece"), "n_ok", "n_error", "done")
+
+
+@register("l4_resume_half_filled", f"""
+SELECT conv_id, turn, reply, CASE WHEN reply IS NULL THEN 'error' ELSE 'ok' END AS status,
+       CASE WHEN piece < 4 AND reply IS NOT NULL THEN 1 ELSE 2 END AS run
+FROM ({_JOB_SQL})""")
+def q_l4(spark, d):
+    """A run that ends half-way, then one over the same rows: answers of the first
+    run stay, its failures and all other rows are asked by the second."""
+    from corpusforge.session import scratch_path
+
+    todo, answer = _reply_job(spark, d)
+    job, keys = scratch_path(spark, "l4-job"), ["conv_id", "turn"]
+    joblog.run_job(todo, answer, keys, job, JOB_PIECES, 1, stop_after=JOB_PIECES // 2)
+    first = [r["piece"] for r in joblog.progress(spark, job).collect()]           # 4 names
+    joblog.run_job(todo, answer, keys, job, JOB_PIECES, 1)
+    schema = answer(todo.limit(0)).schema
+    rows = joblog.answers(spark, job, schema).unionByName(joblog.errors(spark, job, schema, keys))
+    mine = F.when(F.col("piece").isin(first) & (F.col("status") == "ok"), 1).otherwise(2)
+    return rows.select("conv_id", "turn", "reply", "status", mine.alias("run"))
