@@ -7,6 +7,8 @@ point from 256 up.  The table is generated from that rule.
 
 from __future__ import annotations
 
+import heapq
+
 # Fixed value: the published GPT-2 pre-tokenisation pattern (Java regex with
 # UNICODE_CHARACTER_CLASS, so \s is Unicode whitespace as in Python's `regex`).
 GPT2_PATTERN = (r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -40,9 +42,45 @@ def from_symbols(text: str) -> bytes:
     return bytes(CHAR_BYTES[c] for c in text if c in CHAR_BYTES)
 
 
+#: words of more symbols go through ``segment_long``
+LONG_WORD = 40
+
+
+def segment_long(symbols: str, ranks: dict[tuple[str, str], int]) -> list[str]:
+    """``bpe_segment`` in O(n log n): a linked list of symbols and a heap of
+    (rank, place).  All places of the lowest rank are merged from left to right
+    before the next rank; a place whose pair has changed meanwhile is skipped."""
+    sym: list[str | None] = list(symbols)
+    n = len(sym)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i) for i in range(n - 1) if (r := ranks.get((sym[i], sym[i + 1]))) is not None]
+    heapq.heapify(heap)
+    while heap:
+        rank, places = heap[0][0], []
+        while heap and heap[0][0] == rank:
+            places.append(heapq.heappop(heap)[1])
+        for i in places:
+            j = after[i]
+            if sym[i] is None or j >= n or ranks.get((sym[i], sym[j])) != rank:
+                continue
+            sym[i], sym[j] = sym[i] + sym[j], None
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+            h = before[i]
+            for a, b in ((h, i), (i, k)):
+                if a >= 0 and b < n:
+                    r = ranks.get((sym[a], sym[b]))
+                    if r is not None:
+                        heapq.heappush(heap, (r, a))
+    return [s for s in sym if s is not None]
+
+
 def bpe_segment(symbols: str, ranks: dict[tuple[str, str], int]) -> list[str]:
     """Apply merges by rank inside one word: repeatedly merge the adjacent
     pair of lowest rank (all its non-overlapping occurrences, left to right)."""
+    if len(symbols) > LONG_WORD:
+        return segment_long(symbols, ranks)
     parts = list(symbols)
     while len(parts) > 1:
         best, best_rank = None, None

@@ -10,7 +10,7 @@ from corpusforge.functions import text as X
 from corpusforge.operators import order, sft
 from corpusforge.plans import corpus
 from corpusforge.plans import sqlparts as S
-from corpusforge.plans.queries import CORPUS, register, table
+from corpusforge.plans.queries import CORPUS, ids_str, register, table
 from corpusforge.plans.queries_rows import _SFT_SQL, _sft_rows
 from corpusforge.session import cut_lineage, scratch_path
 from corpusforge.sources import io, tokenbin
@@ -95,6 +95,27 @@ def q_k3(spark, d):
     return out[0].unionByName(out[1])
 
 
+@register("s5_c4_sequences_from_shards", f"""WITH {S.split_docs_cte().strip()}, {S.word_vocab_cte(4096).strip()},
+    {S.doc_tokens_cte().strip()}, {S.packed_cte(96, 40).strip()}
+SELECT split, seq_id, input_ids, target_ids FROM packed""")
+def q_s5_c4(spark, d):
+    """Strided training sequences read from the packed shards of each split."""
+    docs = table(spark, d, "documents")
+    sd = corpus.split_documents(docs, CORPUS, once=True)
+    vocab = corpus.train_word_vocab(docs, CORPUS, split_docs=sd)
+    streamed = corpus.streamed_documents(corpus.tokenize_documents(sd, vocab, CORPUS))
+    tokenbin.register(spark)
+    out = []
+    for split in ("train", "validation"):
+        path = tokenbin.shared_path(spark, scratch_path(spark, f"tokens-{split}"))
+        part = streamed.where(F.col("split") == split).sortWithinPartitions(order.BUCKET, "order_key", "doc_id")
+        part.select("ids").write.format("tokenbin").mode("append").option("path", path).save()
+        seqs = spark.read.format("tokenseq").option("path", path).option("length", 96).option("stride", 40).load()
+        out.append(seqs.select(F.lit(split).alias("split"), "seq_id", ids_str("input_ids").alias("input_ids"),
+                               ids_str("target_ids").alias("target_ids")))
+    return out[0].unionByName(out[1])
+
+
 @register("k4_s6_manifest_roundtrip", f"""{S.split_docs_cte().join(['WITH ', ''])}, {S.word_vocab_cte(4096).strip()},
     {S.doc_tokens_cte().strip()}
 SELECT CAST(sum(CASE WHEN split = 'train' THEN n_tokens ELSE 0 END) AS BIGINT) AS train_tokens,

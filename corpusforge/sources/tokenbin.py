@@ -8,8 +8,12 @@ shards form one stream in partition order (range-partition by the order key
 before writing).  No token passes through the driver.
 
 Reader: each shard is cut into byte ranges of ``partition_tokens`` tokens;
-each range is one input partition, read with a positioned read and returned
-as rows ``shard, offset, ids`` of at most ``chunk_tokens`` ids.
+each range is one input partition, read with positioned reads and returned
+as rows ``shard, offset, ids`` of at most ``chunk_tokens`` ids in Arrow batches.
+Filters on ``offset`` are pushed down: ranges they leave out are not read.
+
+``tokenseq`` reads the same files as training sequences (C4) by position, with
+filters on ``seq_id`` pushed down.
 
 Paths go through ``pyarrow.fs``: local paths, or URIs of any filesystem
 pyarrow was built with (``hdfs://``, ``s3://``, ...), so executors write to
@@ -22,9 +26,9 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator
 
-from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition,
+from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, GreaterThan,
+                                    GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual,
                                     WriterCommitMessage)
 
 MAX_ID = 65535
@@ -73,31 +77,137 @@ def _shards(path: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _bounds(filters, column: str) -> tuple[int, float, list]:
+    """``[lo, hi)`` that the filters leave for an integer column, and those
+    filters that are not told by it."""
+    lo, hi, rest = 0, float("inf"), []
+    for f in filters:
+        mine = getattr(f, "attribute", None) == (column,)
+        v = getattr(f, "value", None)
+        if mine and isinstance(f, EqualTo) and isinstance(v, int):
+            lo, hi = max(lo, v), min(hi, v + 1)
+        elif mine and isinstance(f, GreaterThan):
+            lo = max(lo, v + 1)
+        elif mine and isinstance(f, GreaterThanOrEqual):
+            lo = max(lo, v)
+        elif mine and isinstance(f, LessThan):
+            hi = min(hi, v)
+        elif mine and isinstance(f, LessThanOrEqual):
+            hi = min(hi, v + 1)
+        elif mine and isinstance(f, In) and f.value:
+            lo, hi = max(lo, min(f.value)), min(hi, max(f.value) + 1)
+            rest.append(f)
+        elif not (mine and isinstance(f, IsNotNull)):
+            rest.append(f)
+    return lo, hi, rest
+
+
+def _lists(values, sizes):
+    """Consecutive ``sizes`` of ``values`` as an Arrow list column."""
+    import numpy as np
+    import pyarrow as pa
+
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+
+
 class TokenBinReader(DataSourceReader):
+    """Rows ``shard, offset, ids``; a filter on ``offset`` leaves out whole byte ranges."""
+
     def __init__(self, options):
         self.path = options["path"]
-        self.partition_tokens = int(options.get("partition_tokens", 1 << 24))
         self.chunk_tokens = int(options.get("chunk_tokens", 1 << 16))
+        # ranges start at multiples of a row's tokens
+        self.partition_tokens = -(-int(options.get("partition_tokens", 1 << 24)) // self.chunk_tokens) * self.chunk_tokens
+        self.lo, self.hi = 0, float("inf")
+
+    def pushFilters(self, filters):
+        self.lo, self.hi, _ = _bounds(filters, "offset")
+        return filters
 
     def partitions(self):
-        parts = []
+        parts, chunk = [], self.chunk_tokens
         for shard, base, n in _shards(self.path):
-            for s in range(0, n, self.partition_tokens):
-                parts.append(_Range(shard, s, min(n, s + self.partition_tokens), base))
+            # rows of this shard start at base + k * chunk
+            first = max(0, -(-(self.lo - base) // chunk)) * chunk
+            stop = n if self.hi == float("inf") else min(n, max(0, -(-(self.hi - base) // chunk)) * chunk)
+            for s in range(first, stop, self.partition_tokens):
+                parts.append(_Range(shard, s, min(stop, s + self.partition_tokens), base))
         return parts or [_Range("", 0, 0, 0)]
 
-    def read(self, partition: _Range) -> Iterator[tuple]:
+    def read(self, partition: _Range):
         import numpy as np
+        import pyarrow as pa
 
         if partition.stop <= partition.start:
             return
         filesystem, _ = _fs(self.path)
+        name, chunk = partition.shard.rsplit("/", 1)[-1], self.chunk_tokens
+        step = max(1, (1 << 20) // chunk) * chunk
         with filesystem.open_input_file(partition.shard) as f:
-            raw = f.read_at((partition.stop - partition.start) * 2, partition.start * 2)
-        arr = np.frombuffer(raw, dtype="<u2")
-        name = partition.shard.rsplit("/", 1)[-1]
-        for i in range(0, len(arr), self.chunk_tokens):
-            yield (name, partition.base + partition.start + i, arr[i:i + self.chunk_tokens].astype("int32").tolist())
+            for s in range(partition.start, partition.stop, step):
+                arr = np.frombuffer(f.read_at(min(step, partition.stop - s) * 2, s * 2), dtype="<u2")
+                at = np.arange(0, len(arr), chunk)
+                sizes = np.diff(np.append(at, len(arr)))
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(partition.base + s + at), _lists(arr, sizes)],
+                                                 names=["shard", "offset", "ids"])
+
+
+class _Sequences(InputPartition):
+    def __init__(self, first: int, stop: int):
+        self.first, self.stop = first, stop
+
+
+class TokenSeqReader(DataSourceReader):
+    """C4 from the packed file: sequence ``i`` holds the ``length + 1`` tokens from
+    ``i * stride`` on, read by position; a partition is a range of sequences, whose
+    bytes overlap the next one's by ``length`` tokens, and may span shards."""
+
+    def __init__(self, options):
+        self.path = options["path"]
+        self.length = int(options["length"])
+        self.stride = int(options.get("stride", 0)) or self.length
+        self.partition_tokens = int(options.get("partition_tokens", 1 << 22))
+        self.lo, self.hi = 0, float("inf")
+
+    def pushFilters(self, filters):
+        self.lo, self.hi, rest = _bounds(filters, "seq_id")
+        return rest
+
+    def partitions(self):
+        shards = _shards(self.path)
+        total = sum(n for _, _, n in shards)
+        count = max(0, (total - self.length - 1) // self.stride + 1)
+        first, stop = min(self.lo, count), min(self.hi, count)
+        each = max(1, self.partition_tokens // self.stride)
+        return [_Sequences(s, min(stop, s + each)) for s in range(first, stop, each)] or [_Sequences(0, 0)]
+
+    def _tokens(self, filesystem, shards, start: int, stop: int):
+        import numpy as np
+
+        out = []
+        for path, base, n in shards:
+            s, e = max(start, base), min(stop, base + n)
+            if s < e:
+                with filesystem.open_input_file(path) as f:
+                    out.append(np.frombuffer(f.read_at((e - s) * 2, (s - base) * 2), dtype="<u2"))
+        return np.concatenate(out)
+
+    def read(self, partition: _Sequences):
+        import numpy as np
+        import pyarrow as pa
+
+        filesystem, _ = _fs(self.path)
+        shards = _shards(self.path) if partition.first < partition.stop else []
+        L, S = self.length, self.stride
+        each = max(1, (1 << 20) // (L + 1))
+        for s in range(partition.first, partition.stop, each):
+            e = min(partition.stop, s + each)
+            flat = self._tokens(filesystem, shards, s * S, (e - 1) * S + L + 1)
+            tokens = flat[(np.arange(e - s) * S)[:, None] + np.arange(L + 1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(s, e)), _lists(tokens[:, :-1].ravel(), np.full(e - s, L)),
+                 _lists(tokens[:, 1:].ravel(), np.full(e - s, L))], names=["seq_id", "input_ids", "target_ids"])
 
 
 class TokenBinWriter(DataSourceArrowWriter):
@@ -181,6 +291,21 @@ class TokenBinDataSource(DataSource):
         return TokenBinWriter(self.options, overwrite)
 
 
+class TokenSeqDataSource(DataSource):
+    """Training sequences straight from ``tokenbin`` shards: options ``path``,
+    ``length`` and ``stride`` (0: the length)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "tokenseq"
+
+    def schema(self) -> str:
+        return "seq_id bigint, input_ids array<int>, target_ids array<int>"
+
+    def reader(self, schema) -> TokenSeqReader:
+        return TokenSeqReader(self.options)
+
+
 def shared_path(spark, path: str) -> str:
     """``path`` with the scheme of Spark's default file system if it has none."""
     sc = spark.sparkContext
@@ -189,4 +314,8 @@ def shared_path(spark, path: str) -> str:
 
 
 def register(spark) -> None:
+    """Make the formats ``tokenbin`` and ``tokenseq`` known, with filter pushdown
+    (Spark refuses a reader that takes filters while its setting is off)."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TokenBinDataSource)
+    spark.dataSource.register(TokenSeqDataSource)

@@ -124,6 +124,31 @@ def test_fast_mode_runs_fewer_rounds(spark):
     assert len(fast.merges) == len(exact.merges) == 40 and fast.rounds <= exact.rounds
 
 
+def test_long_words_segment_alike_and_fast():
+    import time
+
+    from corpusforge.functions import bytelevel
+
+    rnd = random.Random(5)
+    for _ in range(300):
+        letters = "abcd"[:rnd.choice([1, 2, 3, 4])]
+        symbols, pairs = list(letters), []
+        for _ in range(25):                       # ranks in any order, symbols made in several ways
+            p = (rnd.choice(symbols), rnd.choice(symbols))
+            pairs.append(p)
+            symbols.append(p[0] + p[1])
+        pairs = list(dict.fromkeys(pairs))
+        rnd.shuffle(pairs)
+        ranks = {p: i for i, p in enumerate(pairs)}
+        word = "".join(rnd.choice(letters) for _ in range(rnd.randint(1, bytelevel.LONG_WORD)))
+        assert bytelevel.segment_long(word, ranks) == bytelevel.bpe_segment(word, ranks)
+    ranks = {("a", "b"): 0, ("b", "a"): 1, ("ab", "ab"): 2, ("a", "ab"): 3, ("abab", "abab"): 4}
+    word = "".join(rnd.choice("ab") for _ in range(1_000_000))
+    t = time.perf_counter()
+    assert "".join(bytelevel.bpe_segment(word, ranks)) == word
+    assert time.perf_counter() - t < 30
+
+
 def test_encode_decode_roundtrip_and_specials(spark):
     texts = ["Hello  world, héllo wörld!\n\tTabs  and   spaces ", "ünïcödé 123 <|eos|> end", ""]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")

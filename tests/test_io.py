@@ -50,6 +50,45 @@ def test_tokenbin_roundtrip_and_manifest(spark, tmp_dir):
     assert flat == [t for _, ids in rows for t in ids]
 
 
+@pytest.mark.parametrize("L,S", [(8, 0), (8, 3), (5, 9)])
+def test_sequences_from_shards_and_pushdown(spark, tmp_dir, L, S):
+    from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, In, LessThan
+
+    tokenbin.register(spark)
+    rows = [(i, list(range(i * 10, i * 10 + i % 7))) for i in range(60)]
+    df = spark.createDataFrame(rows, "pos long, ids array<int>").repartitionByRange(4, "pos").sortWithinPartitions("pos")
+    path = os.path.join(tmp_dir, "bin")
+    df.write.format("tokenbin").mode("append").option("path", path).save()
+    flat = [t for _, ids in rows for t in ids]
+    n = (len(flat) - L - 1) // (S or L) + 1
+    want = {i: flat[i * (S or L):i * (S or L) + L + 1] for i in range(n)}
+    seqs = spark.read.format("tokenseq").option("path", path).option("length", L).option("stride", S).option(
+        "partition_tokens", 16).load()
+
+    def rows_of(frame):
+        return {r.seq_id: [*r.input_ids, r.target_ids[-1]] for r in frame.collect()}
+    assert rows_of(seqs) == want
+    assert rows_of(seqs.where("seq_id >= 3 and seq_id < 6")) == {i: want[i] for i in (3, 4, 5)}
+    assert rows_of(seqs.where("seq_id in (1, 7) and size(input_ids) > 0")) == {i: want[i] for i in (1, 7)}
+    assert rows_of(seqs.where("seq_id > 1000000")) == {}
+    # a filter reads its own sequences only
+    reader = tokenbin.TokenSeqReader({"path": path, "length": L, "stride": S, "partition_tokens": 16})
+    some = In(("seq_id",), (1, 7))
+    assert list(reader.pushFilters([some, GreaterThanOrEqual(("seq_id",), 1), EqualTo(("other",), 1)])) != []
+    assert [(p.first, p.stop) for p in reader.partitions()][0][0] == 1 and max(p.stop for p in reader.partitions()) == 8
+    assert list(reader.pushFilters([EqualTo(("seq_id",), 4)])) == []
+    assert [(p.first, p.stop) for p in reader.partitions()] == [(4, 5)]
+    # and a filter on offset, its byte ranges only
+    back = spark.read.format("tokenbin").option("path", path).option("chunk_tokens", 4).option("partition_tokens", 8).load()
+    everything = back.collect()
+    lo, hi = 20, 61
+    assert sorted(back.where(f"offset >= {lo} and offset < {hi}").collect()) == sorted(r for r in everything if lo <= r.offset < hi)
+    reader = tokenbin.TokenBinReader({"path": path, "chunk_tokens": 4, "partition_tokens": 8})
+    reader.pushFilters([GreaterThanOrEqual(("offset",), lo), LessThan(("offset",), hi)])
+    read = sum(p.stop - p.start for p in reader.partitions())
+    assert read == sum(len(r.ids) for r in everything if lo <= r.offset < hi)
+
+
 def test_tokenbin_rejects_wide_ids(spark, tmp_dir):
     tokenbin.register(spark)
     df = spark.createDataFrame([([1, 70000],)], "ids array<int>")
