@@ -6,9 +6,11 @@ vector: its tag path with class, id and role words (hashed), its words
 whole sequence and labels every block, so a block is judged by all of its page.
 
 The model is trained here, on at most ``max_pages`` pages of the given table
-(those of least hash, whole pages of up to ``max_leaves`` blocks).  Labels come
-from page structure (the article element and what stands beside it); every
-page is also seen in variants with other containers, names and extra parts
+(those of least hash; long ones in windows of ``max_leaves`` blocks).  Labels come
+from page structure: the article or main element, else a container with an
+article's name, else the innermost element that holds most of the text, each
+without the parts beside it; a page that gives no label is left out, and a table
+that gives none is labelled by this rule alone.  Every page is also seen in variants with other containers, names and extra parts
 (menus, notices, forms, sidebars, reader comments), so that the labels must be
 learnt from path, words and context together.
 
@@ -17,7 +19,8 @@ space, trimmed, blocks in page order joined by an empty line.  Scripts, styles,
 comments and markup never become leaves.
 
 Defined cases: null or empty html gives an empty text; broken markup is read
-as far as it goes (unclosed comments and scripts run to the end of the page);
+as far as it goes (unclosed comments and scripts run to the end of the page, an
+unclosed quote is none, an unclosed last tag is text), in one pass however deep;
 repeated rows are each extracted; other columns are ignored.
 """
 
@@ -44,14 +47,49 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "option": {"option"}}
 INSIDE = frozenset(("ul", "ol", "table", "dl", "select", "article", "section", "div", "body"))
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
+_NAME_AT = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[\"'>]")
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME = re.compile(r"[a-z]+|[0-9]+")
 
 
+# --- fixed values: parts of a page that hold no article
+_OUT = frozenset(("nav", "aside", "footer", "form", "head", "button", "select", "dialog", "fieldset", "menu", "noscript", "template", "textarea", "title"))
+_BOX = frozenset(("article", "main"))
+
+# ------------------------------------------------------------------ features
+PATH, WORDS, NUMS = 192, 24, 8
+WIDTH = PATH + WORDS + NUMS
+
+
+class Path:
+    """An element and, linked, those around it.  What the labeller needs of the
+    whole path is kept per element, so deep pages cost no more than flat ones."""
+
+    __slots__ = ("names", "parent", "bits", "box", "out", "chars")
+
+    def __init__(self, names: tuple[str, ...], parent: "Path | None"):
+        self.names, self.parent = names, parent
+        self.bits = parent.bits if parent else 0                 # hashed names of the whole path
+        for n in names:
+            self.bits |= 1 << zlib.crc32(n.encode("utf-8", "surrogatepass")) % (PATH // 2)
+        tag, rest = names[0], names[1:]
+        self.box = tag in _BOX or bool(parent and parent.box)
+        self.out = (tag in _OUT or "!hidden" in rest or not _SPOTS.isdisjoint(rest)) or bool(parent and parent.out)
+        self.chars = 0
+
+
+def chain(elements) -> Path | None:
+    """The linked path of a sequence of elements, outermost first."""
+    at = None
+    for names in elements:
+        at = Path(names, at)
+    return at
+
+
 @dataclass(slots=True)
 class Leaf:
-    path: tuple
+    path: Path | None
     text: str
     linked: int          # characters inside links
 
@@ -68,38 +106,84 @@ def _names(tag: str, attrs: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def _tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """Place of the ``>`` that ends the tag open at ``at``, quoted ones passed
+    over; a quote that never closes is no quote.  ``last`` holds the last place
+    of each mark, so no search runs to the end of the page in vain."""
+    p = at
+    while p <= last[">"]:
+        m = _STOP.search(page, p)
+        if m is None:
+            break
+        q, p = m.group(), m.start()
+        if q == ">":
+            return p
+        if p >= last[q]:
+            break
+        p = page.find(q, p + 1) + 1
+    return page.find(">", at) if at <= last[">"] else -1
+
+
 def leaves(page: str) -> list[Leaf]:
+    """Blocks of text in page order, in one pass over the page."""
     out: list[Leaf] = []
-    stack: list[tuple[str, tuple]] = []
+    stack: list[tuple[str, Path]] = []
+    opened: dict[str, int] = {}                # open elements by tag
     text: list[str] = []
     state = {"link": False, "linked": 0}
+    last = {c: page.rfind(c) for c in "\"'>"}
 
     def flush():
         if text:
             s = " ".join(_html.unescape("".join(text)).split())
             if s:
-                out.append(Leaf(tuple(n for _, n in stack), s, min(state["linked"], len(s))))
+                out.append(Leaf(stack[-1][1] if stack else None, s, min(state["linked"], len(s))))
             text.clear()
         state["linked"] = 0
 
+    def take(part: str):
+        if part:
+            text.append(part)
+            if state["link"]:
+                state["linked"] += len(part)
+
+    def cut(i: int):
+        for tag, _ in stack[i:]:
+            opened[tag] -= 1
+        del stack[i:]
+
     pos, end = 0, len(page)
     while pos < end:
-        m = _TOKEN.search(page, pos)
-        stop = m.start() if m else end
-        if stop > pos:
-            text.append(page[pos:stop])
-            if state["link"]:
-                state["linked"] += stop - pos
-        if not m:
+        at = page.find("<", pos)
+        if at < 0:
+            take(page[pos:])
             break
-        pos = m.end()
-        tag = m.group(2)
-        if not tag:
+        take(page[pos:at])
+        if page.startswith("<!--", at):
+            e = page.find("-->", at + 4)
+            pos = e + 3 if e >= 0 else end
             continue
-        tag, closing = tag.lower(), bool(m.group(1))
+        if page.startswith(("<!", "<?"), at):
+            e = page.find(">", at) if at <= last[">"] else -1
+            if e < 0:
+                take(page[at:])                  # nothing closes any more: the rest is text
+                break
+            pos = e + 1
+            continue
+        m = _NAME_AT.match(page, at)
+        if not m:
+            take("<")
+            pos = at + 1
+            continue
+        e = _tag_end(page, m.end(), last)
+        if e < 0:
+            take(page[at:])
+            break
+        pos = e + 1
+        tag, closing, attrs = m.group(2).lower(), bool(m.group(1)), page[m.end():e]
         if tag in RAW and not closing:
-            e = re.compile(rf"</{tag}\s*[^>]*>", re.I).search(page, pos)
-            pos = e.end() if e else end
+            f = re.compile(rf"</{tag}\s*[^>]*>", re.I).search(page, pos) if pos <= last[">"] else None
+            pos = f.end() if f else end
         elif tag == "a":
             state["link"] = not closing
         elif tag == "br":
@@ -109,56 +193,59 @@ def leaves(page: str) -> list[Leaf]:
             if tag in VOID:
                 continue
             if closing:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
-                        break
+                if opened.get(tag):
+                    i = len(stack) - 1
+                    while stack[i][0] != tag:
+                        i -= 1
+                    cut(i)
                 continue
             if stack and stack[-1][0] == "p":
-                stack.pop()
+                cut(len(stack) - 1)
             shut = CLOSES.get(tag)
-            if shut:
+            if shut and any(opened.get(t) for t in shut):
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in shut:
-                        del stack[i:]
+                        cut(i)
                         break
                     if stack[i][0] in INSIDE:
                         break
-            stack.append((tag, _names(tag, m.group(3))))
+            stack.append((tag, Path(_names(tag, attrs), stack[-1][1] if stack else None)))
+            opened[tag] = opened.get(tag, 0) + 1
     flush()
     return out
 
 
-# ------------------------------------------------------------------ features
-PATH, WORDS, NUMS = 192, 24, 8
-WIDTH = PATH + WORDS + NUMS
-
-
 class Featurizer:
     def __init__(self):
         self.paths: dict[tuple, np.ndarray] = {}
         self.words: dict[str, tuple[int, int]] = {}
 
-    def _path(self, path: tuple) -> np.ndarray:
-        v = self.paths.get(path)
+    def _path(self, path: Path | None) -> np.ndarray:
+        """Hashed names of the whole path, and of the nearest two elements once more by place."""
+        near, around = (path.names, path.parent.names if path.parent else None) if path else (None, None)
+        key = (path.bits if path else 0, near, around)
+        v = self.paths.get(key)
         if v is None:
             v = np.zeros(PATH, dtype=np.float32)
-            for depth, names in enumerate(reversed(path)):
-                for n in names:
-                    v[zlib.crc32(n.encode()) % (PATH // 2)] = 1.0
-                    if depth < 2:                       # the nearest two elements once more, by place
-                        v[PATH // 2 + zlib.crc32(f"{depth}{n}".encode()) % (PATH // 2)] = 1.0
+            for k in range(PATH // 2):
+                v[k] = key[0] >> k & 1
+            for depth, names in enumerate((near, around)):
+                for n in names or ():
+                    v[PATH // 2 + zlib.crc32(f"{depth}{n}".encode("utf-8", "surrogatepass")) % (PATH // 2)] = 1.0
             if len(self.paths) > 50_000:
                 self.paths.clear()
-            self.paths[path] = v
+            self.paths[key] = v
         return v
 
-    def __call__(self, page: list[Leaf]) -> np.ndarray:
-        x = np.zeros((len(page), WIDTH), dtype=np.float32)
+    def __call__(self, page: list[Leaf], first: int = 0, stop: int | None = None) -> np.ndarray:
+        """Vectors of the leaves from ``first`` to ``stop``."""
+        stop = len(page) if stop is None else stop
+        x = np.zeros((stop - first, WIDTH), dtype=np.float32)
         if len(self.words) > 300_000:
             self.words.clear()
         known = self.words
-        for i, leaf in enumerate(page):
+        for j in range(first, stop):
+            i, leaf = j - first, page[j]
             x[i, :PATH] = self._path(leaf.path)
             words = leaf.text.lower().split()
             for w in words:
@@ -170,7 +257,7 @@ class Featurizer:
             x[i, PATH:PATH + WORDS] /= max(len(words), 1) ** 0.5 * 4
             n = len(leaf.text)
             x[i, PATH + WORDS:] = (np.log1p(n) / 8, leaf.linked / n, np.log1p(len(words)) / 6, leaf.text[-1] in ".!?:;\"'", "©" in leaf.text,
-                                   (i + 1) / (len(page) + 1), leaf.text.count(",") / (len(words) + 1), i == 0)
+                                   (j + 1) / (len(page) + 1), leaf.text.count(",") / (len(words) + 1), j == 0)
         return x
 
 
@@ -189,11 +276,11 @@ class BiLSTM:
         self.p["wo"] = (g.standard_normal(2 * hidden) * 0.1).astype(np.float32)
         self.p["bo"] = np.zeros(1, np.float32)
 
-    def _run(self, x, mask, d, keep=None):
-        """x (T, B, D) in reading order of direction d -> h (T, B, H)."""
+    def _run(self, x, mask, d, keep=None, state=None):
+        """x (T, B, D) in reading order of direction d -> h (T, B, H).  ``state``
+        (h, c) is where a part of a longer page goes on; it is moved on."""
         t_max, b, _ = x.shape
-        h = np.zeros((b, self.h), np.float32)
-        c = np.zeros_like(h)
+        h, c = state or (np.zeros((b, self.h), np.float32), np.zeros((b, self.h), np.float32))
         out = np.zeros((t_max, b, self.h), np.float32)
         z_all = x.reshape(-1, x.shape[2]) @ self.p["wx" + d] + self.p["b" + d]
         z_all = z_all.reshape(t_max, b, -1)
@@ -210,12 +297,25 @@ class BiLSTM:
                 keep.append((t, h, c, i, f, o, u, th, m))
             h, c = h_new, c_new
             out[t] = h
+        if state is not None:
+            state[:] = h, c
         return out
 
     def scores(self, x, mask):
         hf, hb = self._run(x, mask, "f"), self._run(x, mask, "b")
         return np.concatenate([hf, hb], axis=2) @ self.p["wo"] + self.p["bo"][0]
 
+    def long_scores(self, page: list[Leaf], feat: "Featurizer", part: int) -> np.ndarray:
+        """Scores of one page read in parts, each direction carrying its state on."""
+        cuts = [(s, min(len(page), s + part)) for s in range(0, len(page), part)]
+        z = np.full(len(page), self.p["bo"][0], np.float32)
+        for k, d in enumerate("fb"):
+            state = [np.zeros((1, self.h), np.float32), np.zeros((1, self.h), np.float32)]
+            for s, e in cuts if d == "f" else reversed(cuts):
+                h = self._run(feat(page, s, e)[:, None, :], np.ones((e - s, 1), np.float32), d, state=state)
+                z[s:e] += h[:, 0] @ self.p["wo"][k * self.h:(k + 1) * self.h]
+        return z
+
     def gradients(self, x, mask, y):
         kept = {"f": [], "b": []}
         hs = {d: self._run(x, mask, d, kept[d]) for d in "fb"}
@@ -299,6 +399,10 @@ def _element(spec: str) -> tuple[str, ...]:
     return (m[1], *("." + w for w in _NAME.findall(m[3] or "")))
 
 
+_SPOTS = frozenset(w for specs in _SIDE.values() for s in specs for w in _element(s)[1:])
+_NAMED = [(e[0], frozenset(e[1:])) for e in map(_element, _ARTICLE)]
+
+
 def _part(kind: str, words: list[str], r: random.Random, around: tuple) -> list[Leaf]:
     """Leaves of one part of the kind, of the page's own words."""
     path = (*around, _element(r.choice(_SIDE[kind])))
@@ -307,16 +411,16 @@ def _part(kind: str, words: list[str], r: random.Random, around: tuple) -> list[
     for _ in range(r.randint(2, 8) if kind in ("nav", "talk", "share") else r.randint(1, 3)):
         if kind in ("nav", "share"):
             s = say(1, 3)
-            out.append(Leaf((*path, *((("ul",),) if path[-1][0] != "ul" and r.random() < 0.6 else ()), ("li",)) if r.random() < 0.8 else path, s, len(s)))
+            out.append(Leaf(chain((*path, *((("ul",),) if path[-1][0] != "ul" and r.random() < 0.6 else ()), ("li",)) if r.random() < 0.8 else path), s, len(s)))
         elif kind == "talk":
             inner = r.choice([(("p",),), (("div", ".comment"),), (("div", ".comment"), ("p",)), (("li",),), (("article", ".comment"), ("p",)), ()])
-            out.append(Leaf((*path, *inner), say(3, 60), 0))
+            out.append(Leaf(chain((*path, *inner)), say(3, 60), 0))
         else:
             s = say(2, 40)
             inner = r.choice([(), (("p",),), (("p",),), (("div",),), (("h3",),), (("button",),), (("label",),) if kind == "form" else (("li",),)])
             if kind == "foot" and r.random() < 0.5:
                 s = "© " + s
-            out.append(Leaf((*path, *inner), s, len(s) if r.random() < 0.3 else 0))
+            out.append(Leaf(chain((*path, *inner)), s, len(s) if r.random() < 0.3 else 0))
     return out
 
 
@@ -325,7 +429,7 @@ def variant(page: list[Leaf], own: list[bool], r: random.Random) -> tuple[list[L
     words = [w for leaf in page for w in leaf.text.split()] or ["x"]
     root = (("html",), ("body",), *((("div", *r.choice([(), (".wrapper",), (".container",), (".page",)])),) if r.random() < 0.6 else ()))
     box = (*root, *((("main",),) if r.random() < 0.3 else ()), _element(r.choice(_ARTICLE)))
-    out = [Leaf((("html",), ("head",), ("title",)), " ".join(words[:6]), 0)] if r.random() < 0.8 else []
+    out = [Leaf(chain((("html",), ("head",), ("title",))), " ".join(words[:6]), 0)] if r.random() < 0.8 else []
     lab = [False] * len(out)
 
     def add(kind, around):
@@ -339,7 +443,7 @@ def variant(page: list[Leaf], own: list[bool], r: random.Random) -> tuple[list[L
     for i, leaf in enumerate(body):
         if i and r.random() < 0.05:
             add(r.choice(_WITHIN), box)
-        inner = leaf.path[-1:] if leaf.path and leaf.path[-1][0] not in ("article", "main") else (("p",),)
+        inner = (leaf.path.names,) if leaf.path and leaf.path.names[0] not in ("article", "main") else (("p",),)
         if run:                                        # more items of the same list
             run, inner = run - 1, last
         elif r.random() < 0.12:
@@ -348,7 +452,7 @@ def variant(page: list[Leaf], own: list[bool], r: random.Random) -> tuple[list[L
                               (("table",), ("tr",), ("td",)), (("figure",), ("figcaption",)), (("div",),), (("header",), ("h1",))])
         last = inner
         text = leaf.text if r.random() < 0.8 else " ".join(leaf.text.split()[:r.randint(1, 6)])     # short blocks too
-        out.append(Leaf((*box, *inner), text, leaf.linked))
+        out.append(Leaf(chain((*box, *inner)), text, leaf.linked))
         lab.append(True)
     for k in r.sample(_WITHIN, r.randint(0, 2)):
         add(k, box)
@@ -357,44 +461,108 @@ def variant(page: list[Leaf], own: list[bool], r: random.Random) -> tuple[list[L
     return out, lab
 
 
-_BOX = frozenset(("article", "main"))
-_OUT = frozenset(("nav", "aside", "footer", "form", "head", "button", "select", "dialog", "fieldset", "menu", "noscript", "template", "textarea", "title"))
-_SPOTS = frozenset(w for specs in _SIDE.values() for s in specs for w in _element(s)[1:])
+def _in_named_box(path: Path | None) -> bool:
+    while path is not None:
+        names = set(path.names[1:])
+        if any(path.names[0] == tag and words and words <= names for tag, words in _NAMED):
+            return True
+        path = path.parent
+    return False
 
 
 def structural(page: list[Leaf]) -> list[bool]:
-    """Training labels: inside the article element, outside of parts with the name of something else."""
-    out = []
-    for leaf in page:
-        tags, names = {p[0] for p in leaf.path}, {n for p in leaf.path for n in p[1:]}
-        out.append(bool(tags & _BOX) and not tags & _OUT and not names & _SPOTS and "!hidden" not in names)
-    return out
-
-
-def train(pages: list[str], variants: int = 8, max_leaves: int = 150, seed: int = 3) -> BiLSTM:
+    """Training labels: leaves inside the article, outside of parts with the tag or
+    name of something else.  The article is an article or main element; without
+    one, an element with the name of an article's container; without that, the
+    innermost element that holds most of the page's other text."""
+    fit = [leaf.path is not None and not leaf.path.out for leaf in page]
+    for inside in (lambda p: p.box, _in_named_box):
+        found = [f and inside(leaf.path) for f, leaf in zip(fit, page)]
+        if any(found):
+            return found
+    total, held, order = 0, {}, {}
+    for leaf, f in zip(page, fit):
+        if f:
+            total += len(leaf.text)
+            held[id(leaf.path)] = held.get(id(leaf.path), 0) + len(leaf.text)
+            order[id(leaf.path)] = leaf.path
+    # sums from the inside out: an element after all elements within it
+    depth: dict[int, int] = {}
+
+    def deep(p: Path) -> int:
+        way = []
+        while p is not None and id(p) not in depth:
+            way.append(p)
+            p = p.parent
+        d = depth[id(p)] if p is not None else 0
+        for x in reversed(way):
+            d += 1
+            depth[id(x)] = d
+            order[id(x)] = x
+            held.setdefault(id(x), 0)
+        return d
+    for p in list(order.values()):
+        deep(p)
+    best = None
+    for p in sorted(order.values(), key=lambda p: -depth[id(p)]):
+        if p.parent is not None:
+            held[id(p.parent)] += held[id(p)]
+        if best is None and held[id(p)] > 0.5 * total and depth[id(p)] < 10_000:
+            best = p
+    if best is None:
+        return [False] * len(page)
+    # the text's own element is no container: take the one around it
+    if best.names[0] in ("p", "li", "h1", "h2", "h3", "blockquote", "pre", "td") and best.parent is not None:
+        best = best.parent
+    inside = {id(best)}
+    for p in sorted(order.values(), key=lambda p: depth[id(p)]):
+        if p.parent is not None and id(p.parent) in inside:
+            inside.add(id(p))
+    return [f and id(leaf.path) in inside for f, leaf in zip(fit, page)]
+
+
+def _windows(n: int, size: int, most: int) -> list[tuple[int, int]]:
+    """At most ``most`` windows of ``size`` leaves, evenly spaced over ``n``."""
+    if n <= size:
+        return [(0, n)]
+    k = min(most, -(-n // size))
+    return [(s, s + size) for s in (round(i * (n - size) / max(k - 1, 1)) for i in range(k))]
+
+
+def train(pages: list[str], variants: int = 8, max_leaves: int = 150, max_windows: int = 4, seed: int = 3) -> BiLSTM | None:
+    """A labeller, or None if no page gives a label.  Long pages are seen in
+    windows of ``max_leaves`` blocks."""
     r, feat, rows = random.Random(seed), Featurizer(), []
     for page in pages:
-        seq = leaves(page or "")
-        if not 0 < len(seq) <= max_leaves:
+        whole = leaves(page or "")
+        labels = structural(whole)
+        if not any(labels):
             continue
-        own = structural(seq)
-        rows.append((feat(seq), np.array(own, np.float32)))
-        if any(own):
-            for _ in range(variants):
-                v, lab = variant(seq, own, r)
-                rows.append((feat(v), np.array(lab, np.float32)))
-    model = BiLSTM()
-    return model.fit(rows) if rows else model
-
-
-def label_pages(model: BiLSTM, pages: list[list[Leaf]], feat: Featurizer, batch: int = 64) -> list[np.ndarray]:
-    """Content or not, per leaf; pages of like length go together."""
+        for s, e in _windows(len(whole), max_leaves, max_windows):
+            seq, own = whole[s:e], labels[s:e]
+            rows.append((feat(whole, s, e), np.array(own, np.float32)))
+            if any(own):
+                for _ in range(variants):
+                    v, lab = variant(seq, own, r)
+                    rows.append((feat(v), np.array(lab, np.float32)))
+    return BiLSTM().fit(rows) if rows else None
+
+
+def label_pages(model: BiLSTM | None, pages: list[list[Leaf]], feat: Featurizer, batch: int = 64,
+                longest: int = 20_000) -> list[np.ndarray]:
+    """Content or not, per leaf; pages of like length go together, pages of over
+    ``longest`` leaves alone and in parts."""
     out: list = [np.zeros(0, bool)] * len(pages)
+    if model is None:
+        return [np.array(structural(p), bool) for p in pages]
     order = sorted((i for i in range(len(pages)) if pages[i]), key=lambda i: len(pages[i]))
+    while order and len(pages[order[-1]]) > longest:
+        i = order.pop()
+        out[i] = model.long_scores(pages[i], feat, longest) > 0
     at = 0
     while at < len(order):
         top = batch
-        while top > 1 and len(pages[order[min(at + top, len(order)) - 1]]) * top > 20_000:    # bound the padded matrix
+        while top > 1 and len(pages[order[min(at + top, len(order)) - 1]]) * top > longest:    # bound the padded matrix
             top //= 2
         part = order[at:at + top]
         at += len(part)
@@ -405,7 +573,7 @@ def label_pages(model: BiLSTM, pages: list[list[Leaf]], feat: Featurizer, batch:
     return out
 
 
-def fit_labeller(pages: DataFrame, html_col: str = "html", max_pages: int = 150, max_leaves: int = 150) -> BiLSTM:
+def fit_labeller(pages: DataFrame, html_col: str = "html", max_pages: int = 150, max_leaves: int = 150) -> BiLSTM | None:
     h = F.col(html_col).cast("string")
     keys = pages.select(F.xxhash64(h).alias("k")).where("k is not null").distinct().orderBy("k").limit(max_pages)
     rows = pages.select(h.alias("html"), F.xxhash64(h).alias("k")).join(F.broadcast(keys), "k").dropDuplicates(["k"]).orderBy("k")
@@ -416,13 +584,14 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
             model: BiLSTM | None = None) -> DataFrame:
     """(page_id, url, text, n_chars) per page."""
     model = model or fit_labeller(pages, html_col)
-    shared = pages.sparkSession.sparkContext.broadcast(model.p)        # fixed size
+    shared = pages.sparkSession.sparkContext.broadcast(model and model.p)        # fixed size
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                        F.col(html_col).cast("string").alias("html"))
 
     def run(batches):
-        m, feat = BiLSTM(), Featurizer()
-        m.p = shared.value
+        m, feat = BiLSTM() if shared.value else None, Featurizer()
+        if m:
+            m.p = shared.value
         for b in batches:
             for c in range(0, b.num_rows, 200):
                 part = b.slice(c, 200)
