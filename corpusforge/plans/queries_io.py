@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as X
-from corpusforge.operators import order, sft
+from corpusforge.operators import order, sft, wordtok
 from corpusforge.plans import corpus
 from corpusforge.plans import sqlparts as S
 from corpusforge.plans.queries import CORPUS, ids_str, register, table
@@ -233,3 +233,27 @@ def q_s9(spark, d):
     cached = io.cached_table(spark, cache_dir, key, build)
     return cached.groupBy("split").agg(F.count(F.lit(1)).alias("n_docs"),
                                        F.sum(F.size("ids")).cast("long").alias("n_tokens"))
+
+
+@register("s9_file_cache", f"""
+SELECT doc_id % 4 = 0 AS rebuilt, count(*) AS n_docs, CAST(sum(len({S.words_sql('text')})) AS BIGINT) AS n_tokens
+FROM documents WHERE doc_id % 4 <> 0 OR doc_id % 8 = 0 GROUP BY 1""")
+def q_s9_files(spark, d):
+    """Documents in four folders, cached; one folder is replaced, cached again:
+    only its files are tokenized anew."""
+    from corpusforge.sources import tokencache
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    src, cache = scratch_path(spark, "cache-input"), scratch_path(spark, "token-cache")
+    docs.withColumn("part", F.pmod("doc_id", F.lit(4))).write.partitionBy("part").parquet(src)
+
+    def encode(rows):
+        ids = F.transform(wordtok.words("text"), lambda w: F.pmod(F.xxhash64(w), F.lit(4096)).cast("int"))
+        return rows.select("doc_id", ids.alias("ids"), "file_key")
+
+    def run():
+        return tokencache.cached_tokens(spark, src, cache, "hashed-words-4096", encode)
+    first = run().agg(F.max("build")).first()[0]
+    docs.where("doc_id % 8 = 0").write.mode("overwrite").parquet(f"{src}/part=0")
+    return run().groupBy((F.col("build") != F.lit(first)).alias("rebuilt")).agg(
+        F.count("*").alias("n_docs"), F.sum(F.size("ids")).cast("long").alias("n_tokens"))
