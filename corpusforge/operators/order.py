@@ -157,9 +157,24 @@ def exact_n_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFr
 
 
 def prefix_n(df: DataFrame, id_col: str, n: int) -> DataFrame:
-    """First ``n`` rows in input (id) order; may return fewer."""
-    d = input_positions(df, id_col)
-    return d.where(F.col("pos") < F.lit(int(n)))
+    """First ``n`` rows in input (id) order; may return fewer.
+
+    An approximate quantile a little above the n-th id bounds the rows that can
+    be among the first ``n``, exactly counted; only those are numbered, and the
+    bound is a filter the scan can use.  ``n_total`` counts the whole table."""
+    total = df.count()
+    share = n / total if total else 1.0
+    bound = None
+    while share < 1.0:
+        share = min(1.0, share + 0.0005)
+        q = df.agg(F.percentile_approx(F.col(id_col), share, 10_000)).first()[0]
+        near = F.col(id_col).isNull() | (F.col(id_col) <= F.lit(q))
+        if q is not None and df.where(near).count() >= n:
+            bound = near
+            break
+        share *= 1.5
+    d = input_positions(df if bound is None else df.where(bound), id_col)
+    return d.where(F.col("pos") < F.lit(int(n))).withColumn("n_total", F.lit(total).cast("long"))
 
 
 def quantile_buckets(df: DataFrame, col: str, n_buckets: int, out_col: str = "_qbucket") -> DataFrame:

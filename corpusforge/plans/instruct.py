@@ -42,14 +42,26 @@ def generate_pairs(items: DataFrame, id_col: str, responder: Responder, seed: in
     return pairs, errors
 
 
+def split_rows(rows: DataFrame, id_col: str, val_ratio: float = 0.1, seed: int = 42,
+               validation: DataFrame | None = None) -> DataFrame:
+    """rows with a ``split`` label.  With a validation set of its own (rows
+    made from a second file) the training rows are all kept and nothing is
+    shuffled; otherwise the exact random split (D7), which reads the rows twice."""
+    if validation is not None:
+        return rows.withColumn("split", F.lit("train")).unionByName(validation.withColumn("split", F.lit("validation")))
+    return order.random_split(cut_lineage(rows), id_col, val_ratio, seed)
+
+
 def sft_dataset(pairs: DataFrame, encode, max_length: int = 512, val_ratio: float = 0.1,
-                seed: int = 42) -> DataFrame:
-    """S1 schema -> F1-F5 -> D7: SFT rows with a ``split`` label.
+                seed: int = 42, validation: DataFrame | None = None) -> DataFrame:
+    """S1 schema -> F1-F5 -> F7: SFT rows with a ``split`` label; ``validation``
+    holds the pairs of a separate validation file.
 
     ``encode`` is a Column function ``text -> array<int>`` (BPE or word)."""
-    ids = pairs.select("index", encode("instruction").alias("i_ids"), encode("response").alias("r_ids"))
-    rows = cut_lineage(sft.sft_rows(ids, "i_ids", "r_ids", max_length))  # the split reads it twice
-    return order.random_split(rows, "index", val_ratio, seed)
+    def rows(p: DataFrame) -> DataFrame:
+        ids = p.select("index", encode("instruction").alias("i_ids"), encode("response").alias("r_ids"))
+        return sft.sft_rows(ids, "i_ids", "r_ids", max_length)
+    return split_rows(rows(pairs), "index", val_ratio, seed, None if validation is None else rows(validation))
 
 
 def response_pairs(prompts_df: DataFrame, id_col: str, prompt_col: str, responder: Responder, n: int,

@@ -5,13 +5,14 @@ P10."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusforge.functions import text as X
 from corpusforge.operators import order, sft, wordtok
 from corpusforge.plans import corpus
 from corpusforge.plans import sqlparts as S
 from corpusforge.plans.queries import CORPUS, ids_str, register, table
-from corpusforge.plans.queries_rows import _SFT_SQL, _sft_rows
+from corpusforge.plans.queries_rows import _SFT_SQL, M_SFT, _sft_rows
 from corpusforge.session import cut_lineage, scratch_path
 from corpusforge.sources import io, tokenbin
 
@@ -145,6 +146,29 @@ def q_f7(spark, d):
         "index", "split", F.col("n_tokens").cast("long").alias("n_tokens"))
 
 
+@register("f7_validation_file", _SFT_SQL + """
+SELECT index, CASE WHEN (index // 4294967296) % 10 = 0 THEN 'validation' ELSE 'train' END AS split, n_tokens FROM padded""")
+def q_f7_file(spark, d):
+    """Training and validation pairs in JSONL files of their own, read back and
+    made into rows; no split is drawn."""
+    from corpusforge.plans import instruct
+
+    pairs = sft.chat_pairs(table(spark, d, "conversations"))
+    vocab = corpus.train_word_vocab(table(spark, d, "documents"), CORPUS)
+    schema = T.StructType([T.StructField("index", T.LongType()), *io.INSTRUCTION_SCHEMA.fields])
+
+    def rows(part, name):
+        path = scratch_path(spark, name)
+        io.write_jsonl(part.select("index", "instruction", "response"), path)
+        back = io.read_jsonl(spark, path, schema, ["index", "instruction", "response"])
+        enc = wordtok.encode_columns(back, ["instruction", "response"], vocab, ["index"], vocab_size_bound=CORPUS.vocab_size)
+        return sft.sft_rows(enc, "instruction_ids", "response_ids", M_SFT)
+    held = F.col("conv_id") % 10 == 0
+    out = instruct.split_rows(rows(pairs.where(~held), "sft-train"), "index",
+                              validation=rows(pairs.where(held), "sft-validation"))
+    return out.select("index", "split", F.col("n_tokens").cast("long").alias("n_tokens"))
+
+
 @register("p10_verdict_parse", f"""
 WITH replies AS (
   SELECT conv_id, turn, CASE (conv_id + turn) % 4 WHEN 0 THEN ' a' || chr(10) WHEN 1 THEN 'B  '

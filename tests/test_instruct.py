@@ -35,3 +35,20 @@ def test_prompts_to_preference_rows(spark):
     enc = word_encoder(spark, prefs_df.select(F.col("chosen").alias("text")))
     rows = instruct.preference_dataset(prefs_df, enc, max_length=24).collect()
     assert all(len(r.chosen_input_ids) == 24 and len(r.rejected_labels) == 24 for r in rows)
+
+
+def test_validation_file_keeps_all_training_rows(spark):
+    from pyspark.sql import functions as F
+
+    from corpusforge.plans import instruct
+
+    def pairs(ids):
+        return spark.createDataFrame([(i, "ask this", "say that") for i in ids], "index long, instruction string, response string")
+
+    def encode(c):
+        return F.transform(F.split(c, " "), lambda w: F.length(w) + 10)
+    got = instruct.sft_dataset(pairs(range(20)), encode, 16, validation=pairs([100, 101]))
+    assert {r["index"]: r.split for r in got.collect()} == {**{i: "train" for i in range(20)}, 100: "validation", 101: "validation"}
+    drawn = instruct.sft_dataset(pairs(range(20)), encode, 16, val_ratio=0.1)
+    assert [r["count"] for r in drawn.groupBy("split").count().orderBy("split").collect()] == [18, 2]
+    assert instruct.sft_dataset(pairs(range(3)), encode, 16, validation=pairs([])).where("split = 'validation'").count() == 0

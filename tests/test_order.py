@@ -143,3 +143,12 @@ def test_positions_read_the_input_once(spark):
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("InMemoryRelation") >= 1 and "Relation [" not in text.split("InMemoryRelation")[0]
     assert {r.doc_id: r.pos for r in plan.collect()} == naive_positions(docs(spark).select("doc_id"))
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 499, 2000, 2001, 5000])
+def test_prefix_numbers_only_rows_near_it(spark, n):
+    ids = [i * i for i in range(2000)]
+    d = spark.createDataFrame([(i, 1) for i in reversed(ids)], "doc_id long, x int").repartition(4)
+    got = order.prefix_n(d, "doc_id", n).collect()
+    assert sorted((r.doc_id, r.pos) for r in got) == [(v, i) for i, v in enumerate(ids[:n])]
+    assert all(r.n_total == 2000 for r in got)
