@@ -71,6 +71,23 @@ def q_t3_large(spark, d):
     return bpe_model(spark, d, 2048).merges_df(spark)
 
 
+@register("s7_vocab_merges", _bpe_sql() + """
+SELECT 'merge' AS kind, rank AS place, l || r AS token FROM bpe_merges
+UNION ALL SELECT 'token', token_id, token FROM bpe_ids""")
+def q_s7_merges(spark, d):
+    """A learned vocabulary with its merges, written as a tokenizer folder, read
+    back into a model and listed from that (S7)."""
+    from corpusforge.session import scratch_path
+    from corpusforge.sources import io
+
+    path, model = scratch_path(spark, "tokenizer"), bpe_model(spark, d)
+    io.write_vocab(model.vocab_df(spark), model.merges_df(spark), path)
+    back = bpe.BpeModel.from_frames(*io.read_vocab(spark, path))
+    merges = back.merges_df(spark).select(F.lit("merge").alias("kind"), F.col("rank").alias("place"),
+                                          F.concat("left", "right").alias("token"))
+    return merges.unionByName(back.vocab_df(spark).select(F.lit("token").alias("kind"), F.col("token_id").alias("place"), "token"))
+
+
 @register("t5_bpe_encode", _bpe_sql("SELECT text FROM documents") + f""",
     {B.encode_cte('enc', 'documents', 'doc_id', 'text')}
 SELECT k AS doc_id, CAST(len(ids) + 2 AS INTEGER) AS n_tokens, {S.ids_sql('[2] || ids || [3]')} AS ids FROM enc""")
