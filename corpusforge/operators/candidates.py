@@ -3,8 +3,8 @@
 Input ``candidates(context_id, item_id, score)``.  A context may be hot
 (think of the word "the" in a bigram table), so:
 
-* per-context statistics (max, sum of exp, k-th value) are grouped aggregates,
-  combined map-side, and joined back with hot contexts salted (`skew`);
+* per-context statistics (sum of exponentials, k-th value) are grouped aggregates,
+  combined map-side, and joined back once with hot contexts salted (`skew`);
 * top-k runs in two phases: a top-k per (context, salt) where the salt
   spreads a hot context over many tasks, then a top-k over at most
   ``k * salts`` survivors per context.  That is exact for ``row_number``
@@ -27,19 +27,27 @@ def _salted(df: DataFrame, salts: int) -> DataFrame:
     return df.withColumn("_salt", F.pmod(F.xxhash64(F.col(ITEM)), F.lit(salts)))
 
 
-def softmax(df: DataFrame, temperature: float = 1.0, score: str = SCORE, out: str = "prob") -> DataFrame:
-    """``exp(s/T - max) / sum(exp(s/T - max))`` per context."""
-    stats = df.groupBy(CTX).agg(F.max(score).alias("_mx"), F.count(F.lit(1)).alias("_n"))
-    hot = hot_keys(stats, CTX, "_n")
-    d = join_hot(df, stats.select(CTX, "_mx"), CTX, hot, F.col(ITEM))
-    return _normalised(d, hot, float(temperature), score, out)
+#: scores are summed per step of this size, relative to the step
+STEP = 32.0
 
 
-def _normalised(d: DataFrame, hot: DataFrame, t: float, score: str, out: str) -> DataFrame:
-    """Rows with their context's maximum ``_mx`` -> softmax over the rows."""
-    d = d.withColumn("_e", F.exp(F.col(score) / t - F.col("_mx") / t))
-    tot = d.groupBy(CTX).agg(F.sum("_e").alias("_z"))
-    return join_hot(d, tot, CTX, hot, F.col(ITEM)).withColumn(out, F.col("_e") / F.col("_z")).drop("_mx", "_e", "_z")
+def softmax(df: DataFrame, temperature: float = 1.0, score: str = SCORE, out: str = "prob") -> DataFrame:
+    """``exp(s/T - max) / sum(exp(s/T - max))`` per context, with one
+    aggregate over the rows and one join back.
+
+    The sum does not need the maximum first: exponentials are summed per
+    (context, ``floor(s / T / STEP)``) relative to the step, where they stay
+    below ``e ** STEP``, and a context's few steps are then added relative to its
+    highest one."""
+    y = F.col(score) / float(temperature)
+    step = F.floor(F.greatest(F.least(y / STEP, F.lit(1e9)), F.lit(-1e9)))
+    steps = df.groupBy(CTX, step.alias("_s")).agg(F.sum(F.exp(y - step * STEP)).alias("_z"), F.count(F.lit(1)).alias("_n"))
+    top = steps.groupBy(CTX).agg(F.max("_s").alias("_top"))
+    stats = steps.join(top, CTX).groupBy(CTX).agg(
+        F.max("_top").alias("_top"), F.sum(F.col("_z") * F.exp((F.col("_s") - F.col("_top")) * STEP)).alias("_z"),
+        F.sum("_n").alias("_n"))
+    d = join_hot(df, stats.select(CTX, "_top", "_z"), CTX, hot_keys(stats, CTX, "_n"), F.col(ITEM))
+    return d.withColumn(out, F.exp(y - F.col("_top") * STEP) / F.col("_z")).drop("_top", "_z")
 
 
 def top_k_exact(df: DataFrame, k: int, score: str = SCORE, salts: int = DEFAULT_SALTS) -> DataFrame:
@@ -61,13 +69,24 @@ def kth_value(df: DataFrame, k: int, score: str = SCORE, salts: int = DEFAULT_SA
 def top_k_with_ties(df: DataFrame, k: int, temperature: float = 1.0, score: str = SCORE,
                     salts: int = DEFAULT_SALTS) -> DataFrame:
     """Keep items scoring at least the k-th value (ties survive, i.e.
-    ``rank() <= k``), then renormalise the softmax over the survivors."""
-    # the largest score is among the k survivors: one aggregate gives both
-    top = top_k_exact(df, k, score, salts)
-    stats = top.groupBy(CTX).agg(F.min(score).alias("_kth"), F.max(score).alias("_mx"))
-    hot = hot_keys(df.groupBy(CTX).agg(F.count(F.lit(1)).alias("_n")), CTX, "_n")
-    kept = join_hot(df, stats, CTX, hot, F.col(ITEM)).where(F.col(score) >= F.col("_kth")).drop("_kth")
-    return _normalised(kept, hot, float(temperature), score, "prob")
+    ``rank() <= k``), then renormalise the softmax over the survivors.
+
+    Everything but the items comes from the counts per (context, score), which
+    combine map-side: the k-th value and the sum over all survivors, ties
+    included, need at most ``k`` distinct scores of a context."""
+    counts = df.where(F.col(score).isNotNull()).groupBy(CTX, score).agg(F.count(F.lit(1)).alias("_n"))
+    best = F.col(score).desc()
+    salted = counts.withColumn("_salt", F.pmod(F.xxhash64(F.col(score)), F.lit(salts)))
+    local = salted.withColumn("_r", F.row_number().over(Window.partitionBy(CTX, "_salt").orderBy(best))).where(F.col("_r") <= k)
+    run = Window.partitionBy(CTX).orderBy(best).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = local.withColumns({"_before": F.sum("_n").over(run) - F.col("_n"), "_mx": F.max(score).over(run)}).where(
+        F.col("_before") < k)
+    t = float(temperature)
+    stats = kept.groupBy(CTX).agg(F.min(score).alias("_kth"), F.max("_mx").alias("_mx"),
+                                  F.sum(F.col("_n") * F.exp(F.col(score) / t - F.col("_mx") / t)).alias("_z"))
+    hot = hot_keys(counts.groupBy(CTX).agg(F.sum("_n").alias("_n")), CTX, "_n")
+    d = join_hot(df, stats, CTX, hot, F.col(ITEM)).where(F.col(score) >= F.col("_kth"))
+    return d.withColumn("prob", F.exp(F.col(score) / t - F.col("_mx") / t) / F.col("_z")).drop("_kth", "_mx", "_z")
 
 
 def nucleus(df: DataFrame, k: int = 100, top_p: float = 0.9, temperature: float = 1.0,

@@ -100,3 +100,39 @@ def test_null_context_and_empty_table(spark):
     df = spark.createDataFrame([(None, "a", 1.0), ("c", "a", 1.0)], "context_id string, item_id string, score double")
     assert [r.context_id for r in N.softmax(df).collect()] == ["c"]
     assert N.softmax(df.where("false")).count() == 0
+
+
+def test_softmax_of_far_apart_scores(spark):
+    """Steps of the sum: scores from -1000 to 1000, equal ones, single ones."""
+    import math
+
+    rows = [("a", str(i), float(x)) for i, x in enumerate([-1000, -40, -32, -31.5, 0, 0, 31.9, 32, 33, 900, 1000, 999.5])]
+    rows += [("b", "0", -5000.0), ("c", "0", 3.0), ("c", "1", 3.0)]
+    df = spark.createDataFrame(rows, "context_id string, item_id string, score double")
+    for t in (1.0, 0.3, 50.0):
+        got = {(r.context_id, r.item_id): r.prob for r in N.softmax(df, t).collect()}
+        for c in "abc":
+            mine = [(i, s / t) for k, i, s in rows if k == c]
+            top = max(s for _, s in mine)
+            z = math.fsum(math.exp(s - top) for _, s in mine)
+            for i, s in mine:
+                assert math.isclose(got[c, i], math.exp(s - top) / z, rel_tol=1e-9, abs_tol=1e-300)
+
+
+def test_top_k_with_ties_against_rank(spark):
+    import math
+    import random
+
+    r = random.Random(2)
+    rows = [(r.choice("xyz"), str(i), float(r.randrange(6))) for i in range(200)] + [("w", "0", 1.0), ("v", "0", None), ("v", "1", 2.0)]
+    df = spark.createDataFrame(rows, "context_id string, item_id string, score double")
+    for k in (1, 3, 60, 500):
+        got = {(x.context_id, x.item_id): x.prob for x in N.top_k_with_ties(df, k, 0.5).collect()}
+        want = {}
+        for c in "xyzwv":
+            mine = sorted(((s, i) for cc, i, s in rows if cc == c and s is not None), reverse=True)
+            kth = mine[min(k, len(mine)) - 1][0]
+            keep = [(s, i) for s, i in mine if s >= kth]
+            z = sum(math.exp((s - mine[0][0]) / 0.5) for s, _ in keep)
+            want |= {(c, i): math.exp((s - mine[0][0]) / 0.5) / z for s, i in keep}
+        assert got.keys() == want.keys() and all(math.isclose(got[x], want[x], rel_tol=1e-9) for x in want)
