@@ -276,11 +276,11 @@ def tokenizer_report(encoded: DataFrame, vocab: DataFrame, vocab_size: int, top_
 
 def example_report(texts: DataFrame, encode, vocab: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """Ids, tokens and length per example text.  Token strings come from
-    a broadcast join of the (bounded) vocabulary and are re-assembled in
-    position order per ``key``."""
+    an equi-join with the vocabulary (broadcast if it is small) and are
+    re-assembled in position order per ``key``."""
     d = texts.select(key, text_col, encode(text_col).alias("ids"))
     ex = d.select(key, F.posexplode("ids").alias("p", "token_id"))
-    toks = ex.join(F.broadcast(vocab.select("token_id", "token")), on="token_id", how="left")
+    toks = ex.join(vocab.select("token_id", "token"), on="token_id", how="left")
     g = toks.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("p", "token"))).alias("_t"))
     return d.join(g, on=key, how="left").select(
         key, text_col, "ids", F.coalesce(F.transform("_t", lambda s: s["token"]), F.array().cast("array<string>"))

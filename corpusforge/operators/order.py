@@ -187,7 +187,8 @@ def quantile_buckets(df: DataFrame, col: str, n_buckets: int, out_col: str = "_q
     if n_buckets <= 1:
         return df.withColumn(out_col, F.lit(0).cast("long"))
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.select(F.percentile_approx(F.col(col).cast("double"), probs, 10_000).alias("q")).first()["q"]
+    # ten times finer than the buckets, so that none is empty or doubled for want of accuracy
+    bounds = df.select(F.percentile_approx(F.col(col).cast("double"), probs, max(10_000, 10 * n_buckets)).alias("q")).first()["q"]
     splits = [float("-inf")] + sorted({float(b) for b in (bounds or [])}) + [float("inf")]
     tmp = "_qb_in"
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out_col, handleInvalid="keep")

@@ -143,7 +143,7 @@ def _log(spark, d):
 def _steps(spark, d):
     lg = _log(spark, d).withColumn("_sec", F.unix_micros(F.col("ts").cast("timestamp")))
     # time buckets from quantiles: a run's burst of events spreads over many buckets
-    n_buckets = max(2, -(-lg.count() // 2_000))
+    n_buckets = max(2, min(4_096, -(-lg.count() // 2_000)))          # their bounds pass through the driver
     lg = order.quantile_buckets(lg, "_sec", n_buckets)
     r = Mx.running_mean(lg, ["run", "epoch"], ["ts", "event_id"], F.col("_qbucket"), "loss",
                         bucket_bound=n_buckets + 1, partition_fanout=1 << 12)
