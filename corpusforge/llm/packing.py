@@ -56,24 +56,27 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, cap
     src = docs.select(id_in(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        encode = pretokens.load(tokenizer_path, merge_rounds).encode
+        encoder = pretokens.load(tokenizer_path, merge_rounds)
         end = np.array([end_id], "<u4").tobytes()
-        for b in batches:
-            for row, rows, ids, per in encode(b.column(1)):
-                ids = ids.astype("<u4", copy=False)
-                raw, at = memoryview(ids.view(np.uint8)), 0
-                out = []
-                for doc, n in zip(b.column(0).slice(row, rows).to_pylist(), per.tolist()):
-                    total = n + 1
-                    s, p, e = 0, 0, total % capacity or min(total, capacity)
-                    while s < total:
-                        crc = zlib.crc32(raw[4 * (at + s):4 * (at + min(e, n))])
-                        out.append((doc, p, s, e - s, crc if e <= n else zlib.crc32(end, crc)))
-                        s, p, e = e, p + 1, e + capacity
-                    at += n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        try:
+            for b in batches:
+                for row, rows, ids, per in encoder.encode(b.column(1)):
+                    ids = ids.astype("<u4", copy=False)
+                    raw, at = memoryview(ids.view(np.uint8)), 0
+                    out = []
+                    for doc, n in zip(b.column(0).slice(row, rows).to_pylist(), per.tolist()):
+                        total = n + 1
+                        s, p, e = 0, 0, total % capacity or min(total, capacity)
+                        while s < total:
+                            crc = zlib.crc32(raw[4 * (at + s):4 * (at + min(e, n))])
+                            out.append((doc, p, s, e - s, crc if e <= n else zlib.crc32(end, crc)))
+                            s, p, e = e, p + 1, e + capacity
+                        at += n
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
+                        names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        finally:
+            encoder.forget()
     return src.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 

@@ -8,7 +8,8 @@ library (its Unicode version decides), looked up once for each code point seen.
 
 ``Pretokens`` then dictionary-encodes the pre-tokens, asks ``segment`` for the
 ids of those not met before, and gathers the ids of all texts in one step.  Its
-store of met pre-tokens is bounded and lives as long as the Python worker.
+store of met pre-tokens is bounded and lives as long as the task; the vocabulary
+itself, a few megabytes, as long as the Python worker.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 
 LETTER, DIGIT, SPACE, OTHER, UNKNOWN = 1, 2, 3, 4, 0
 CHUNK_BYTES = 2_000_000
-STORED = 400_000          # pre-tokens kept between batches
+STORED = 300_000          # pre-tokens kept between batches
 LONG = 64                 # longer pre-tokens are not kept
 
 
@@ -161,9 +162,11 @@ class Pretokens:
         self.added = {t["content"].encode(): t["id"] for t in added}
         self.special = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if added else None
         self.segment, self.classes = segment, Classes(pre_tokenizer)
-        self._forget()
+        self.forget()
 
-    def _forget(self):
+    def forget(self):
+        """Let go of the pre-tokens met so far (at the end of a task: a worker
+        lives on, and later tasks need its memory)."""
         self.place: dict[bytes, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
@@ -193,7 +196,7 @@ class Pretokens:
         enc = tokens.dictionary_encode()
         words = enc.dictionary.to_pylist()
         if len(self.place) > STORED:
-            self._forget()
+            self.forget()
         place = self.place
         number = [place.get(w, -1) for w in words]
         new = [i for i, x in enumerate(number) if x < 0]

@@ -13,7 +13,7 @@ Decoding gathers the bytes of all ids of a batch in one step; bytes that are no
 UTF-8 become U+FFFD as in the library.
 
 Both are row-wise: no shuffle, texts stay in their partition; a worker keeps
-one vocabulary and a bounded store of pre-tokens.
+one vocabulary, a task a bounded store of pre-tokens.
 
 Defined cases: null or empty text has no ids and decodes to the empty text; a
 text that holds an added token's string gets that token, as the library does;
@@ -183,12 +183,15 @@ def encode(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text
 
     def run(batches):
         enc = pretokens.load(tokenizer_path, merge_rounds)
-        for b in batches:
-            for row, rows, ids, per in enc.encode(b.column(1)):
-                ends = np.concatenate([[0], np.cumsum(per)]).astype(np.int32) * 4
-                out = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(ends), pa.py_buffer(ids.astype("<u4"))])
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(row, rows), pa.array(per, pa.int64()), out],
-                                                 names=["doc_id", "n_tokens", "ids"])
+        try:
+            for b in batches:
+                for row, rows, ids, per in enc.encode(b.column(1)):
+                    ends = np.concatenate([[0], np.cumsum(per)]).astype(np.int32) * 4
+                    out = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(ends), pa.py_buffer(ids.astype("<u4"))])
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(row, rows), pa.array(per, pa.int64()), out],
+                                                     names=["doc_id", "n_tokens", "ids"])
+        finally:
+            enc.forget()
     return src.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
