@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusforge.functions.text import BOS_ID, CHAT_SPECIALS, EOS_ID, UNK_ID, WS_CLASS
 from corpusforge.session import cut_lineage
@@ -45,7 +46,8 @@ def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     A hot word is no problem: the count aggregates map-side first.
     """
-    return (df.select(F.explode(words(text_col)).alias("word"))
+    # the outer form: before a plain explode Spark adds a filter that cuts every text once more
+    return (df.select(F.explode_outer(words(text_col)).alias("word")).where(F.col("word").isNotNull())
             .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
 
 
@@ -83,18 +85,61 @@ def word_vocab(counts: DataFrame, vocab_size: int, min_frequency: int = 1,
     return specials_table(counts.sparkSession, specials).unionByName(ranked)
 
 
+def _vocab_ids(vocab: DataFrame):
+    """A Column function ``words -> array<int>`` by a broadcast vocabulary; None
+    if a token is there twice or ids are no ints (a join states that)."""
+    if vocab.schema["token_id"].dataType != T.IntegerType():
+        return None
+    rows = vocab.where(F.col("token").isNotNull()).select("token", "token_id").collect()
+    if len({r["token"] for r in rows}) < len(rows):
+        return None
+    bc = vocab.sparkSession.sparkContext.broadcast((
+        [r["token"] for r in rows], [UNK_ID if r["token_id"] is None else r["token_id"] for r in rows] + [UNK_ID]))
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def _ids(words):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if isinstance(words, pa.ChunkedArray):
+            words = words.combine_chunks()
+        tokens, ids = bc.value
+        flat = pc.list_flatten(words)
+        at = pc.index_in(flat, value_set=pa.array(tokens, flat.type)).fill_null(len(tokens))
+        sizes = pc.list_value_length(words).fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.array(ids, np.int32)[at.to_numpy(zero_copy_only=False)]))
+
+    return _ids
+
+
 def encode_words(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str],
                  out_col: str = "ids", vocab_size_bound: int | None = None,
-                 carry: Sequence[str] = ()) -> DataFrame:
+                 carry: Sequence[str] = (), keep_partitioning: bool = False) -> DataFrame:
     """Encode ``text_col`` into ``array<int>`` ids with a word vocabulary.
 
-    Words are exploded with their positions, looked up by an equi-join and
+    A vocabulary of bounded size is broadcast and words are looked up where the
+    row lies; rows of equal ``keys`` become one, their ids in position order.
+    With a larger one, or if the output must stay partitioned as the input is,
+    words are exploded with their positions, looked up by an equi-join and
     re-assembled per row in position order.  ``keys`` identify a row (put the
     range-partitioning column first to keep the re-assembly shuffle-free);
     ``carry`` are further columns kept as they are.
     """
+    small = vocab_size_bound is not None and vocab_size_bound <= MAX_BROADCAST_VOCAB
+    encode = _vocab_ids(vocab) if small and not keep_partitioning else None
+    if encode is not None:
+        coded = df.select(*keys, *carry, encode(words(text_col)).alias("_ids"))
+        grouped = coded.groupBy(*keys).agg(F.collect_list("_ids").alias("_all"), *[F.first(c).alias(c) for c in carry])
+
+        def placed(ids):
+            # two parameters: Spark passes the index as the second
+            return F.transform(ids, lambda x, i: F.struct(i.alias("_p"), x.alias("_id")))
+        mixed = F.transform(F.array_sort(F.flatten(F.transform("_all", placed))), lambda s: s["_id"])
+        return grouped.select(*keys, *carry, F.when(F.size("_all") == 1, F.col("_all")[0]).otherwise(mixed).alias(out_col))
     lookup = vocab.select(F.col("token").alias("_w"), F.col("token_id").alias("_id"))
-    if vocab_size_bound is not None and vocab_size_bound <= MAX_BROADCAST_VOCAB:
+    if small:
         lookup = F.broadcast(lookup)
     exploded = df.select(*keys, *carry, F.posexplode_outer(words(text_col)).alias("_p", "_w"))
     joined = exploded.join(lookup, on="_w", how="left")
