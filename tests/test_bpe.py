@@ -225,3 +225,45 @@ def test_pretoken_count_formula_matches_lookahead_pattern(spark):
 def F_size(c):
     from pyspark.sql import functions as F
     return F.size(c)
+
+
+def test_rounds_work_on_distinct_segments(spark):
+    """Words cut at rare pairs: the counts of the pairs kept stay, equal segments are one."""
+    import numpy as np
+
+    from corpusforge.operators import bpetrain
+
+    counts = {"abab" + a + b + "baba": 1 for a in "cdefgh" for b in "cdefgh"} | {"x": 3, "ab": 4}
+    code = {c: i for i, c in enumerate(sorted(bpe.BYTE_CHARS))}
+    blocks = bpetrain.blocks_of(word_table(spark, counts).repartition(2), code)
+    key = bpetrain._key(np.array([code["a"], code["b"]]), np.array([code["b"], code["a"]]))
+    full = {(r["l"], r["r"]): r["c"] for r in bpetrain.pair_table(blocks).collect()}
+    found = bpetrain.segments(blocks, np.sort(key))
+    kept = {(r["l"], r["r"]): r["c"] for r in bpetrain.pair_table(found).collect()}
+    assert kept == {p: c for p, c in full.items() if set(p) == {code["a"], code["b"]}}
+    assert sum(len(r["freqs"]) // 8 for r in found.collect()) == 3        # abab, baba, ab
+
+
+def test_symbols_of_all_bytes(spark):
+    words = ["a", "\x00\x7f é", "漢🙂", "\xa0\xad"]
+    got = spark.createDataFrame([(w,) for w in words], "word string").select(bpe.to_symbol_array("word")).collect()
+    assert [list(r[0]) for r in got] == [list(to_symbols(w)) for w in words]
+
+
+def test_encoder_works_in_slices_and_bounds_its_cache(monkeypatch):
+    import pyarrow as pa
+
+    rows = [[f"w{i}", "ab"] for i in range(50)] + [None, []]
+    t2i = {c: i for i, c in enumerate(bpe.BYTE_CHARS)}
+    want = bpe._encode_lists(pa.array(rows), t2i, {}, {}, {}).to_pylist()
+    sizes, whole = [], bpe._encode_rows
+
+    def watched(toks, *rest):
+        sizes.append(len(toks))
+        return whole(toks, *rest)
+    monkeypatch.setattr(bpe, "_SLICE", 10)
+    monkeypatch.setattr(bpe, "_CACHE_LIMIT", 20)
+    monkeypatch.setattr(bpe, "_encode_rows", watched)
+    cache = {}
+    assert bpe._encode_lists(pa.array(rows), t2i, {}, {}, cache).to_pylist() == want
+    assert max(sizes[:-1]) == 5 and len(cache) <= 30

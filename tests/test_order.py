@@ -152,3 +152,21 @@ def test_prefix_numbers_only_rows_near_it(spark, n):
     got = order.prefix_n(d, "doc_id", n).collect()
     assert sorted((r.doc_id, r.pos) for r in got) == [(v, i) for i, v in enumerate(ids[:n])]
     assert all(r.n_total == 2000 for r in got)
+
+
+def test_tail_train_equals_tail_split_and_moves_no_text(spark):
+    for ids, ratio in ((list(range(300)) + [None], 0.1), ([i // 3 for i in range(300)] + [None, None], 0.07), ([1, 2], 0.0), ([], 0.5)):
+        df = spark.createDataFrame([(i, "t") for i in ids], "doc_id long, text string")
+        train = order.tail_train(df, "doc_id", ratio, 42)
+        want = order.tail_split(df, "doc_id", ratio, 42).where("split = 'train'").select("doc_id")
+        assert sorted(map(str, train.select("doc_id").collect())) == sorted(map(str, want.collect()))
+    df = spark.createDataFrame([(i, "t") for i in range(100)], "doc_id long, text string")
+    assert "Exchange" not in order.tail_train(df, "doc_id", 0.1, 42)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_whole_rows_in_input_order_lie_in_small_buckets(spark, monkeypatch):
+    monkeypatch.setattr(order, "TARGET_WHOLE_ROWS", 50)
+    df = spark.range(2000).withColumnRenamed("id", "doc_id")
+    out = order.input_positions(df, "doc_id")
+    assert max(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()) <= 150
+    assert [(r["doc_id"], r["pos"]) for r in out.orderBy("doc_id").collect()] == [(i, i) for i in range(2000)]

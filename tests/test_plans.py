@@ -53,3 +53,14 @@ def test_scan_prunes_columns(spark):
         "/root/testdata/sf0.001/labels.parquet"), ["doc_id"])
     plan = physical(df)
     assert "ReadSchema: struct<doc_id:bigint>" in plan or "struct<doc_id:bigint>" in plan
+
+
+def test_encode_with_small_vocabulary_explodes_no_words(spark):
+    from corpusforge.operators import wordtok
+
+    vocab = spark.createDataFrame([(7, "a", "word"), (8, "b", "word")], "token_id int, token string, kind string")
+    df = spark.createDataFrame([(1, "a b  c", 5), (1, "b a", 5), (2, None, 6), (3, "", 6), (None, "b", 6)], "k int, text string, x int")
+    near = wordtok.encode_words(df, "text", vocab, ["k"], vocab_size_bound=2, carry=["x"])
+    far = wordtok.encode_words(df, "text", vocab, ["k"], carry=["x"])
+    assert sorted(map(str, near.collect())) == sorted(map(str, far.collect()))
+    assert "Generate" not in physical(near) and "Generate" in physical(far)
