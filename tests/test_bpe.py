@@ -267,3 +267,68 @@ def test_encoder_works_in_slices_and_bounds_its_cache(monkeypatch):
     cache = {}
     assert bpe._encode_lists(pa.array(rows), t2i, {}, {}, cache).to_pylist() == want
     assert max(sizes[:-1]) == 5 and len(cache) <= 30
+
+
+def odd_texts(n, seed=5):
+    rnd = random.Random(seed)
+    parts = [*"abSTs'’ \n\t\r!.1٣Ⅷ漢é́ \u0085　​🙂𝟘𐐀", "'s", "'re", "'ll", "'ve", "'d", "'m", "'t", "  ", " '", "''", "'rex", "'l",
+             "<|eos|>", "<|user|>", " <|eos", "|>"]
+    return ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14))) for _ in range(n)] + ["", " ", "'", "a" * 90, "'s" * 40, None]
+
+
+@pytest.mark.parametrize("cut_bytes", [64, 1 << 20])
+def test_batches_are_cut_as_the_pattern_cuts(spark, cut_bytes, monkeypatch):
+    import pyarrow as pa
+
+    from corpusforge.functions import cutting
+    from corpusforge.functions.text import CHAT_SPECIALS
+
+    monkeypatch.setattr(cutting, "CUT_BYTES", cut_bytes)
+    texts = odd_texts(1500)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    want = df.select("i", bpe.pretokens("text").alias("p"), bpe.pretokens("text", CHAT_SPECIALS).alias("s")).orderBy("i").collect()
+    classes = cutting.char_classes(spark)
+    for specials, col in (((), "p"), (CHAT_SPECIALS, "s")):
+        array = pa.array(["skipped", *texts]).slice(1)
+        got = [row for part in cutting.cut_texts(array, classes, specials) for row in part.to_pylist()]
+        assert got == [None if r[col] is None else [t for t in r[col] if t] for r in want]
+
+
+def test_classes_are_the_jvm_regex_ones(spark):
+    import zlib
+
+    from corpusforge.functions import cutting
+
+    table = zlib.decompress(cutting.char_classes(spark))
+    assert len(table) == 0x110000
+    assert bytes(table[ord(c)] for c in "aé漢𐐀7٣Ⅷ \u0085　​'🙂") == b"aaaa000   !!!"
+
+
+def test_words_are_counted_before_spark_sees_them(spark):
+    texts = odd_texts(400) + ["the the of"] * 30
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = bpe.pretoken_counts(df)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "regexp_extract_all" not in plan
+    want = collections.Counter(w for r in df.select(bpe.pretokens("text").alias("p")).collect() for w in r.p or [])
+    assert {r["word"]: r["freq"] for r in counts.collect()} == want
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abc", "aé漢"])
+def test_words_segmented_together_equal_one_at_a_time(alphabet):
+    from corpusforge.functions.bytelevel import MergeTable, bpe_segment
+
+    rnd = random.Random(len(alphabet))
+    words = sorted({"".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(300)})
+    merges = greedy({to_symbols(w): 1 for w in words}, 30)
+    # also ranks that training would not give: a merged string made twice, a lower rank after a higher one
+    for order in (merges, rnd.sample(merges, len(merges))):
+        ranks = {m: i for i, m in enumerate(order)}
+        table = MergeTable(ranks)
+        syms, size = table.segment([w.encode() for w in words])
+        names, at, got = [table.names[s] for s in syms], 0, []
+        for n in size:
+            got.append(names[at:at + n])
+            at += n
+        assert got == [bpe_segment(to_symbols(w), ranks) for w in words]
+    assert MergeTable({}).segment([b"ab", b""])[1].tolist() == [2, 0]
