@@ -13,6 +13,8 @@ preference rows can be checked end to end without BPE.
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +30,8 @@ WORD_PATTERN = rf"[^{WS_CLASS}]+"
 _RARE_WS = "".join(chr(c) for c in range(0x110000) if chr(c).isspace() and chr(c) not in " \t\n\x0b\x0c\r")
 #: vocabularies up to this many entries are broadcast to the encoder
 MAX_BROADCAST_VOCAB = 1_000_000
+#: and up to this many are a constant of the plan, where rows must stay partitioned
+MAX_CONSTANT_VOCAB = 65_536
 
 
 def _c(col: Column | str) -> Column:
@@ -114,21 +118,52 @@ def _vocab_ids(vocab: DataFrame):
     return _ids
 
 
+def _vocab_cells(vocab: DataFrame):
+    """The same by built-in expressions alone, which leave rows partitioned as they
+    are: the vocabulary, dealt by a checksum of the token into cells of about one
+    entry, is an array in the plan (bounded by the vocabulary)."""
+    if vocab.schema["token_id"].dataType != T.IntegerType():
+        return None
+    rows = vocab.where(F.col("token").isNotNull()).select("token", "token_id").collect()
+    if len({r["token"] for r in rows}) < len(rows):
+        return None
+    size = max(1, len(rows))
+    cells: list[list[tuple]] = [[] for _ in range(size)]
+    for token, i in rows:
+        cells[zlib.crc32(token.encode("utf-8")) % size].append((token, UNK_ID if i is None else i))
+    # a constant of the plan (a subquery cannot stand in a function of an array)
+    table = F.from_json(F.lit(json.dumps([[{"t": t, "i": i} for t, i in c] for c in cells])), "array<array<struct<t: string, i: int>>>")
+
+    def find(w: Column) -> Column:
+        cell = F.get(table, (F.crc32(w.cast("binary")) % F.lit(size)).cast("int"))
+        return F.coalesce(F.get(F.filter(cell, lambda e: e["t"] == w), F.lit(0))["i"], F.lit(UNK_ID))
+
+    def ids(tokens: Column) -> Column:
+        # a one-argument lambda: Spark reads a second parameter as the index
+        return F.coalesce(F.transform(tokens, lambda w: find(w)), F.array().cast("array<int>"))
+
+    return ids
+
+
 def encode_words(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str],
                  out_col: str = "ids", vocab_size_bound: int | None = None,
                  carry: Sequence[str] = (), keep_partitioning: bool = False) -> DataFrame:
     """Encode ``text_col`` into ``array<int>`` ids with a word vocabulary.
 
-    A vocabulary of bounded size is broadcast and words are looked up where the
-    row lies; rows of equal ``keys`` become one, their ids in position order.
-    With a larger one, or if the output must stay partitioned as the input is,
-    words are exploded with their positions, looked up by an equi-join and
+    Words of a vocabulary of bounded size are looked up where the row lies, by an
+    Arrow function or, if the output must stay partitioned as the input is, by
+    expressions; rows of equal ``keys`` become one, their ids in position order.
+    With a larger vocabulary words are exploded with their positions, looked up by an equi-join and
     re-assembled per row in position order.  ``keys`` identify a row (put the
     range-partitioning column first to keep the re-assembly shuffle-free);
     ``carry`` are further columns kept as they are.
     """
     small = vocab_size_bound is not None and vocab_size_bound <= MAX_BROADCAST_VOCAB
-    encode = _vocab_ids(vocab) if small and not keep_partitioning else None
+    encode = None
+    if keep_partitioning and small and vocab_size_bound <= MAX_CONSTANT_VOCAB:
+        encode = _vocab_cells(vocab)
+    elif small and not keep_partitioning:
+        encode = _vocab_ids(vocab)
     if encode is not None:
         coded = df.select(*keys, *carry, encode(words(text_col)).alias("_ids"))
         grouped = coded.groupBy(*keys).agg(F.collect_list("_ids").alias("_all"), *[F.first(c).alias(c) for c in carry])

@@ -64,3 +64,14 @@ def test_encode_with_small_vocabulary_explodes_no_words(spark):
     far = wordtok.encode_words(df, "text", vocab, ["k"], carry=["x"])
     assert sorted(map(str, near.collect())) == sorted(map(str, far.collect()))
     assert "Generate" not in physical(near) and "Generate" in physical(far)
+
+
+def test_partitioned_documents_are_encoded_in_place(spark):
+    from corpusforge.operators import wordtok
+
+    vocab = spark.createDataFrame([(7, "a", "word"), (8, "é漢", "word"), (None, "n", "word")], "token_id int, token string, kind string")
+    df = spark.createDataFrame([(1, "a é漢  c", 5), (1, "n a", 5), (2, None, 6), (3, "", 6), (None, "a", 6)], "k int, text string, x int")
+    near = wordtok.encode_words(df, "text", vocab, ["k"], vocab_size_bound=3, carry=["x"], keep_partitioning=True)
+    far = wordtok.encode_words(df, "text", vocab, ["k"], carry=["x"])
+    assert sorted(map(str, near.collect())) == sorted(map(str, far.collect()))
+    assert "Generate" not in physical(near) and "EvalPython" not in physical(near)
