@@ -332,3 +332,36 @@ def test_words_segmented_together_equal_one_at_a_time(alphabet):
             at += n
         assert got == [bpe_segment(to_symbols(w), ranks) for w in words]
     assert MergeTable({}).segment([b"ab", b""])[1].tolist() == [2, 0]
+
+
+def test_ids_are_counted_and_decoded_some_texts_at_a_time(spark, monkeypatch):
+    from corpusforge.functions import cutting
+
+    model = bpe.BpeModel(["<|eos|>"], sorted(bpe.BYTE_CHARS), greedy({"abab": 3, "Ġab": 2, "ĠĠ": 2}, 4))
+    texts = odd_texts(300) + ["ab" * 60 + "<|eos|>", " abab"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    monkeypatch.setattr(bpe, "_DECODED", 7)
+    enc, n = bpe.encode_column(spark, model), bpe.token_count_column(spark, model)
+    decoded = bpe.decode_column(spark, model, skip_special=False)(enc("text"))
+    for r in df.select("text", enc("text").alias("ids"), n("text").alias("n"), decoded.alias("back")).collect():
+        assert r.n == (None if r.ids is None else len(r.ids)) and r.back == r.text
+    escaped = df.select(bpe.encode_column(spark, model, "escape")("text").alias("ids"),
+                        bpe.token_count_column(spark, model, "escape")("text").alias("n"))
+    assert all(r.n == (None if r.ids is None else len(r.ids)) for r in escaped.collect())
+
+
+def test_cached_words_are_packed():
+    import pyarrow as pa
+
+    from corpusforge.functions.bytelevel import bpe_segment
+
+    merges = greedy({"abab": 3, "Ġab": 2}, 3)
+    model = bpe.BpeModel(["<|eos|>"], sorted(set(bpe.BYTE_CHARS) - {"z"}), merges)
+    ranks, cache = model.ranks(), {}
+    rows = [["abab", " ab", "<|eos|>", "zab"], None, [], ["z", "ab" * 50, "é漢", "abab"]]
+    specials = {"<|eos|>": model.token_to_id["<|eos|>"]}
+    got = bpe._encode_lists(pa.array(rows), model.token_to_id, ranks, specials, cache).to_pylist()
+    parts = [None if r is None else [t for w in r for t in ([w] if w in specials else bpe_segment(to_symbols(w), ranks))] for r in rows]
+    assert got == [None if r is None else [model.token_to_id[t] for t in r if t in model.token_to_id] for r in parts]
+    # four bytes an id, no Python numbers
+    assert all(type(v) is bytes and len(v) % 4 == 0 for v in cache.values()) and len(cache[b"zab"]) == 4
