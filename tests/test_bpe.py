@@ -365,3 +365,43 @@ def test_cached_words_are_packed():
     assert got == [None if r is None else [model.token_to_id[t] for t in r if t in model.token_to_id] for r in parts]
     # four bytes an id, no Python numbers
     assert all(type(v) is bytes and len(v) % 4 == 0 for v in cache.values()) and len(cache[b"zab"]) == 4
+
+
+def test_kept_bpe_tokens_are_not_shuffled_again(spark):
+    """The stream sum and the packing read the kept tokens as they lie."""
+    import re
+
+    from corpusforge.plans import corpus
+    from conftest import docs as load_docs
+
+    p = corpus.CorpusParams(context_length=64)
+    d = load_docs(spark)
+    model = bpe.BpeModel(["<|eos|>"], sorted(bpe.BYTE_CHARS), greedy({"the": 3, "Ġthe": 2}, 4))
+    toks = corpus.tokenize_documents_bpe(corpus.split_documents(d, p), model, p)
+    seqs = corpus.packed(corpus.streamed_documents(toks), p, texts=True)
+    rows = seqs.collect()
+    plan = seqs._jdf.queryExecution().executedPlan().toString()
+    toks.unpersist()
+    assert rows and "InMemoryRelation" in plan
+    # shuffles that were run, not those of the plan before the tokens were kept
+    assert not re.search(r"ShuffleQueryStage \d+[^\n]*\n[^\n]*Exchange hashpartitioning\(split#\d+, _bucket", plan)
+
+
+def test_many_words_are_segmented_without_a_cache(monkeypatch):
+    import pyarrow as pa
+
+    model = bpe.BpeModel(["<|eos|>", "<|unused|>"], sorted(set(bpe.BYTE_CHARS) - {"z"}), greedy({"abab": 3, "Ġab": 2}, 3))
+    ranks, t2i = model.ranks(), model.token_to_id
+    specials = {s: t2i[s] for s in model.specials}
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice([*"abz ", "é", "漢", "ab"]) for _ in range(rnd.randint(1, 30))) for _ in range(300)]
+    rows = [rnd.sample(words, 5) + rnd.choice([[], ["<|eos|>", "ab" * 50], ["z"]]) for _ in range(200)] + [None, []]
+    want = bpe._encode_lists(pa.array(rows), t2i, ranks, specials, {}).to_pylist()
+    monkeypatch.setattr(bpe, "_FEW_WORDS", 0)
+    monkeypatch.setattr(bpe, "_SYMBOLS", 50)
+    for few in (1024, 0):                       # pairs looked up in a table, or searched
+        monkeypatch.setattr("corpusforge.functions.bytelevel.FEW_SYMBOLS", few)
+        monkeypatch.setattr(bpe, "_MERGES", {})
+        cache = {}
+        assert bpe._encode_lists(pa.array([["skipped"], *rows]).slice(1), t2i, ranks, specials, cache).to_pylist() == want
+        assert all(len(w) > 40 or w == b"<|eos|>" for w in cache)

@@ -66,3 +66,14 @@ def test_only_border_tokens_leave_their_run(spark, L, S, per, parts):
     if S == L and per == 30:
         moved = pack._across_runs(st, L, S, "ids", ("split",)).agg(F.sum(F.size("tokens"))).first()[0] or 0
         assert moved <= 2 * (L + 1) * st.select("split", "_bucket").distinct().count()
+
+
+@pytest.mark.parametrize("L,S", [(8, 8), (8, 3), (5, 7)])
+def test_texts_are_the_joined_sequences(spark, L, S, monkeypatch):
+    monkeypatch.setattr(pack, "_MADE", 20)
+    for name in ("empty", "L_plus_1", "long_doc"):
+        got = pack.packed_texts(streamed_from(spark, CASES[name]), L, S).orderBy("seq_id").collect()
+        want = brute([t for d in CASES[name] for t in d], L, S)
+        assert [(r.split, r.seq_id) for r in got] == [("train", i) for i in range(len(want))]
+        assert [r.input_ids for r in got] == [" ".join(map(str, x[:-1])) for x in want]
+        assert [r.target_ids for r in got] == [" ".join(map(str, x[1:])) for x in want]
