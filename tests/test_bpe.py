@@ -377,7 +377,7 @@ def test_kept_bpe_tokens_are_not_shuffled_again(spark):
     p = corpus.CorpusParams(context_length=64)
     d = load_docs(spark)
     model = bpe.BpeModel(["<|eos|>"], sorted(bpe.BYTE_CHARS), greedy({"the": 3, "Ġthe": 2}, 4))
-    toks = corpus.tokenize_documents_bpe(corpus.split_documents(d, p), model, p)
+    toks = corpus.tokenize_documents_bpe(corpus.split_documents(d, p), model, p, by_bucket=True)
     seqs = corpus.packed(corpus.streamed_documents(toks), p, texts=True)
     rows = seqs.collect()
     plan = seqs._jdf.queryExecution().executedPlan().toString()
